@@ -19,10 +19,10 @@ WHITE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u300
 
 # Character pairs up to this many cells stay in the JVM.
 NATIVE_CELLS = 10_000
-# Word pairs up to this many words together stay in the JVM.
-NATIVE_WORDS = 60
-# One character per distinct word of a short pair.
-_WORD_CODES = "".join(chr(0x100 + i) for i in range(NATIVE_WORDS))
+# Word pairs up to this many characters together stay in the JVM.
+NATIVE_CHARS = 300
+# One character per distinct word of such a pair: n characters hold at most n/2 + 1 words.
+_WORD_CODES = "".join(chr(0x100 + i) for i in range(NATIVE_CHARS))
 
 
 def strip_ends(text: Column) -> Column:
@@ -112,29 +112,35 @@ def _word_distance_arrow(a: pd.Series, b: pd.Series) -> pd.Series:
 
 def char_edits(truth: Column, result: Column) -> Column:
     """Character edits between two texts, ends stripped."""
-    a, b = strip_ends(truth), strip_ends(result)
-    small = F.length(a).cast("bigint") * F.length(b) <= NATIVE_CELLS
+    small = F.length(truth).cast("bigint") * F.length(result) <= NATIVE_CELLS
     return F.coalesce(
-        F.when(small, F.levenshtein(a, b)).cast("bigint"),
-        _char_distance_arrow(F.when(~small, a), F.when(~small, b)),
+        F.when(small, F.levenshtein(strip_ends(truth), strip_ends(result))).cast("bigint"),
+        _char_distance_arrow(strip_ends(F.when(~small, truth)), strip_ends(F.when(~small, result))),
     )
 
 
-def word_edits(truth: Column, result: Column) -> Column:
-    """Word edits between two texts after white-space normalization."""
-    a, b = words(truth), words(result)
-    small = F.size(a) + F.size(b) <= NATIVE_WORDS
-    vocabulary = F.array_distinct(F.concat(a, b))
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, also where lambdas repeat it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _short_word_edits(truth: Column, result: Column) -> Column:
+    def encode(side: Column, vocabulary: Column) -> Column:
+        codes = F.transform(side, lambda w: F.substring(F.lit(_WORD_CODES), F.array_position(vocabulary, w), 1))
+        return F.array_join(codes, "")
 
-    def encode(side: Column) -> Column:
-        return F.array_join(
-            F.transform(side, lambda w: F.substring(F.lit(_WORD_CODES), F.array_position(vocabulary, w), 1)), ""
-        )
+    return let(F.struct(words(truth).alias("a"), words(result).alias("b")), lambda p: let(
+        F.array_distinct(F.concat(p["a"], p["b"])),
+        lambda v: F.levenshtein(encode(p["a"], v), encode(p["b"], v))))
 
+
+def word_edits(truth: Column, result: Column) -> Column:
+    """Word edits between two texts after white-space normalization."""
+    small = F.length(truth) + F.length(result) <= NATIVE_CHARS
     return F.coalesce(
-        F.when(small, F.levenshtein(encode(a), encode(b))).cast("bigint"),
+        F.when(small, _short_word_edits(truth, result)).cast("bigint"),
         _word_distance_arrow(
-            F.when(~small, text_normalize(truth)), F.when(~small, text_normalize(result))
+            text_normalize(F.when(~small, truth)), text_normalize(F.when(~small, result))
         ),
     )
 

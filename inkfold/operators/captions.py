@@ -6,12 +6,11 @@ neither shuffles nor groups: every rule is a filter over token positions.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-import pandas as pd
-
 from inkfold import schemas
 from inkfold.functions import text
 from inkfold.functions.fixed_values import (
@@ -22,7 +21,6 @@ from inkfold.functions.fixed_values import (
     PHOTO_CREDIT,
     YEAR_PATTERN,
 )
-from inkfold.operators.joins import join_per_key
 from inkfold.operators.records import label_to_field
 
 # Captions with up to this many spans are resolved in the JVM.
@@ -128,9 +126,18 @@ def longest_match_resolve(df: DataFrame, column: str = "spans") -> DataFrame:
         F.array_sort(F.when(few, folded)), _take_longest_arrow(F.when(~few, F.col(column)))))
 
 
+def span_rows(df: DataFrame, *keep: str) -> DataFrame:
+    """Span arrays -> one row per span.
+
+    The outer form keeps Spark from adding a "size > 0" filter that would
+    compute the spans a second time.
+    """
+    return df.select(*keep, F.inline_outer("spans")).where("start is not null")
+
+
 def spans_to_entities(df: DataFrame) -> DataFrame:
     """Span arrays -> one row per entity with its text."""
-    return df.select("doc_id", "tokens", F.inline("spans")).select(
+    return span_rows(df, "doc_id", "tokens").select(
         "doc_id", "start", "label",
         F.array_join(F.slice("tokens", F.col("start") + 1, F.col("end") - F.col("start")), " ").alias("text"))
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkfold.functions import text
+from inkfold.operators.joins import join_per_key
 
 
 def config_sweep(docs: DataFrame, settings: dict[str, Column], output: str = "et") -> DataFrame:
@@ -22,14 +23,12 @@ def config_sweep(docs: DataFrame, settings: dict[str, Column], output: str = "et
     return docs.select("*", F.inline(variants))
 
 
-def score_texts(pairs: DataFrame, truth: str = "gt", result: str = "et", partitions: int | None = None) -> DataFrame:
+def score_texts(pairs: DataFrame, truth: str = "gt", result: str = "et") -> DataFrame:
     """Add ``wer`` and ``cer`` per row.
 
-    Scoring is quadratic in text length, so it is worth dealing rows out evenly
-    first: ``partitions`` does that, round-robin, which also parts long texts.
+    Scoring costs far more than reading, so texts that sit in few partitions
+    are worth a ``repartition(n)`` first.
     """
-    if partitions:
-        pairs = pairs.repartition(partitions)
     truth_col, result_col = F.col(truth), F.col(result)
     return (pairs.withColumn("wer", text.wer(truth_col, result_col))
             .withColumn("cer", text.cer(truth_col, result_col)))
@@ -46,14 +45,15 @@ def append_results(tables: list[DataFrame]) -> DataFrame:
     return reduce(lambda done, more: done.unionByName(more), tables)
 
 
-def l2_normalized_rates(scores: DataFrame, columns: list[str], by: str | None = None) -> DataFrame:
-    """Each rate divided by the L2 norm of its column, over all rows or per setting.
+def l2_normalized_rates(scores: DataFrame, columns: list[str], by: str | None = None,
+                        key: str = "doc_id") -> DataFrame:
+    """Each rate divided by the L2 norm of its column, over all rows or per setting ``by``.
 
-    With ``by`` the norms are one row per setting.
+    The scores are read twice; store them first where scoring is dear.
     """
     norms = [F.sqrt(F.sum(F.col(c) * F.col(c))).alias(f"_norm_{c}") for c in columns]
     if by:
-        joined = scores.join(scores.groupBy(by).agg(*norms), by)
+        joined = join_per_key(scores, scores.groupBy(by).agg(*norms), by, [key])
     else:
         norm = scores.agg(F.struct(*norms)).scalar()
         joined = scores.withColumn("_norm", norm).select(

@@ -16,12 +16,19 @@ TILE = 256
 _CORNER = ["img_id", "ty", "tx"]
 
 
+def _value_rows(images: DataFrame, values: Column) -> DataFrame:
+    # The outer form keeps Spark from adding a "size > 0" filter that would
+    # compute the values a second time.
+    exploded = images.select("img_id", "width", F.posexplode_outer(values).alias("pos", "v")).where("pos is not null")
+    return exploded.select("img_id", F.expr("cast(pos div width as int)").alias("y"),
+                           (F.col("pos") % F.col("width")).alias("x"), "v")
+
+
 def image_to_pixels(images: DataFrame) -> DataFrame:
     """Gray image rows -> one row per pixel."""
     # Latin-1 maps each byte to the character of the same number.
     values = F.transform(F.split(F.decode("data", "ISO-8859-1"), ""), lambda c: F.ascii(c))
-    return images.select("img_id", "width", F.posexplode(values).alias("pos", "v")).select(
-        "img_id", F.expr("cast(pos div width as int)").alias("y"), (F.col("pos") % F.col("width")).alias("x"), "v")
+    return _value_rows(images, values)
 
 
 def pixels_to_image(pixels: DataFrame) -> DataFrame:
@@ -52,10 +59,7 @@ def gray(images: DataFrame) -> DataFrame:
         colour = F.round(0.299 * channel(i, 2) + 0.587 * channel(i, 1) + 0.114 * channel(i, 0)).cast("int")
         return F.when(F.col("nChannels") == 1, channel(i, 0)).otherwise(colour)
 
-    exploded = ok.withColumn("bytes", bytes_).select(
-        "img_id", "width", F.posexplode(F.transform(places, value)).alias("pos", "v"))
-    return exploded.select("img_id", F.expr("cast(pos div width as int)").alias("y"),
-                           (F.col("pos") % F.col("width")).alias("x"), "v")
+    return _value_rows(ok.withColumn("bytes", bytes_), F.transform(places, value))
 
 
 # Per-image facts ----------------------------------------------------------
