@@ -23,9 +23,16 @@ def join_per_key(rows: DataFrame, per_key: DataFrame, key: str, spread: list, ho
     return salted.join(repeated, [key, "_salt"], how).drop("_salt")
 
 
-def truth_join(truth: DataFrame, result: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Pair truth and result by key (never by listing order)."""
-    return truth.join(result, key)
+def truth_join(truth: DataFrame, result: DataFrame, key: str = "doc_id", missing_as_empty: bool = False) -> DataFrame:
+    """Pair truth and result by key (never by listing order).
+
+    With ``missing_as_empty`` a truth without a result is paired with empty
+    texts instead of dropping out.
+    """
+    if not missing_as_empty:
+        return truth.join(result, key)
+    texts = [f.name for f in result.schema if f.dataType.typeName() == "string" and f.name != key]
+    return truth.join(result, key, "left").na.fill("", texts)
 
 
 def unpaired_keys(truth: DataFrame, result: DataFrame, key: str = "doc_id") -> DataFrame:

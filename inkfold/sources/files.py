@@ -46,17 +46,20 @@ def file_stem(name: Column) -> Column:
 
 
 def text_scan(spark: SparkSession, folder: str, pattern: str = "*.txt", key_folder: str | None = None) -> DataFrame:
-    """One row per text file: ``name``, ``doc_id`` and the whole ``text``.
+    """One row per text file: ``name``, ``doc_id`` and the whole ``text`` (line ends as \\n).
 
     The key is the number in the file name, or with ``key_folder`` the number
-    in the folder ``<key_folder>=<n>`` as written by ``text_sink``.
+    in the folder ``<key_folder>=<n>`` as written by ``text_sink``. Spark does
+    not list files without content; ``truth_join(..., missing_as_empty=True)``
+    scores those as empty results.
     """
     files = (spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
              .text(folder, wholetext=True))
+    text = F.regexp_replace("value", "\r\n?", "\n")
     key = file_key(F.col("_metadata.file_name"))
     if key_folder:
         key = F.regexp_extract(F.col("_metadata.file_path"), f"/{key_folder}=([0-9]+)/", 1).try_cast("bigint")
-    return files.select(F.col("_metadata.file_name").alias("name"), key.alias("doc_id"), F.col("value").alias("text"))
+    return files.select(F.col("_metadata.file_name").alias("name"), key.alias("doc_id"), text.alias("text"))
 
 
 def image_scan(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
