@@ -8,6 +8,8 @@ exact number, no text is cut.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
@@ -17,16 +19,18 @@ from pyspark.sql import types as T
 # White space as str.strip() and Python's \s see it.
 WHITE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
-# Character pairs up to this many cells stay in the JVM.
-NATIVE_CELLS = 10_000
-# Word pairs up to this many characters together stay in the JVM.
-NATIVE_CHARS = 300
-# One character per distinct word of such a pair: n characters hold at most n/2 + 1 words.
+_WHITE_CHARS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
+# Pairs up to this many characters together stay in the JVM.
+NATIVE_CHARS = 200
+# One character per distinct word of such a pair.
 _WORD_CODES = "".join(chr(0x100 + i) for i in range(NATIVE_CHARS))
+# Sequences above this many items are first tried in a band around the diagonal.
+BAND_ITEMS = 2_500
 
 
 def strip_ends(text: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(text, f"^[{WHITE}]+", ""), f"[{WHITE}]+\\z", "")
+    return F.btrim(text, F.lit(_WHITE_CHARS))
 
 
 def text_normalize(text: Column) -> Column:
@@ -72,51 +76,94 @@ def edit_distance(a, b) -> int:
             bits[i >> 3] |= 1 << (i & 7)
         matches[item] = int.from_bytes(bits, "little")
 
-    full, top = (1 << size) - 1, size - 1
-    plus, minus, distance = full, 0, size
+    gap = size - len(b)
+    slack = max(64, size >> 4)
+    while size > BAND_ITEMS and (gap + slack) * 3 < size * 2:
+        found = _distance_in_band(matches, gap, b, slack // 2)
+        if found is not None:
+            return found
+        slack *= 4
+    return _distance_in_table(matches, size, b)
+
+
+def _distance_in_table(matches: dict, size: int, b) -> int:
+    """Bit-parallel columns of the whole table: +1 and -1 steps down a column as bits."""
+    full = (1 << size) - 1
+    plus, minus, find = full, 0, matches.get
     for item in b:
-        same = matches.get(item, 0)
-        vertical = same | minus
-        horizontal = (((same & plus) + plus) ^ plus) | same
-        up = minus | (full & ~(horizontal | plus))
-        down = plus & horizontal
-        if up >> top & 1:
-            distance += 1
-        elif down >> top & 1:
-            distance -= 1
-        up = (up << 1) | 1
-        plus = (down << 1 | ~(vertical | up)) & full
-        minus = up & vertical
+        same = find(item, 0)
+        diagonal = (((same & plus) + plus) ^ plus) | same | minus
+        right = (minus | (full & ~(diagonal | plus))) << 1 | 1
+        plus = ((diagonal & plus) << 1 | ~(diagonal | right)) & full
+        minus = diagonal & right & full
+    return len(b) + plus.bit_count() - minus.bit_count()
+
+
+# Columns that share one cut of the match bits.
+_BAND_STEP = 512
+
+
+def _distance_in_band(matches: dict, gap: int, b, side: int) -> int | None:
+    """The same columns, only within ``side`` cells around the diagonals 0 to ``gap``.
+
+    An alignment of up to ``gap + 2 * side`` edits never leaves that band, so a
+    distance found within this bound is exact; above it None is returned.
+    The band moves down one row per column. Rows before the first one carry
+    -1 steps, which keeps the first row counting insertions.
+    """
+    width = gap + 2 * side + 1
+    full, edge, end = (1 << width) - 1, 1 << (width - 1), side + gap
+    cut_mask = (1 << (width + _BAND_STEP)) - 1
+    minus = (1 << (side + 1)) - 1
+    plus = full ^ minus
+    distance, bound = gap, gap + 2 * side
+    for start in range(0, len(b), _BAND_STEP):
+        low = start - side  # first row of the cut
+        cuts: dict = {}
+        for offset, item in enumerate(b[start:start + _BAND_STEP]):
+            cut = cuts.get(item)
+            if cut is None:
+                bits = matches.get(item, 0)
+                cut = cuts[item] = (bits >> low if low >= 0 else bits << -low) & cut_mask
+            same = cut >> offset & full
+            plus, minus = plus >> 1 | edge, minus >> 1
+            diagonal = ((((same & plus) + plus) ^ plus) | same | minus) & full
+            distance += ~diagonal >> end & 1
+            right = (minus | (full ^ (diagonal | plus))) << 1 | 1
+            left = (diagonal & plus) << 1
+            plus = (left | ~(diagonal | right)) & full
+            minus = diagonal & right
+        if distance > bound:
+            return None
     return distance
 
 
-def _distances(pairs) -> pd.Series:
-    return pd.Series(
-        [None if a is None or b is None else edit_distance(a, b) for a, b in pairs], dtype="Int64"
-    )
+_COUNTS = T.StructType([T.StructField("edits", T.LongType()), T.StructField("items", T.LongType())])
 
 
-@F.pandas_udf(T.LongType())
-def _char_distance_arrow(a: pd.Series, b: pd.Series) -> pd.Series:
-    return _distances(zip(a, b))
+def _normal_words(text: str) -> list[str]:
+    return [w for w in re.sub(r"\s\s+", " ", text).strip().split(" ") if w]
 
 
-def _split_words(text):
-    return None if text is None else [w for w in text.split(" ") if w]
+def _counts(truth: pd.Series, result: pd.Series, items) -> pd.DataFrame:
+    rows = []
+    for a, b in zip(truth, result):
+        if a is None or b is None:
+            rows.append((None, None))
+        else:
+            a = items(a)
+            rows.append((edit_distance(a, items(b)), len(a)))
+    return pd.DataFrame(rows, columns=_COUNTS.names, dtype="Int64")
 
 
-@F.pandas_udf(T.LongType())
-def _word_distance_arrow(a: pd.Series, b: pd.Series) -> pd.Series:
-    return _distances((_split_words(x), _split_words(y)) for x, y in zip(a, b))
+@F.pandas_udf(_COUNTS)
+def _char_counts_arrow(truth: pd.Series, result: pd.Series) -> pd.DataFrame:
+    return _counts(truth, result, str.strip)
 
 
-def char_edits(truth: Column, result: Column) -> Column:
-    """Character edits between two texts, ends stripped."""
-    small = F.length(truth).cast("bigint") * F.length(result) <= NATIVE_CELLS
-    return F.coalesce(
-        F.when(small, F.levenshtein(strip_ends(truth), strip_ends(result))).cast("bigint"),
-        _char_distance_arrow(strip_ends(F.when(~small, truth)), strip_ends(F.when(~small, result))),
-    )
+@F.pandas_udf(_COUNTS)
+def _word_counts_arrow(truth: pd.Series, result: pd.Series) -> pd.DataFrame:
+    return _counts(truth, result, _normal_words)
 
 
 def let(value: Column, use) -> Column:
@@ -124,35 +171,61 @@ def let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _short_word_edits(truth: Column, result: Column) -> Column:
+def _pair(edits: Column, items: Column) -> Column:
+    return F.struct(edits.cast("bigint").alias("edits"), items.cast("bigint").alias("items"))
+
+
+def _short_char_counts(truth: Column, result: Column) -> Column:
+    return let(F.struct(strip_ends(truth).alias("a"), strip_ends(result).alias("b")),
+               lambda p: _pair(F.levenshtein(p["a"], p["b"]), F.length(p["a"])))
+
+
+def _short_word_counts(truth: Column, result: Column) -> Column:
     def encode(side: Column, vocabulary: Column) -> Column:
         codes = F.transform(side, lambda w: F.substring(F.lit(_WORD_CODES), F.array_position(vocabulary, w), 1))
         return F.array_join(codes, "")
 
     return let(F.struct(words(truth).alias("a"), words(result).alias("b")), lambda p: let(
         F.array_distinct(F.concat(p["a"], p["b"])),
-        lambda v: F.levenshtein(encode(p["a"], v), encode(p["b"], v))))
+        lambda v: _pair(F.levenshtein(encode(p["a"], v), encode(p["b"], v)), F.size(p["a"]))))
 
 
-def word_edits(truth: Column, result: Column) -> Column:
-    """Word edits between two texts after white-space normalization."""
+def _by_length(truth: Column, result: Column, short, long) -> Column:
+    """Struct of edits and truth items; short pairs in the JVM, long ones through Arrow."""
     small = F.length(truth) + F.length(result) <= NATIVE_CHARS
-    return F.coalesce(
-        F.when(small, _short_word_edits(truth, result)).cast("bigint"),
-        _word_distance_arrow(
-            text_normalize(F.when(~small, truth)), text_normalize(F.when(~small, result))
-        ),
-    )
+    return F.coalesce(F.when(small, short(truth, result)), F.when(~small, long(F.when(~small, truth), F.when(~small, result))))
+
+
+def char_counts(truth: Column, result: Column) -> Column:
+    """Character edits between two texts and characters of the truth, ends stripped."""
+    return _by_length(truth, result, _short_char_counts, _char_counts_arrow)
+
+
+def word_counts(truth: Column, result: Column) -> Column:
+    """Word edits between two texts and words of the truth, after white-space normalization."""
+    return _by_length(truth, result, _short_word_counts, _word_counts_arrow)
+
+
+def char_edits(truth: Column, result: Column) -> Column:
+    return char_counts(truth, result)["edits"]
+
+
+def word_edits(truth: Column, result: Column) -> Column:
+    return word_counts(truth, result)["edits"]
+
+
+def _rate(counts: Column) -> Column:
+    return let(counts, lambda c: F.try_divide(c["edits"].cast("double"), c["items"].cast("double")))
 
 
 def cer(truth: Column, result: Column) -> Column:
     """Character error rate; null for an empty truth, may exceed 1."""
-    return F.try_divide(char_edits(truth, result).cast("double"), F.length(strip_ends(truth)).cast("double"))
+    return _rate(char_counts(truth, result))
 
 
 def wer(truth: Column, result: Column) -> Column:
     """Word error rate; null for an empty truth, may exceed 1."""
-    return F.try_divide(word_edits(truth, result).cast("double"), F.size(words(truth)).cast("double"))
+    return _rate(word_counts(truth, result))
 
 
 def count_edits(truth: list, result: list) -> tuple[int, int, int, int]:
@@ -187,7 +260,7 @@ _EDIT_STATS = T.StructType([
 @F.pandas_udf(_EDIT_STATS)
 def _edit_stats_arrow(a: pd.Series, b: pd.Series) -> pd.DataFrame:
     rows = [
-        (None,) * 4 if x is None or y is None else count_edits(_split_words(x), _split_words(y))
+        (None,) * 4 if x is None or y is None else count_edits(_normal_words(x), _normal_words(y))
         for x, y in zip(a, b)
     ]
     return pd.DataFrame(rows, columns=_EDIT_STATS.names, dtype="Int64")
@@ -195,7 +268,7 @@ def _edit_stats_arrow(a: pd.Series, b: pd.Series) -> pd.DataFrame:
 
 def edit_stats(truth: Column, result: Column) -> Column:
     """Struct of hits, substitutions, deletions and insertions on words."""
-    return _edit_stats_arrow(text_normalize(truth), text_normalize(result))
+    return _edit_stats_arrow(truth, result)
 
 
 def round2(value: Column) -> Column:

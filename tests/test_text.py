@@ -37,6 +37,24 @@ def test_edit_distance_long():
         assert text.edit_distance(a, noise) == table_distance(a, noise)
 
 
+def test_band_agrees_with_table():
+    rng = random.Random(3)
+    for size in (150, 600, 1300):
+        for rate in (0.0, 0.01, 0.05, 0.2, 0.5):
+            a = "".join(rng.choice("abcdefghijklm") for _ in range(size))
+            b = "".join(rng.choice("abcdefghijklm") if rng.random() < rate else c for c in a if rng.random() > rate / 2)
+            b = b[rng.randint(0, 9):] + "x" * rng.randint(0, 9)
+            long, short = (a, b) if len(a) >= len(b) else (b, a)
+            matches = {c: sum(1 << i for i, d in enumerate(long) if c == d) for c in set(long)}
+            want = table_distance(a, b)
+            gap = len(long) - len(short)
+            assert text._distance_in_table(matches, len(long), short) == want
+            assert text.edit_distance(a, b) == want
+            for side in (0, 1, 5, 40, 300):
+                found = text._distance_in_band(matches, gap, short, side)
+                assert found == (want if want <= gap + 2 * side else None)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.sampled_from("abcd"), max_size=12), st.lists(st.sampled_from("abcd"), max_size=12))
 def test_count_edits(a, b):
@@ -77,7 +95,6 @@ def test_short_and_long_forms_agree(spark, monkeypatch):
         a = " ".join(rng.choice(["ink", "blot", "folio", "é", "x", "wörter"]) for _ in range(rng.randint(1, 60)))
         pairs.append((a, "".join(c for c in a if rng.random() > 0.1)))
     normal = score(spark, pairs)
-    monkeypatch.setattr(text, "NATIVE_CELLS", 0)
     monkeypatch.setattr(text, "NATIVE_CHARS", 0)
     assert score(spark, pairs) == normal
     for (gt, et), (w, c) in zip(pairs, normal):
