@@ -38,7 +38,9 @@ def global_row_number(df: DataFrame, order: list[str], name: str = "idx", ranges
 
     Rows are dealt to key ranges, numbered inside their range and shifted by
     the rows of the ranges before. ``order`` should identify a row, so that
-    equal keys neither pile up in a range nor leave the order open.
+    equal keys neither pile up in a range nor leave the order open. The input
+    is read four times (row count, key sample, range counts, rows): store it
+    first where it is dear to compute.
     """
     keyed = df.withColumn("_key", F.struct(*order))
     bounds = _range_bounds(keyed.select("_key"), ranges)

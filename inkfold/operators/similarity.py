@@ -14,6 +14,8 @@ from inkfold.operators.joins import join_per_key
 
 # Words of a document per block; two blocks are compared in one step.
 BLOCK_WORDS = 1024
+# Labels whose sums a task holds before it passes them on.
+HELD_LABELS = 256
 
 
 def has_vector(tokens: DataFrame) -> DataFrame:
@@ -95,19 +97,25 @@ def set_union(a: DataFrame, b: DataFrame) -> DataFrame:
 def label_spread(vectors: DataFrame, label: str = "label", vec: str = "vec") -> DataFrame:
     """First two principal components of each vector within its label.
 
-    Partial sums per Arrow batch are added up per label (a matrix of vector
-    size squared); only that matrix is decomposed, once per label.
+    Sums are added up inside a task first (a matrix of vector size squared per
+    label), then per label; only that matrix is decomposed, once per label.
     """
+    def moment_rows(sums: dict) -> Iterator[pd.DataFrame]:
+        for name, moments in sums.items():
+            yield pd.DataFrame({
+                "label": name, "place": np.arange(moments.size), "size": moments.shape[0], "value": moments.ravel()})
+        sums.clear()
+
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict = {}
         for batch in batches:
-            for value, rows in batch.groupby("label"):
+            for name, rows in batch.groupby("label"):
                 x = np.stack(rows["vec"].to_numpy()).astype(np.float64)
-                moments = np.c_[np.ones(len(x)), x]
-                moments = moments.T @ moments
-                yield pd.DataFrame({
-                    "label": value, "place": np.arange(moments.size), "size": moments.shape[0],
-                    "value": moments.ravel(),
-                })
+                x = np.c_[np.ones(len(x)), x]
+                sums[name] = sums.get(name, 0.0) + x.T @ x
+            if len(sums) > HELD_LABELS:
+                yield from moment_rows(sums)
+        yield from moment_rows(sums)
 
     def axes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

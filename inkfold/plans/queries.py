@@ -36,6 +36,11 @@ def partitions(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
 
 
+def dealt(fx: Fixtures, df: DataFrame) -> DataFrame:
+    """Rows dealt out evenly, for work that must not wait on how files were split."""
+    return df.repartition(partitions(fx.spark))
+
+
 # Sources and sinks --------------------------------------------------------
 
 
@@ -285,7 +290,7 @@ def pixel_window_join(fx):
 def config_sweep(fx):
     """Mean error rates of every setting over all documents, whole texts."""
     # Dealt out before the sweep: each true text is shuffled once, not once per setting.
-    docs = fx.documents().repartition(partitions(fx.spark))
+    docs = dealt(fx, fx.documents())
     swept = ocr.config_sweep(docs, {name: edit(F.col("gt")) for name, edit in SETTINGS.items()})
     return ocr.ocr_error_summary(ocr.score_texts(swept))
 
@@ -297,7 +302,7 @@ def cross_scalar(fx):
 
 
 def _entity_tokens(fx):
-    resolved = C.longest_match_resolve(C.token_pattern_match(fx.captions()))
+    resolved = C.longest_match_resolve(C.token_pattern_match(dealt(fx, fx.captions())))
     spans = C.span_rows(resolved, "doc_id")
     tokens = fx.captions().select("doc_id", F.posexplode(text.tokens(F.col("text"))).alias("pos", "word"))
     return C.entity_token_join(tokens, spans)
@@ -312,7 +317,7 @@ def entity_token_join(fx):
 
 
 def _caption_sweep(fx):
-    captions = fx.captions().select("doc_id", F.col("text").alias("gt"))
+    captions = dealt(fx, fx.captions()).select("doc_id", F.col("text").alias("gt"))
     edits = dict(SETTINGS, **{"join sentences": lambda t: F.replace(t, F.lit(" Rollfilm"), F.lit("Rollfilm"))})
     return ocr.config_sweep(captions, {name: edit(F.col("gt")) for name, edit in edits.items()})
 
@@ -404,7 +409,7 @@ def vectors_by_label(fx):
 
 
 def _comparison(fx):
-    return records.compare_records(fx.records_a(), fx.records_b())
+    return records.compare_records(dealt(fx, fx.records_a()), fx.records_b())
 
 
 @query
@@ -509,17 +514,17 @@ def local_contrast(fx):
 
 @query
 def token_pattern_match(fx):
-    return C.span_rows(C.token_pattern_match(fx.captions()), "doc_id")
+    return C.span_rows(C.token_pattern_match(dealt(fx, fx.captions())), "doc_id")
 
 
 @query
 def longest_match_resolve(fx):
-    return C.span_rows(C.longest_match_resolve(C.token_pattern_match(fx.captions())), "doc_id")
+    return C.span_rows(C.longest_match_resolve(C.token_pattern_match(dealt(fx, fx.captions()))), "doc_id")
 
 
 @query
 def caption_records(fx):
-    return C.caption_records(fx.captions())
+    return C.caption_records(dealt(fx, fx.captions()))
 
 
 # Sorts and set operations -------------------------------------------------
@@ -544,7 +549,7 @@ def top_words(fx):
 def append_results(fx):
     tables = []
     for name, edit in list(SETTINGS.items())[:2]:
-        pairs = fx.captions().select(F.lit(name).alias("config"), F.col("text").alias("gt"), edit(F.col("text")).alias("et"))
+        pairs = dealt(fx, fx.captions()).select(F.lit(name).alias("config"), F.col("text").alias("gt"), edit(F.col("text")).alias("et"))
         tables.append(ocr.ocr_error_summary(ocr.score_texts(pairs)))
     return ocr.append_results(tables + tables[:1])
 
@@ -572,7 +577,7 @@ def _dropped(fx):
 
 @query
 def cer(fx):
-    docs = _dropped(fx).repartition(partitions(fx.spark))
+    docs = dealt(fx, _dropped(fx))
     return docs.select("doc_id", r6(text.cer(F.col("gt"), F.col("et"))).alias("cer"))
 
 
@@ -584,7 +589,7 @@ def wer(fx):
 
 @query
 def wer_documents(fx):
-    docs = _dropped(fx).repartition(partitions(fx.spark))
+    docs = dealt(fx, _dropped(fx))
     return docs.select("doc_id", r6(text.wer(F.col("gt"), F.col("et"))).alias("wer"))
 
 
@@ -618,7 +623,7 @@ def person_pattern(fx):
 
 @query
 def film_pattern(fx):
-    return C.span_rows(C.token_pattern_match(fx.captions()), "doc_id").where("label = 'FILM'")
+    return C.span_rows(C.token_pattern_match(dealt(fx, fx.captions())), "doc_id").where("label = 'FILM'")
 
 
 @query
@@ -707,5 +712,5 @@ def batch_infer(fx):
 
 @query
 def edit_stats(fx):
-    docs = _dropped(fx).repartition(partitions(fx.spark))
+    docs = dealt(fx, _dropped(fx))
     return docs.select("doc_id", text.edit_stats(F.col("gt"), F.col("et")).alias("s")).select("doc_id", "s.*")
