@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 from inkfold.plans.queries import REGISTRY
 
 HEADLINE = [
-    "config_sweep", "wer_documents", "edit_stats", "ocr_error_summary", "field_wer_means", "match_rates",
+    "config_sweep", "wer_documents", "edit_stats_documents", "ocr_error_summary", "field_wer_means", "match_rates",
     "caption_records", "entity_record", "json_repair_parse", "word_frequency", "top_words", "similar_words",
     "local_contrast", "otsu_threshold", "su_binarize", "binarization_metrics", "drdm", "dice_multiclass",
     "crop_boxes", "exact_split", "batching",

@@ -37,8 +37,11 @@ def similar_token_join(tokens: DataFrame, threshold: float = SIMILARITY_THRESHOL
     """
     if threshold < 0:
         raise ValueError("threshold must not be negative")
-    items = has_vector(tokens).groupBy("doc_id", "word", "vec").agg(F.count("*").alias("n"))
-    blocks = items.groupBy("doc_id").agg(F.ceil(F.count("*") / block_words).cast("int").alias("n_blocks"))
+    known = has_vector(tokens)
+    items = known.groupBy("doc_id", "word", "vec").agg(F.count("*").alias("n"))
+    # An estimate will do: the number of blocks only sets their size.
+    n_items = F.approx_count_distinct(F.xxhash64("word", "vec"))
+    blocks = known.groupBy("doc_id").agg(F.ceil(n_items / block_words).cast("int").alias("n_blocks"))
     placed = join_per_key(items, blocks, "doc_id", ["word"]).withColumn(
         "block", F.pmod(F.hash("word", "vec"), "n_blocks"))
     met = (placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))

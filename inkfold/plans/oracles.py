@@ -414,9 +414,12 @@ def sql() -> dict[str, str]:
     q["round2"] = "SELECT o_orderkey, round(o_totalprice / 7, 2) AS value FROM orders"
     q["cosine"] = "SELECT vec_id, round(list_cosine_similarity(embedding::DOUBLE[], list_reverse(embedding)::DOUBLE[]), 5) AS cosine FROM embeddings"
 
-    # Caller-supplied models.
+    # Caller-supplied models and Arrow functions.
     q["batch_infer"] = """WITH e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
       s AS (SELECT vec_id, (i - 1) // 8 AS eighth, sum(v) AS score FROM e GROUP BY ALL),
       r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, eighth) AS r FROM s)
       SELECT vec_id, eighth, round(score, 5) AS score FROM r WHERE r = 1"""
+    q["edit_stats"] = f"""WITH {CAPTIONS}, swept AS ({_swept(_EDITS)}), w AS (SELECT config, doc_id, {_words('gt')} AS gw, {_words('et')} AS ew FROM swept),
+      v AS (SELECT *, list_distinct(list_concat(gw, ew)) AS voc FROM w)
+      SELECT config, doc_id, levenshtein({_coded('gw', 'voc')}, {_coded('ew', 'voc')}) AS edits, len(gw) AS truth_words, len(ew) - len(gw) AS growth FROM v"""
     return q

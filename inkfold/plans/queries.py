@@ -49,6 +49,8 @@ def text_scan(fx):
     folder = files.work_folder(fx.spark, "text_scan")
     files.text_sink(fx.table("documents"), folder, one_file_per_key=True)
     scanned = files.text_scan(fx.spark, folder, key_folder="doc_id")
+    # Small files come one per partition: fewer tasks read several each.
+    scanned = scanned.coalesce(partitions(fx.spark))
     return scanned.select("doc_id", F.regexp_replace("text", "\n\\z", "").alias("text"))
 
 
@@ -712,5 +714,15 @@ def batch_infer(fx):
 
 @query
 def edit_stats(fx):
+    """Edits, truth words and growth in words of every caption under every setting."""
+    found = _caption_sweep(fx).select("config", "doc_id", text.edit_stats(F.col("gt"), F.col("et")).alias("s"))
+    return found.select(
+        "config", "doc_id", F.expr("s.substitutions + s.deletions + s.insertions").alias("edits"),
+        F.expr("s.hits + s.substitutions + s.deletions").alias("truth_words"),
+        F.expr("s.insertions - s.deletions").alias("growth"))
+
+
+@query
+def edit_stats_documents(fx):
     docs = dealt(fx, _dropped(fx))
     return docs.select("doc_id", text.edit_stats(F.col("gt"), F.col("et")).alias("s")).select("doc_id", "s.*")
