@@ -18,7 +18,7 @@ from inkfold.plans.queries import REGISTRY
 HEADLINE = [
     "config_sweep", "wer_documents", "edit_stats_documents", "ocr_error_summary", "field_wer_means", "match_rates",
     "caption_records", "entity_record", "json_repair_parse", "word_frequency", "top_words", "similar_words",
-    "local_contrast", "otsu_threshold", "su_binarize", "binarization_metrics", "drdm", "dice_multiclass",
+    "local_contrast", "otsu_threshold", "su_binarize", "su_binarize_images", "binarization_metrics", "drdm", "dice_multiclass",
     "crop_boxes", "exact_split", "batching",
 ]
 

@@ -198,6 +198,21 @@ stat AS (SELECT *, CASE WHEN n > 0 THEN CAST(s AS DOUBLE) / n ELSE 0 END AS m FR
 decided AS (SELECT img_id, y, x, v0 AS v, e0 AS e, CASE WHEN n >= 3 AND v0 <= m + sqrt((wvv - 2 * m * wv + m * m * w) / 2) / 2 THEN 0 ELSE 255 END AS b FROM stat)"""
 
 
+def _paper_binarize(k: int) -> str:
+    """Contrast without wrap, Otsu on its levels, mean and deviation over the high-contrast neighbours."""
+    around = f"a.img_id = b.img_id AND b.y BETWEEN a.y - {k} AND a.y + {k} AND b.x BETWEEN a.x - {k} AND a.x + {k}"
+    return f"""WITH {PIXELS},
+near AS (SELECT a.img_id, a.y, a.x, max(b.v) AS hi, min(b.v) AS lo FROM pixels a JOIN pixels b ON {around} GROUP BY ALL),
+cimg AS (SELECT img_id, y, x, CAST(floor(least(CAST((hi - lo) / (hi + lo + CAST(0.001 AS DOUBLE)) AS FLOAT), CAST(1 AS FLOAT)) * CAST(255 AS FLOAT)) AS INT) AS v FROM near),
+{_otsu('cimg')},
+masked AS (SELECT p.img_id, p.y, p.x, p.v, CASE WHEN c.v > level THEN 255 ELSE 0 END AS e FROM pixels p
+  JOIN cimg c ON p.img_id = c.img_id AND p.y = c.y AND p.x = c.x JOIN levels ON p.img_id = levels.img_id),
+s AS (SELECT a.img_id, a.y, a.x, any_value(a.v) AS v, CAST(count(*) FILTER (b.e = 255) AS DOUBLE) AS n,
+  CAST(coalesce(sum(b.v) FILTER (b.e = 255), 0) AS DOUBLE) AS s, CAST(coalesce(sum(b.v * b.v) FILTER (b.e = 255), 0) AS DOUBLE) AS q
+  FROM masked a JOIN masked b ON {around} AND NOT (a.y = b.y AND a.x = b.x) GROUP BY a.img_id, a.y, a.x)
+SELECT img_id, y, x, CASE WHEN n >= 3 AND v <= s / n + sqrt((n * q - s * s) / (n * n)) / 2 THEN 0 ELSE 255 END AS b FROM s"""
+
+
 SPANS = CAPTIONS + """,
 capwords AS (SELECT doc_id, string_split(text, ' ') AS ws FROM captions),
 ct AS (SELECT doc_id, CAST(i - 1 AS INT) AS pos, word FROM (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM capwords)),
@@ -411,6 +426,9 @@ def sql() -> dict[str, str]:
     q["su_binarize"] = f"""WITH {PIXELS}, {_NEAR}, cimg AS (SELECT img_id, y, x, CAST(floor(c * CAST(255 AS FLOAT)) AS INT) AS v FROM contrast),
       {_otsu('cimg')}, masked AS (SELECT p.img_id, p.y, p.x, p.v, CASE WHEN cimg.v > level THEN 255 ELSE 0 END AS e FROM pixels p
       JOIN cimg ON p.img_id = cimg.img_id AND p.y = cimg.y AND p.x = cimg.x JOIN levels ON p.img_id = levels.img_id), {_decide('masked')} SELECT * FROM decided"""
+    q["su_binarize_images"] = q["su_binarize"].replace("SELECT * FROM decided", "SELECT img_id, y, x, b FROM decided")
+    q["su_binarize_paper"] = _paper_binarize(1)
+    q["su_binarize_images_paper"] = _paper_binarize(2)
     q["round2"] = "SELECT o_orderkey, round(o_totalprice / 7, 2) AS value FROM orders"
     q["cosine"] = "SELECT vec_id, round(list_cosine_similarity(embedding::DOUBLE[], list_reverse(embedding)::DOUBLE[]), 5) AS cosine FROM embeddings"
 

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from inkfold.functions import text, vectors
 from inkfold.functions.fixed_values import FIELDS
 from inkfold.operators import captions as C
-from inkfold.operators import inference, joins, masks, ocr, ranking, records, scores, similarity
+from inkfold.operators import inference, joins, masks, ocr, pages, ranking, records, scores, similarity
 from inkfold.operators import pixels as P
 from inkfold.plans.fixtures import SETTINGS, Fixtures
 from inkfold.sources import files
@@ -674,6 +674,23 @@ def su_binarize(fx):
     return P.su_binarize(fx.pixels(), 3, 3)
 
 
+@query
+def su_binarize_paper(fx):
+    return P.su_binarize(fx.pixels(), 3, 3, mode="paper").select("img_id", "y", "x", "b")
+
+
+@query
+def su_binarize_images(fx):
+    binary = pages.su_binarize_images(P.pixels_to_image(fx.pixels()), 3, 3)
+    return P.image_to_pixels(binary).withColumnRenamed("v", "b")
+
+
+@query
+def su_binarize_images_paper(fx):
+    binary = pages.su_binarize_images(P.pixels_to_image(fx.pixels()), 5, 3, mode="paper")
+    return P.image_to_pixels(binary).withColumnRenamed("v", "b")
+
+
 @query
 def display_names(fx):
     means = scores.metric_means(_method_values(fx), ["method"])

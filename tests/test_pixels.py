@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from inkfold import schemas
-from inkfold.operators import masks, pixels, scores
+from inkfold.operators import masks, pages, pixels, scores
 from inkfold.sources import files
 
 
@@ -97,6 +97,7 @@ def test_su_steps_against_brute_force(spark, images, window, mode):
     contrast = pixels.local_contrast(df, window, mode, tile=4).cache()
     result = pixels.su_binarize(df, window, 2, mode, tile=4).cache()
     wide = pixels.su_binarize(df, window, 2, mode).cache()
+    rows = pixels.image_to_pixels(pages.su_binarize_images(pixels.pixels_to_image(df), window, 2, mode)).cache()
     for key, img in images.items():
         shape = (len(img), len(img[0]))
         want = slow_contrast(img, k, mode == "reference")
@@ -107,6 +108,15 @@ def test_su_steps_against_brute_force(spark, images, window, mode):
         assert grid(result, "e", shape, key) == e
         assert grid(result, "b", shape, key) == slow_decide(img, e, k, 2, mode)
         assert grid(wide, "b", shape, key) == grid(result, "b", shape, key)
+        assert grid(rows, "v", shape, key) == grid(result, "b", shape, key)
+
+
+@pytest.mark.parametrize("window, mode", [(3, "reference"), (7, "paper")])
+def test_strips_do_not_matter(monkeypatch, window, mode):
+    image = np.random.default_rng(2).integers(0, 256, (40, 17), dtype=np.uint8)
+    whole = pages.binarize(image, window // 2, 3, mode)
+    monkeypatch.setattr(pages, "STRIP_PIXELS", 50)
+    assert (pages.binarize(image, window // 2, 3, mode) == whole).all()
 
 
 def test_contrast_wraps_in_one_byte(spark):
