@@ -130,6 +130,24 @@ def binarize(image: np.ndarray, k: int, n_min: int, mode: str) -> np.ndarray:
     return out
 
 
+def gray_images(images: DataFrame) -> DataFrame:
+    """Rows of Spark's ``image`` source -> gray image rows, as ``pixels.gray`` without the pixel table."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            data = []
+            for r in batch.itertuples(index=False):
+                cells = np.frombuffer(r.data, dtype=np.uint8).reshape(-1, r.nChannels)
+                if r.nChannels > 1:
+                    blue, green, red = (cells[:, c].astype(np.float64) for c in range(3))
+                    cells = np.floor(0.299 * red + 0.587 * green + 0.114 * blue + 0.5).astype(np.uint8)
+                data.append(cells.tobytes())
+            yield batch.drop(columns="nChannels").assign(data=data)
+
+    readable = images.where("image.height > 0").select(
+        "img_id", "image.height", "image.width", "image.nChannels", "image.data")
+    return readable.mapInPandas(run, "img_id bigint, height int, width int, data binary")
+
+
 def su_binarize_images(images: DataFrame, window_size: int, n_min: int, mode: str = "reference") -> DataFrame:
     """Image rows (img_id, height, width, data) -> the same with binary data (0 ink, 255 paper)."""
     _check_mode(mode)

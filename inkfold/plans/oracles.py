@@ -302,12 +302,12 @@ def sql() -> dict[str, str]:
       CASE WHEN img_id % 4 < 2 AND img_id % 2 = 1 THEN 7 - x ELSE x END AS x, v FROM pixels"""
 
     # Joins.
-    q["truth_join"] = f"""WITH {DROPPED} SELECT doc_id, length(gt) AS gt_chars, length(et) AS et_chars FROM dropped
+    q["truth_join"] = f"""WITH {DROPPED} SELECT doc_id, CAST(length(gt) AS INT) AS gt_chars, CAST(length(et) AS INT) AS et_chars FROM dropped
       WHERE doc_id IN (SELECT doc_id FROM labels)"""
     q["unpaired_keys"] = "SELECT doc_id, 'result' AS missing FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)"
     q["image_mask_join"] = f"WITH {MASKS} SELECT img_id, y, x, v, gt FROM pixels JOIN masks USING (img_id, y, x)"
-    q["image_mask_files"] = """SELECT concat('img', vec_id) AS key, 1 AS n_images, concat('img', vec_id, '.png') AS image,
-      CASE WHEN label IN (3, 5) THEN 0 ELSE 1 END AS n_masks, CASE WHEN label NOT IN (3, 5) THEN concat('img', vec_id, '_gt.tif') END AS mask,
+    q["image_mask_files"] = """SELECT concat('img', vec_id) AS key, CAST(1 AS BIGINT) AS n_images, concat('img', vec_id, '.png') AS image,
+      CAST(CASE WHEN label IN (3, 5) THEN 0 ELSE 1 END AS BIGINT) AS n_masks, CASE WHEN label NOT IN (3, 5) THEN concat('img', vec_id, '_gt.tif') END AS mask,
       label NOT IN (3, 5) AS valid FROM embeddings"""
     q["record_pair_join"] = f"WITH {PAIRS} SELECT * FROM pairs"
     q["similar_token_join"] = f"""WITH {TOKEN_VECTORS} SELECT doc_id, word, similar_word, round(max(cosine), 5) AS cosine, count(*) AS n_pairs
@@ -321,7 +321,7 @@ def sql() -> dict[str, str]:
     q["crop_boxes_padded"] = f"""WITH {PIXELS}, {BOXES}, g AS (SELECT img_id, det_no, greatest(0, {wide['x'].format(s='-')}) AS x1,
       greatest(0, {wide['y'].format(s='-')}) AS y1, {wide['x'].format(s='+')} AS x2, {wide['y'].format(s='+')} AS y2 FROM boxes)
       SELECT img_id, det_no, y - y1 AS y, x - x1 AS x, v FROM pixels JOIN g USING (img_id) WHERE y >= y1 AND y < y2 AND x >= x1 AND x < x2"""
-    q["pixel_window_join"] = f"""WITH {PIXELS} SELECT a.img_id, a.y, a.x, count(*) AS n, sum(b.v) AS total, sum(b.y * 8 + b.x) AS places
+    q["pixel_window_join"] = f"""WITH {PIXELS} SELECT a.img_id, a.y, a.x, count(*) AS n, CAST(sum(b.v) AS BIGINT) AS total, CAST(sum(b.y * 8 + b.x) AS BIGINT) AS places
       FROM pixels a JOIN pixels b ON a.img_id = b.img_id AND abs(a.y - b.y) <= 2 AND abs(a.x - b.x) <= 2 GROUP BY ALL"""
     q["cross_scalar"] = "SELECT doc_id, n_chars, (SELECT max(n_chars) FROM documents) AS longest FROM documents"
     q["entity_token_join"] = f"WITH {SPANS} SELECT * FROM enttok"
@@ -343,7 +343,7 @@ def sql() -> dict[str, str]:
     q["distinct_mask_triples"] = f"WITH {PIXELS} SELECT DISTINCT concat(v // 64, ',', v // 32, ',', v // 16) AS value FROM pixels"
     q["gray_histogram"] = f"WITH {PIXELS} SELECT img_id, v, count(*) AS n FROM pixels GROUP BY ALL"
     q["running_histogram"] = f"""WITH {PIXELS}, h AS (SELECT img_id, v, count(*) AS n FROM pixels GROUP BY ALL)
-      SELECT img_id, v, n, sum(n) OVER w AS n_upto, sum(n * v) OVER w AS s_upto FROM h
+      SELECT img_id, v, n, CAST(sum(n) OVER w AS BIGINT) AS n_upto, CAST(sum(n * v) OVER w AS BIGINT) AS s_upto FROM h
       WINDOW w AS (PARTITION BY img_id ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
     q["otsu_threshold"] = f"""WITH {PIXELS}, {_otsu('pixels')} SELECT img_id, y, x, v, CASE WHEN v > level THEN 255 ELSE 0 END AS e
       FROM pixels JOIN levels USING (img_id)"""
@@ -414,7 +414,7 @@ def sql() -> dict[str, str]:
     q["json_strict_parse"] = f"WITH {RAW_JSON} " + _ANSWER.format(ok="kind NOT IN (1, 2)")
     q["build_messages"] = """SELECT conv_id, turn, 0 AS place, 'system' AS role, 'Answer with the five fields.' AS content FROM conversations
       UNION ALL SELECT conv_id, turn, 1, 'user', text FROM conversations"""
-    q["conversation_fold"] = """SELECT conv_id, turn // 4096 AS part, count(*) AS n, string_agg(concat(role, ': ', text), ' | ' ORDER BY turn) AS messages
+    q["conversation_fold"] = """SELECT conv_id, turn // 4096 AS part, CAST(count(*) AS INT) AS n, string_agg(concat(role, ': ', text), ' | ' ORDER BY turn) AS messages
       FROM conversations GROUP BY ALL"""
     masked = f"{_otsu('pixels')}, masked AS (SELECT img_id, y, x, v, CASE WHEN v > level THEN 255 ELSE 0 END AS e FROM pixels JOIN levels USING (img_id))"
     q["su_threshold"] = f"WITH {PIXELS}, {masked}, {_decide('masked')} SELECT img_id, y, x, b FROM decided"

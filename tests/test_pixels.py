@@ -198,6 +198,8 @@ def test_image_scan(spark, tmp_path):
     assert grid(found, "v", (2, 3), 4) == [[0, 255, 7], [1, 2, 3]]
     assert grid(found, "v", (2, 2), 12) == [[76, 150], [29, 18]]
     assert found.select("img_id").distinct().count() == 2
+    rows = pixels.image_to_pixels(pages.gray_images(files.image_scan(spark, str(tmp_path))))
+    assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, found.collect()))
 
 
 # Scores and masks ---------------------------------------------------------
