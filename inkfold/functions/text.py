@@ -9,6 +9,7 @@ exact number, no text is cut.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
 import numpy as np
 import pandas as pd
@@ -69,29 +70,55 @@ def edit_distance(a, b) -> int:
     positions: dict = {}
     for i, item in enumerate(a):
         positions.setdefault(item, []).append(i)
-    matches = {}
-    for item, where in positions.items():
-        bits = bytearray(size // 8 + 1)
-        for i in where:
-            bits[i >> 3] |= 1 << (i & 7)
-        matches[item] = int.from_bytes(bits, "little")
-
+    cut = _match_cutter(positions, size)
     gap = size - len(b)
     slack = max(64, size >> 4)
     while size > BAND_ITEMS and (gap + slack) * 3 < size * 2:
-        found = _distance_in_band(matches, gap, b, slack // 2)
+        found = _distance_in_band(cut, gap, b, slack // 2)
         if found is not None:
             return found
         slack *= 4
-    return _distance_in_table(matches, size, b)
+    return _distance_in_table(cut, size, b)
+
+
+def _match_bits(where, low: int, width: int) -> int:
+    """Positions from ``low`` on, below ``low + width``, as bits of a number."""
+    bits = bytearray((width >> 3) + 1)
+    for i in where[bisect_left(where, low):bisect_left(where, low + width)]:
+        i -= low
+        bits[i >> 3] |= 1 << (i & 7)
+    return int.from_bytes(bits, "little")
+
+
+# Match bits held at once for one pair; beyond that they are made when needed.
+_KEPT_BITS = 1 << 29
+
+
+def _match_cutter(positions: dict, size: int):
+    """Function from (item, low, width) to the match bits of that stretch."""
+    if len(positions) * size > _KEPT_BITS:
+        return lambda item, low, width: _match_bits(positions.get(item, ()), low, width)
+    whole = {item: _match_bits(where, 0, size) for item, where in positions.items()}
+
+    def cut(item, low: int, width: int) -> int:
+        bits = whole.get(item, 0)
+        return (bits >> low if low >= 0 else bits << -low) & ((1 << width) - 1)
+
+    return cut
 
 
-def _distance_in_table(matches: dict, size: int, b) -> int:
+def _distance_in_table(cut, size: int, b) -> int:
     """Bit-parallel columns of the whole table: +1 and -1 steps down a column as bits."""
     full = (1 << size) - 1
-    plus, minus, find = full, 0, matches.get
+    plus, minus = full, 0
+    kept: dict = {}
+    find, room = kept.get, max(256, _KEPT_BITS // size)
     for item in b:
-        same = find(item, 0)
+        same = find(item)
+        if same is None:
+            same = cut(item, 0, size)
+            if len(kept) < room:
+                kept[item] = same
         diagonal = (((same & plus) + plus) ^ plus) | same | minus
         right = (minus | (full & ~(diagonal | plus))) << 1 | 1
         plus = ((diagonal & plus) << 1 | ~(diagonal | right)) & full
@@ -103,7 +130,7 @@ def _distance_in_table(matches: dict, size: int, b) -> int:
 _BAND_STEP = 512
 
 
-def _distance_in_band(matches: dict, gap: int, b, side: int) -> int | None:
+def _distance_in_band(cut, gap: int, b, side: int) -> int | None:
     """The same columns, only within ``side`` cells around the diagonals 0 to ``gap``.
 
     An alignment of up to ``gap + 2 * side`` edits never leaves that band, so a
@@ -113,19 +140,16 @@ def _distance_in_band(matches: dict, gap: int, b, side: int) -> int | None:
     """
     width = gap + 2 * side + 1
     full, edge, end = (1 << width) - 1, 1 << (width - 1), side + gap
-    cut_mask = (1 << (width + _BAND_STEP)) - 1
     minus = (1 << (side + 1)) - 1
     plus = full ^ minus
     distance, bound = gap, gap + 2 * side
     for start in range(0, len(b), _BAND_STEP):
-        low = start - side  # first row of the cut
         cuts: dict = {}
         for offset, item in enumerate(b[start:start + _BAND_STEP]):
-            cut = cuts.get(item)
-            if cut is None:
-                bits = matches.get(item, 0)
-                cut = cuts[item] = (bits >> low if low >= 0 else bits << -low) & cut_mask
-            same = cut >> offset & full
+            bits = cuts.get(item)
+            if bits is None:
+                bits = cuts[item] = cut(item, start - side, width + _BAND_STEP)
+            same = bits >> offset & full
             plus, minus = plus >> 1 | edge, minus >> 1
             diagonal = ((((same & plus) + plus) ^ plus) | same | minus) & full
             distance += ~diagonal >> end & 1

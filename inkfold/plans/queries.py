@@ -558,6 +558,7 @@ def append_results(fx):
 
 @query
 def set_union(fx):
+    # Two runs over different documents, together all of them.
     tokens = fx.token_vectors()
     halves = [tokens.where("doc_id < 5"), tokens.where("doc_id >= 5")]
     words = [similarity.similar_words(similarity.similar_token_join(half)) for half in halves]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from inkfold import schemas
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A folder every executor sees, under ``spark.checkpoint.dir``.
+    """A new folder every executor sees, under ``spark.checkpoint.dir``.
 
     Only a local session may do without that setting.
     """
@@ -22,7 +23,7 @@ def work_folder(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         base = os.path.join(tempfile.gettempdir(), "inkfold")
-    return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}/{name}"
+    return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 # File names ---------------------------------------------------------------

@@ -45,16 +45,26 @@ def test_band_agrees_with_table():
             b = "".join(rng.choice("abcdefghijklm") if rng.random() < rate else c for c in a if rng.random() > rate / 2)
             b = b[rng.randint(0, 9):] + "x" * rng.randint(0, 9)
             long, short = (a, b) if len(a) >= len(b) else (b, a)
-            matches = {c: sum(1 << i for i, d in enumerate(long) if c == d) for c in set(long)}
+            places = {c: [i for i, d in enumerate(long) if c == d] for c in set(long)}
             want = table_distance(a, b)
-            gap = len(long) - len(short)
-            assert text._distance_in_table(matches, len(long), short) == want
+            gap, cut = len(long) - len(short), text._match_cutter(places, len(long))
+            assert text._distance_in_table(cut, len(long), short) == want
             assert text.edit_distance(a, b) == want
             for side in (0, 1, 5, 40, 300):
-                found = text._distance_in_band(matches, gap, short, side)
+                found = text._distance_in_band(cut, gap, short, side)
                 assert found == (want if want <= gap + 2 * side else None)
 
 
+def test_items_beyond_the_kept_bits(monkeypatch):
+    monkeypatch.setattr(text, "_KEPT_BITS", 0)
+    rng = random.Random(6)
+    a, b = ([rng.randint(0, 400) for _ in range(n)] for n in (700, 650))
+    assert text.edit_distance(a, b) == table_distance(a, b)
+    a, b = "".join(rng.choice("abcdef") for _ in range(3000)), "".join(rng.choice("abcdef") for _ in range(40))
+    near = a[:900] + b + a[960:]
+    assert text.edit_distance(a, near) == table_distance(a, near)  # in the band
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.sampled_from("abcd"), max_size=12), st.lists(st.sampled_from("abcd"), max_size=12))
 def test_count_edits(a, b):
