@@ -104,8 +104,7 @@ def _copies(place: Column, b: Column) -> Column:
 def mix(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), share: float = 1.0, max_repeat: int = 3) -> DataFrame:
     """How often each document is taken: ``doc_id, source, size, source_size, target, copies``.
 
-    ``sizes`` holds ``doc_id, source, size`` (more columns are carried along
-    only if their names differ from those added). Documents below the threshold
+    ``sizes`` holds ``doc_id, source, size``; other columns are not looked at. Documents below the threshold
     are taken once more than the source's whole copies; the document at the
     threshold is taken when that brings the sum nearer to the target. Rows with
     the same id share a hash and thus their fate. A null id hashes like any

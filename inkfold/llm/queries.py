@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkfold.llm import chat, mixing, quality, topk
+from inkfold.llm import chat, mixing, quality, sentencepiece, simhash, topk
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -17,10 +17,35 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+# Vocabulary files of public tokenizers.
+PIECES = "piece_bpe_32k.model"
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_sentencepiece(spark, sf_dir):
+    """Encoded, decoded again and compared: ``round_trip`` is whether the text came back."""
+    model = sentencepiece.model_bytes(tokenizer_path(PIECES))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = sentencepiece.decode(sentencepiece.encode(docs, model), model)
+    return rows.select("doc_id", "ids", F.size("ids").alias("n_tokens"), F.col("text").eqNullSafe(F.col("decoded")).alias("round_trip"))
+
+
+@query
+def op2_simhash(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3)
+    return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 @query
 def op7_quality_rules(spark, sf_dir):
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
