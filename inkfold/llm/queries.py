@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkfold.llm import chat, mixing, quality, sentencepiece, simhash, topk
+from inkfold.llm import chat, mixing, packing, quality, sentencepiece, simhash, token_counts, topk
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -18,7 +18,9 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 
 
 # Vocabulary files of public tokenizers.
-PIECES = "piece_bpe_32k.model"
+PIECES, WORDS, RANKS = "piece_bpe_32k.model", "word_bpe_49k.json", "byte_bpe_50k.tiktoken"
+# The first id behind the ranks closes a document.
+END = 50256
 
 
 def tokenizer_path(name: str) -> str:
@@ -46,6 +48,24 @@ def op2_simhash(spark, sf_dir):
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@query
+def op3_token_counts(spark, sf_dir):
+    tokenizer = token_counts.Tokenizer.read(tokenizer_path(WORDS), white_separates=True)
+    found = token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer)
+    return found.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
+@query
+def op4_token_packing(spark, sf_dir):
+    """Packed rows; ``ids`` and ``positions`` are rows of the two matrices."""
+    import public_tokenizers
+
+    with open(tokenizer_path(RANKS), "rb") as f:
+        ranks = f.read()
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack(packing.token_rows(docs, ranks, public_tokenizers.PATTERN, END, width=2))
+
+
 @query
 def op7_quality_rules(spark, sf_dir):
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
