@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkfold.llm import chat, line_dedup, mixing, packing, quality, sentencepiece, simhash, token_counts, topk
+from inkfold.llm import chat, line_dedup, mixing, packing, pitman_yor, quality, sentencepiece, simhash, token_counts, topk
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -66,6 +66,12 @@ def op4_token_packing(spark, sf_dir):
     return packing.pack(packing.token_rows(docs, ranks, public_tokenizers.PATTERN, END, width=2))
 
 
+@query
+def op5_lm_scores(spark, sf_dir):
+    held = F.crc32(F.col("doc_id").cast("string")) % 5 == 1
+    return pitman_yor.score(table(spark, sf_dir, "documents"), held)
+
+
 @query
 def op6_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
