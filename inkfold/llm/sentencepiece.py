@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -105,6 +106,29 @@ class Model:
         return model
 
 
+class Paths(dict):
+    """Ids of the stretches seen; a new one goes through the machine.
+
+    When full, what was seen becomes the older half; stretches still in use come back from there.
+    """
+
+    def __init__(self, machine: Transducer) -> None:
+        self.machine = machine
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, stretch: str) -> bytes:
+        found = self.older.get(stretch)
+        if found is None:
+            found = self.machine._emit(self.machine.shortest_path(stretch))
+        if len(self) >= REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        # Long stretches hardly come twice.
+        if len(stretch) <= 64:
+            self[stretch] = found
+        return found
+
+
 class Transducer:
     """The compiled machine of a model; ``encode`` and ``decode`` work on one text."""
 
@@ -128,8 +152,9 @@ class Transducer:
         crossing = any(MARK in p.lstrip(MARK) for p in self.ids)
         gap = f"[{re.escape(alone)}]|" if alone else ""
         self.stretch = re.compile(".+" if crossing else f"{gap}{MARK}+[^{MARK}{alone}]*|[^{MARK}{alone}]+", re.S).findall
-        self.paths: dict[str, bytes] = {}
+        self.paths = Paths(self)
         self.pairs: dict[tuple[str, str], bool] = {}
+        self.stories: dict[str, tuple] = {}
         self.surfaces = [self._surface(i) for i in range(len(model.pieces))]
 
     # Normaliser -------------------------------------------------------------
@@ -143,12 +168,19 @@ class Transducer:
 
     # Pieces -----------------------------------------------------------------
 
-    def merged(self, text: str) -> list[str]:
-        """Pieces of a short text by merging: best score first, leftmost on ties."""
+    def merged(self, piece: str) -> tuple[bool, list[tuple[float, str]], list[tuple[float, str]]]:
+        """How merging builds a piece: best score first, leftmost on ties.
+
+        Gives whether it arrives at the whole piece, and its merges in order:
+        the score of each with the last (and the first) part standing before it.
+        """
         rank, none = self.rank.get, -np.inf
-        parts = list(text)
+        parts = list(piece)
         ranks = [rank(a + b, none) for a, b in zip(parts, parts[1:])]
+        lasts, firsts = [], []
         while ranks and (best := max(ranks)) > none:
+            lasts.append((best, parts[-1]))
+            firsts.append((best, parts[0]))
             at = ranks.index(best)
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
             del ranks[at]
@@ -156,77 +188,130 @@ class Transducer:
                 ranks[at - 1] = rank(parts[at - 1] + parts[at], none)
             if at < len(ranks):
                 ranks[at] = rank(parts[at] + parts[at + 1], none)
-        return parts
+        lasts.append((none, parts[-1]))
+        firsts.append((none, parts[0]))
+        return len(parts) == 1, lasts, firsts
+
+    def story(self, piece: str) -> tuple[bool, list[tuple[float, str]], list[tuple[float, str]]]:
+        found = self.stories.get(piece)
+        if found is None:
+            if len(self.stories) >= REMEMBERED:
+                self.stories.clear()
+            found = self.stories[piece] = self.merged(piece)
+        return found
 
     def allowed(self, before: str, piece: str) -> bool:
-        """Whether merging leaves ``before`` and ``piece`` as they are (weight 0, else infinite)."""
+        """Whether merging leaves ``before`` and ``piece`` as they are (weight 0, else infinite).
+
+        Both are built side by side, the better merge first; they would be
+        joined if at some moment the parts at their border made the best merge.
+        """
+        stays, _, firsts = self.story(piece)
+        if stays and before:
+            lasts, rank, none = self.story(before)[1], self.rank.get, -np.inf
+            i = j = 0
+            while True:
+                left, last = lasts[i]
+                right, first = firsts[j]
+                border = rank(last + first, none)
+                # On ties the leftmost merge comes first.
+                if border > left and border >= right:
+                    stays = False
+                    break
+                if left >= right:
+                    if left == none:
+                        break
+                    i += 1
+                else:
+                    j += 1
         if len(self.pairs) >= REMEMBERED:
             self.pairs.clear()
-        whole = [before, piece] if before else [piece]
-        good = before + piece not in self.ids if before else True
-        good = self.pairs[before, piece] = good and self.merged(before + piece) == whole
-        return good
-
-    def shortest_path(self, text: str) -> list[str]:
-        """Pieces (or unknown single characters) of the best path; ties go to the arc found first."""
-        n, trie, pairs, ids = len(text), self.trie, self.pairs.get, self.ids
-        unigram = self.model.model_type == UNIGRAM
+        self.pairs[before, piece] = stays
+        return stays
+
+    def _ends(self, text: str, at: int) -> list[int]:
+        """Where the pieces that begin at a place end, shortest first; an unknown character is an arc too."""
+        node, end, n, ends = self.trie, at, len(text), []
+        while end < n:
+            node = node.get(text[end])
+            if node is None:
+                break
+            end += 1
+            if "" in node:
+                ends.append(end)
+        if text[at] not in self.ids:
+            ends.insert(0, at + 1)
+        return ends
+
+    def finite_path(self, text: str) -> list[str]:
+        """The only path of finite weight of a BPE lattice.
+
+        All finite arcs weigh 0, so the first path that reaches the end is the
+        shortest. Long arcs are followed first. There is one finite path to a
+        position at most, so a position is left for good once it leads nowhere.
+        """
+        n, pairs = len(text), self.pairs.get
+        back: list[str | None] = [""] + [None] * n
+        trail = [(0, self._ends(text, 0))]
+        while back[n] is None:
+            at, ends = trail[-1]
+            if not ends:
+                trail.pop()
+                continue
+            end = ends.pop()
+            if back[end] is None:
+                before, piece = back[at], text[at:end]
+                good = pairs((before, piece))
+                if good or good is None and self.allowed(before, piece):
+                    back[end] = piece
+                    if end < n:
+                        trail.append((end, self._ends(text, end)))
+        return self._along(back)
+
+    def weighted_path(self, text: str) -> list[str]:
+        """The path of least weight of a unigram lattice; ties go to the arc found first."""
+        n = len(text)
         cost, back = [0.0] + [np.inf] * n, [""] * (n + 1)
         for at in range(n):
-            # Every position is reached: a single character is always an arc that leads on.
-            before, here, node, end = back[at], cost[at], trie, at
-            while end < n:
-                node = node.get(text[end])
-                if node is None:
-                    break
-                end += 1
-                if "" not in node:
-                    continue
-                piece = text[at:end]
-                if unigram:
-                    if here - node[""] < cost[end]:
-                        cost[end], back[end] = here - node[""], piece
-                elif cost[end]:
-                    good = pairs((before, piece))
-                    if good or good is None and self.allowed(before, piece):
-                        cost[end], back[end] = 0.0, piece
-            if text[at] not in ids and here + self.unknown_cost < cost[at + 1]:
-                cost[at + 1], back[at + 1] = here + self.unknown_cost * unigram, text[at]
-        path = []
+            for end in self._ends(text, at):
+                weight = cost[at] - self.rank.get(text[at:end], -self.unknown_cost)
+                if weight < cost[end]:
+                    cost[end], back[end] = weight, text[at:end]
+        return self._along(back)
+
+    @staticmethod
+    def _along(back: list) -> list[str]:
+        path, n = [], len(back) - 1
         while n:
             path.append(back[n])
             n -= len(back[n])
         return path[::-1]
 
+    def shortest_path(self, text: str) -> list[str]:
+        """Pieces (or unknown single characters) of the best path."""
+        return self.weighted_path(text) if self.model.model_type == UNIGRAM else self.finite_path(text)
+
     def _emit(self, path: list[str]) -> bytes:
         out: list[int] = []
-        unknown_before = False
         for piece in path:
             known = self.ids.get(piece)
             if known is not None:
                 out.append(known)
             elif self.model.byte_fallback:
                 out += [self.bytes[b] for b in piece.encode()]
-            elif not unknown_before:
+            else:
                 out.append(self.model.unknown)
-            unknown_before = known is None
-        return np.array(out, dtype="<i4").tobytes()
+        return array("i", out).tobytes()
 
     def encode(self, text: str) -> bytes:
-        """Piece ids as little-endian 32-bit numbers."""
-        paths = self.paths
-        out = []
-        for stretch in self.stretch(self.normalize(text)):
-            found = paths.get(stretch)
-            if found is None:
-                if len(paths) >= REMEMBERED:
-                    paths.clear()
-                found = self._emit(self.shortest_path(stretch))
-                # Long stretches hardly come twice.
-                if len(stretch) <= 64:
-                    paths[stretch] = found
-            out.append(found)
-        return b"".join(out)
+        """Piece ids as 32-bit numbers of this machine's byte order."""
+        found = b"".join(map(self.paths.__getitem__, self.stretch(self.normalize(text))))
+        if self.model.byte_fallback:
+            return found
+        # Unknown characters side by side are one unknown piece.
+        ids = np.frombuffer(found, "i4")
+        unknown = ids == self.model.unknown
+        return ids[~(unknown & np.append(False, unknown[:-1]))].tobytes()
 
     # Decoding ---------------------------------------------------------------
 
@@ -264,7 +349,7 @@ def encode(texts: DataFrame, model: bytes, text: str = "text", ids: str = "ids")
                 part = given.slice(at, 512)
                 found = [None if t is None else machine.encode(t) for t in part.to_pylist()]
                 ends = np.cumsum([0] + [len(f or b"") // 4 for f in found], dtype="i4")
-                values = pa.array(np.frombuffer(b"".join(f or b"" for f in found), dtype="<i4"))
+                values = pa.array(np.frombuffer(b"".join(f or b"" for f in found), dtype="i4"))
                 mask = pa.array([f is None for f in found])
                 lists = pa.ListArray.from_arrays(pa.array(ends), values, mask=mask)
                 yield pa.RecordBatch.from_arrays([*batch.slice(at, 512).columns, lists], names=[*rest, ids])
