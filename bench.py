@@ -13,7 +13,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import SparkSession
 
-from inkfold.plans.queries import REGISTRY
+from inkfold.plans.queries import REGISTRY, TIMED
 
 HEADLINE = [
     "config_sweep", "wer_documents", "edit_stats_documents", "ocr_error_summary", "field_wer_means", "match_rates",
@@ -41,7 +41,7 @@ def main() -> None:
     taken = {}
     for name in HEADLINE:
         began = time.perf_counter()
-        REGISTRY[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        (REGISTRY | TIMED)[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         taken[name] = round(time.perf_counter() - began, 3)
         print(f"{name}: {taken[name]} s", file=sys.stderr, flush=True)
     print(json.dumps({

@@ -252,28 +252,84 @@ def wer(truth: Column, result: Column) -> Column:
     return _rate(word_counts(truth, result))
 
 
+_RATES = T.ArrayType(T.StructType([T.StructField("wer", T.DoubleType()), T.StructField("cer", T.DoubleType())]))
+
+
+def _rates_of(truth: str | None, results: list) -> list[dict]:
+    if truth is None:
+        return [{"wer": None, "cer": None} for _ in results]
+    letters, tokens = truth.strip(), _normal_words(truth)
+    found = []
+    for result in results:
+        pair = {"wer": None, "cer": None}
+        if result is not None and tokens:
+            pair["wer"] = edit_distance(tokens, _normal_words(result)) / len(tokens)
+        if result is not None and letters:
+            pair["cer"] = edit_distance(letters, result.strip()) / len(letters)
+        found.append(pair)
+    return found
+
+
+@F.pandas_udf(_RATES)
+def _all_rates_arrow(truth: pd.Series, results: pd.Series) -> pd.Series:
+    return pd.Series([None if r is None else _rates_of(t, list(r)) for t, r in zip(truth, results)])
+
+
+def all_rates(truth: Column, results: Column) -> Column:
+    """Word and character error rates of several results of one truth, in order.
+
+    The truth goes to the scorer once, however many results it has.
+    """
+    return _all_rates_arrow(truth, results)
+
+
 def count_edits(truth: list, result: list) -> tuple[int, int, int, int]:
     """Hits, substitutions, deletions, insertions of a shortest alignment.
 
     Among the shortest alignments the one with the fewest substitutions is
     taken: an edit costs BASE and a substitution one more, so one cost carries
-    both counts and no traceback has to be kept.
+    both counts and no traceback has to be kept. Equal ends are hits in some
+    best alignment and are cut off; the distance, found first, says how far
+    alignments of that cost can stray from the diagonal.
     """
-    base = len(truth) + len(result) + 1
+    low, n = 0, min(len(truth), len(result))
+    while low < n and truth[low] == result[low]:
+        low += 1
+    high = 0
+    while high < n - low and truth[-1 - high] == result[-1 - high]:
+        high += 1
+    truth, result = truth[low:len(truth) - high], result[low:len(result) - high]
     codes: dict = {}
     t = np.array([codes.setdefault(w, len(codes)) for w in truth], dtype=np.int64)
     r = np.array([codes.setdefault(w, len(codes)) for w in result], dtype=np.int64)
-    ramp = base * np.arange(len(r) + 1, dtype=np.int64)
-    row = ramp.copy()
+    growth, base = len(r) - len(t), len(t) + len(r) + 1
+    if not len(t) or not len(r):
+        return low + high, 0, len(t), len(r)
+    edits = edit_distance(t.tolist(), r.tolist())
+    # Cells (i, j) with i - down <= j <= i + up.
+    down, up = (edits - growth) // 2, (edits + growth) // 2
+    width, far = down + up + 1, base * base
+    place = np.arange(width)
+    padded = np.full(len(r) + len(t) + 2 * width + 2, -1, dtype=np.int64)
+    padded[width:width + len(r)] = r
+    ramp = base * place
+    # Row 0: j = place - down.
+    row = np.where((place >= down) & (place - down <= len(r)), base * (place - down), far)
     for i, word in enumerate(t, start=1):
-        best = row + base
-        np.minimum(best[1:], row[:-1] + np.where(r == word, 0, base + 1), out=best[1:])
+        first = i - down
+        best = np.append(row[1:], far) + base
+        same = padded[first - 1 + width:first - 1 + 2 * width] == word
+        np.minimum(best, row + np.where(same, 0, base + 1), out=best)
+        if first <= 0:
+            best[:-first] = far
+            best[-first] = base * i
+        if i + up > len(r):
+            best[len(r) - first + 1:] = far
         row = np.minimum.accumulate(best - ramp) + ramp
-    edits, substitutions = divmod(int(row[-1]), base)
+    edits, substitutions = divmod(int(row[len(r) - len(t) + down]), base)
     moved = edits - substitutions
-    deletions = (moved + len(t) - len(r)) // 2
-    insertions = moved - deletions
-    return len(t) - substitutions - deletions, substitutions, deletions, insertions
+    deletions = (moved - growth) // 2
+    return low + high + len(t) - substitutions - deletions, substitutions, deletions, moved - deletions
 
 
 _EDIT_STATS = T.StructType([

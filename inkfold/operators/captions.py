@@ -82,13 +82,19 @@ def token_pattern_match(captions: DataFrame, column: str = "text") -> DataFrame:
 
 
 def take_longest(spans) -> list[tuple[int, int, str]]:
-    """Longest span first, then the earliest; a span touching a taken token is dropped."""
+    """Longest span first, then by start, end and label; a span touching a taken token is dropped.
+
+    An empty span has no token: it is dropped only strictly inside a kept one.
+    """
     taken: set[int] = set()
+    inside: set[int] = set()
     kept = []
-    for start, end, label in sorted(spans, key=lambda s: (s[0] - s[1], s[0])):
-        if start not in taken and end - 1 not in taken:
-            taken.update(range(start, end))
-            kept.append((start, end, label))
+    for start, end, label in sorted(spans, key=lambda s: (s[0] - s[1], s[0], s[1], s[2])):
+        if start in inside if start == end else start in taken or end - 1 in taken:
+            continue
+        taken.update(range(start, end))
+        inside.update(range(start + 1, end))
+        kept.append((start, end, label))
     return sorted(kept)
 
 
@@ -108,7 +114,8 @@ def longest_match_resolve(df: DataFrame, column: str = "spans") -> DataFrame:
     """Resolve overlaps in a span array; spans come out in token order.
 
     A few spans are folded in the JVM; arrays with more go to an Arrow UDF,
-    whose cost does not grow with the square of their number.
+    whose cost does not grow with the square of their number. Both take spans in
+    the same order and hold empty spans alike.
     """
     ordered = F.array_sort(F.transform(column, lambda s: F.struct(
         (s["start"] - s["end"]).alias("rank"), s["start"].alias("start"), s["end"].alias("end"),
@@ -155,13 +162,26 @@ def caption_records(captions: DataFrame, column: str = "text") -> DataFrame:
     return resolved.select("doc_id", *[field(f) for f in FIELDS])
 
 
+def entity_tokens(resolved: DataFrame) -> DataFrame:
+    """Tokens inside each entity span, with its label: ``doc_id, pos, word, label``.
+
+    Tokens and spans of a caption sit in one row, so nothing is joined.
+    """
+    spans = span_rows(resolved, "doc_id", "tokens").where(F.col("end") > F.col("start"))
+    places = F.sequence(F.col("start"), F.col("end") - 1)
+    words = F.slice("tokens", F.col("start") + 1, F.col("end") - F.col("start"))
+    return spans.select("doc_id", "label", F.inline_outer(F.arrays_zip(places.alias("pos"), words.alias("word")))).select(
+        "doc_id", "pos", "word", "label")
+
+
 def entity_token_join(tokens: DataFrame, spans: DataFrame) -> DataFrame:
-    """Tokens inside each entity span, with its label.
+    """Tokens of one table inside the entity spans of another, with the label.
 
     Spans become one row per token position, so the join is a plain equi-join
-    on (doc_id, pos) and no document is a group of its own.
+    on (doc_id, pos) and no document is a group of its own. Where both come from
+    one caption row, ``entity_tokens`` needs no join.
     """
-    places = spans.select("doc_id", "label", F.explode(F.sequence(
+    places = spans.where(F.col("end") > F.col("start")).select("doc_id", "label", F.explode(F.sequence(
         F.col("start"), F.col("end") - 1)).alias("pos"))
     return tokens.join(places, ["doc_id", "pos"])
 

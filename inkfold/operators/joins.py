@@ -23,11 +23,11 @@ def join_per_key(rows: DataFrame, per_key: DataFrame, key: str, spread: list, ho
     return salted.join(repeated, [key, "_salt"], how).drop("_salt")
 
 
-def truth_join(truth: DataFrame, result: DataFrame, key: str = "doc_id", missing_as_empty: bool = False) -> DataFrame:
+def truth_join(truth: DataFrame, result: DataFrame, key: str = "doc_id", missing_as_empty: bool = True) -> DataFrame:
     """Pair truth and result by key (never by listing order).
 
-    With ``missing_as_empty`` a truth without a result is paired with empty
-    texts instead of dropping out.
+    A truth without a result is paired with empty texts, since an empty result
+    may come as no row at all; without ``missing_as_empty`` it drops out.
     """
     if not missing_as_empty:
         return truth.join(result, key)

@@ -34,6 +34,19 @@ def score_texts(pairs: DataFrame, truth: str = "gt", result: str = "et") -> Data
             .withColumn("cer", text.cer(truth_col, result_col)))
 
 
+def sweep_scores(docs: DataFrame, settings: dict[str, Column], truth: str = "gt", key: str = "doc_id") -> DataFrame:
+    """``key, config, wer, cer`` of every document under every setting.
+
+    The same rates as ``score_texts`` after ``config_sweep``, for long texts: the
+    settings of a document are scored together, so its true text is handed over,
+    stripped and split once.
+    """
+    scored = docs.select(key, text.all_rates(F.col(truth), F.array(*settings.values())).alias("_rates"))
+    names = F.array(*[F.lit(name) for name in settings])
+    rows = F.inline_outer(F.arrays_zip(names.alias("config"), F.col("_rates")))
+    return scored.select(key, rows).select(key, "config", "_rates.wer", "_rates.cer")
+
+
 def ocr_error_summary(scores: DataFrame, by: str = "config") -> DataFrame:
     """Mean of the per-document rates per setting, two decimals."""
     return scores.groupBy(F.col(by).alias("source")).agg(

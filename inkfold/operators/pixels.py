@@ -32,15 +32,23 @@ def image_to_pixels(images: DataFrame) -> DataFrame:
 
 
 def pixels_to_image(pixels: DataFrame) -> DataFrame:
-    """Pixel rows -> image rows, assembled line by line first."""
+    """Pixel rows -> image rows, assembled line by line first.
+
+    Every pixel must be there once: a gap would move the pixels behind it, so it
+    is an error.
+    """
     def joined(order: str, value: str) -> Column:
         return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, value))), lambda s: s[value]), "")
 
     lines = (pixels.withColumn("c", F.char("v")).groupBy("img_id", "y")
-             .agg(joined("x", "c").alias("line"), F.count("*").cast("int").alias("width")))
-    return lines.groupBy("img_id").agg(
+             .agg(joined("x", "c").alias("line"), F.count("*").cast("int").alias("width"), (F.max("x") + 1).alias("x_end")))
+    images = lines.groupBy("img_id").agg(
         F.count("*").cast("int").alias("height"), F.max("width").alias("width"),
-        F.encode(joined("y", "line"), "ISO-8859-1").alias("data"))
+        F.encode(joined("y", "line"), "ISO-8859-1").alias("data"), (F.max("y") + 1).alias("y_end"),
+        F.max("x_end").alias("x_end"), F.min("width").alias("narrowest"))
+    whole = (F.col("y_end") == F.col("height")) & (F.col("x_end") == F.col("width")) & (F.col("narrowest") == F.col("width"))
+    gap = F.raise_error(F.concat(F.lit("pixels are missing or repeated in image "), F.col("img_id").cast("string"))).cast("binary")
+    return images.select("img_id", "height", "width", F.when(whole, F.col("data")).otherwise(gap).alias("data"))
 
 
 def gray(images: DataFrame) -> DataFrame:
@@ -142,7 +150,11 @@ def crop_boxes(pixels: DataFrame, boxes: DataFrame, gain: float = 1.0, pad: floa
         "img_id", "det_no",
         F.greatest(F.lit(0), edge("x1", "x2", -1)).alias("bx1"), F.greatest(F.lit(0), edge("y1", "y2", -1)).alias("by1"),
         edge("x1", "x2", 1).alias("bx2"), edge("y1", "y2", 1).alias("by2"),
-    ).where("bx2 > bx1 and by2 > by1")
+    )
+    # A box may reach far beyond its image; tiles are listed inside the image only.
+    edges = image_facts(pixels).select("img_id", "h", "w")
+    grown = grown.join(edges, "img_id").withColumn("bx2", F.least("bx2", "w")).withColumn("by2", F.least("by2", "h"))
+    grown = grown.drop("h", "w").where("bx2 > bx1 and by2 > by1")
     listed = (grown.withColumn("ty", F.explode(F.expr(f"sequence(by1 div {tile}, (by2 - 1) div {tile})")))
               .withColumn("tx", F.explode(F.expr(f"sequence(bx1 div {tile}, (bx2 - 1) div {tile})"))))
     tiled = pixels.withColumn("ty", F.expr(f"y div {tile}")).withColumn("tx", F.expr(f"x div {tile}"))

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Size of the key sample that sets the range boundaries of a global numbering.
-SAMPLE_KEYS = 8192
-
+from inkfold.sources.files import work_folder
 
 def path_sort(df: DataFrame, path: str = "path") -> DataFrame:
     """Ascending by path string, so "10" sorts before "2"."""
@@ -18,43 +16,33 @@ def value_sort(df: DataFrame, value: str) -> DataFrame:
     return df.select(value).distinct().orderBy(value)
 
 
-def _range_bounds(keys: DataFrame, ranges: int) -> Column:
-    """Sorted range boundaries as a scalar array, from a hash-chosen key sample.
-
-    The sample is a pure function of the keys, so a recomputed task chooses the
-    same one; about SAMPLE_KEYS keys reach the array whatever the row count.
-    """
-    rate = keys.agg(F.greatest(F.lit(1), F.expr(f"count(*) div {SAMPLE_KEYS}"))).scalar()
-    sampled = keys.where(F.pmod(F.xxhash64("_key"), rate) == 0)
-    array = F.sort_array(F.collect_set("_key"))
-    step = F.expr(f"greatest(1, size(_all) div {ranges})")
-    bounds = sampled.agg(array.alias("_all")).select(
-        F.filter("_all", lambda k, i: (i > 0) & (i % step == 0)).alias("_bounds"))
-    return bounds.scalar()
+# Bits of a row's place that count rows inside its partition.
+_INSIDE = 33
 
 
-def global_row_number(df: DataFrame, order: list[str], name: str = "idx", ranges: int = 256) -> DataFrame:
+def global_row_number(df: DataFrame, order: list[str], name: str = "idx") -> DataFrame:
     """1-based position of each row in the order of ``order`` over the whole table.
 
-    Rows are dealt to key ranges, numbered inside their range and shifted by
-    the rows of the ranges before. ``order`` should identify a row, so that
-    equal keys neither pile up in a range nor leave the order open. The input
-    is read four times (row count, key sample, range counts, rows): store it
-    first where it is dear to compute.
+    Rows are dealt to key ranges (Spark samples the keys; the session's shuffle
+    partitions say how many ranges, so they grow with the cluster), sorted inside
+    their range and stored in the shared folder: the input is read twice, for the
+    sample and for the rows. A stored row's place is its range and its number
+    there; ranges are shifted by the rows of those before. ``order`` should
+    identify a row, so that equal keys neither pile up in a range nor leave the
+    order open.
     """
-    keyed = df.withColumn("_key", F.struct(*order))
-    bounds = _range_bounds(keyed.select("_key"), ranges)
-    ranged = (keyed.withColumn("_bounds", bounds)
-              .withColumn("_range", F.size(F.filter("_bounds", lambda b: b <= F.col("_key"))))
-              .drop("_bounds"))
-    # One row per range: the window below never sees more than `ranges` rows.
-    counts = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
+    spark = df.sparkSession
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    folder = work_folder(spark, "row-number")
+    ranged.withColumn("_place", F.monotonically_increasing_id()).write.parquet(folder)
+    rows = spark.read.parquet(folder)
+    # One row per range passes through the window and the broadcast.
+    counts = rows.groupBy(F.shiftright("_place", _INSIDE).alias("_range")).agg(F.count("*").alias("_n"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     shifts = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
-    inside = F.row_number().over(Window.partitionBy("_range").orderBy("_key"))
-    return (ranged.join(F.broadcast(shifts), "_range")
-            .withColumn(name, F.col("_shift") + inside)
-            .drop("_key", "_range", "_shift"))
+    inside = F.col("_place").bitwiseAND(F.lit((1 << _INSIDE) - 1)) + 1
+    placed = rows.withColumn("_range", F.shiftright("_place", _INSIDE)).join(F.broadcast(shifts), "_range")
+    return placed.select(*df.columns, (F.col("_shift") + inside).alias(name))
 
 
 def sequence_index(df: DataFrame, path: str = "path") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from inkfold import schemas
 from inkfold.functions import text
-from inkfold.functions.fixed_values import DECODE_ERROR, EXTRACTION_PROMPT, FIELDS, LABEL_TO_FIELD, OTHER_FIELD
+from inkfold.functions.fixed_values import DECODE_ERROR, FIELDS, LABEL_TO_FIELD, OTHER_FIELD
 from inkfold.operators.joins import record_pair_join
 
 # Entities or turns per group of the first aggregation step.
@@ -138,7 +138,7 @@ def json_repair_parse(answers: DataFrame, schema: T.StructType = schemas.RECORD,
                     F.when(~valid, DECODE_ERROR).alias("error")))
 
 
-def build_messages(user_text: Column, prompt: str = EXTRACTION_PROMPT) -> Column:
+def build_messages(user_text: Column, prompt: str) -> Column:
     """System prompt and user text as a message array."""
     def message(role: str, content: Column) -> Column:
         return F.struct(F.lit(role).alias("role"), content.alias("content"))
@@ -147,14 +147,15 @@ def build_messages(user_text: Column, prompt: str = EXTRACTION_PROMPT) -> Column
 
 
 def conversation_fold(turns: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """Turns in order as message arrays, one row per conversation and stretch of turns.
+    """Turns in order as a message array: one row per conversation, however long.
 
-    A conversation of up to ``chunk`` turns is one row with ``part`` 0; a longer
-    one continues in the next parts, so no array grows without bound.
+    Turns are sorted and gathered per stretch first, so the sort of a very long
+    conversation is shared by many tasks; then its stretches are joined.
     """
     message = F.struct("turn", F.col("role"), F.col("text").alias("content"))
-    return (turns.groupBy("conv_id", F.expr(f"turn div {chunk}").alias("part"))
-            .agg(F.array_sort(F.collect_list(message)).alias("_turns"))
-            .select("conv_id", "part",
-                    F.transform("_turns", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
-                    .alias("messages")))
+    stretches = turns.groupBy("conv_id", F.expr(f"turn div {chunk}").alias("part")).agg(
+        F.array_sort(F.collect_list(message)).alias("turns"))
+    whole = stretches.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("part", "turns"))).alias("parts"))
+    in_order = F.flatten(F.transform("parts", lambda p: p["turns"]))
+    return whole.select("conv_id", F.transform(in_order, lambda m: F.struct(
+        m["role"].alias("role"), m["content"].alias("content"))).alias("messages"))

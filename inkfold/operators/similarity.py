@@ -98,7 +98,7 @@ def set_union(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def label_spread(vectors: DataFrame, label: str = "label", vec: str = "vec") -> DataFrame:
-    """First two principal components of each vector within its label.
+    """First two principal components of each vector within its label (no label: a group of its own).
 
     Sums are added up inside a task first (a matrix of vector size squared per
     label), then per label; only that matrix is decomposed, once per label.
@@ -106,13 +106,13 @@ def label_spread(vectors: DataFrame, label: str = "label", vec: str = "vec") ->
     def moment_rows(sums: dict) -> Iterator[pd.DataFrame]:
         for name, moments in sums.items():
             yield pd.DataFrame({
-                "label": name, "place": np.arange(moments.size), "size": moments.shape[0], "value": moments.ravel()})
+                "key": name, "place": np.arange(moments.size), "size": moments.shape[0], "value": moments.ravel()})
         sums.clear()
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict = {}
         for batch in batches:
-            for name, rows in batch.groupby("label"):
+            for name, rows in batch.groupby("key"):
                 x = np.stack(rows["vec"].to_numpy()).astype(np.float64)
                 x = np.c_[np.ones(len(x)), x]
                 sums[name] = sums.get(name, 0.0) + x.T @ x
@@ -129,17 +129,21 @@ def label_spread(vectors: DataFrame, label: str = "label", vec: str = "vec") ->
                 top = np.linalg.eigh(cov)[1][:, ::-1][:, :2]
                 top = top * np.where(top[np.abs(top).argmax(axis=0), [0, 1]] < 0, -1.0, 1.0)
                 yield pd.DataFrame({
-                    "label": [row.label], "mean": [mean], "axis1": [top[:, 0]], "axis2": [top[:, 1]]})
+                    "key": [row.key], "mean": [mean], "axis1": [top[:, 0]], "axis2": [top[:, 1]]})
 
     named = vectors.withColumn("label", F.col(label).cast("string")).withColumn("vec", F.col(vec))
-    sums = named.select("label", "vec").mapInPandas(
-        partial, "label string, place int, size int, value double")
-    matrix = (sums.groupBy("label", "place", "size").agg(F.sum("value").alias("value"))
-              .groupBy("label", "size").agg(F.array_sort(F.collect_list(F.struct("place", "value"))).alias("cells"))
-              .select("label", "size", F.col("cells.value").alias("moments")))
+    # Vectors without a label are a group of their own.
+    named = named.withColumn("key", F.coalesce(F.concat(F.lit("="), F.col("label")), F.lit("")))
+    sums = named.select("key", "vec").mapInPandas(
+        partial, "key string, place int, size int, value double")
+    matrix = (sums.groupBy("key", "place", "size").agg(F.sum("value").alias("value"))
+              .groupBy("key", "size").agg(F.array_sort(F.collect_list(F.struct("place", "value"))).alias("cells"))
+              .select("key", "size", F.col("cells.value").alias("moments")))
     views = matrix.mapInPandas(
-        axes, "label string, mean array<double>, axis1 array<double>, axis2 array<double>")
-    joined = join_per_key(named, views, "label", ["vec"])
+        axes, "key string, mean array<double>, axis1 array<double>, axis2 array<double>")
+    # The vectors of a label are dealt by row, so equal ones do not share a part.
+    placed = named.withColumn("_row", F.monotonically_increasing_id())
+    joined = join_per_key(placed, views, "key", ["_row"]).drop("_row", "key")
 
     def project(axis: str):
         centred = F.zip_with("vec", "mean", lambda v, m: v - m)

@@ -18,6 +18,26 @@ SETTINGS = {
     "join sentences": lambda t: F.replace(t, F.lit(". "), F.lit(".")),
 }
 
+# Stands for what an extractor could not read; no document holds it.
+UNREAD = "\ue000"
+
+
+def drop_words(t):
+    return F.regexp_replace(t, " th[^ ]*", "")
+
+
+def mask_letters(t):
+    return F.translate(t, "ou", UNREAD * 2)
+
+
+# Settings whose distance from the truth is known in closed form: words left
+# out, letters replaced by one found nowhere, words put in.
+KNOWN_SETTINGS = {
+    "drop words": drop_words,
+    "mask letters": mask_letters,
+    "insert marks": lambda t: F.replace(t, F.lit(". "), F.lit(f". {UNREAD} ")),
+}
+
 
 class Fixtures:
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -84,8 +104,8 @@ class Fixtures:
         months = F.array(*[F.lit(m) for m in ["Januar", "Februar", "April", "Mai", "Juni", "Oktober", "Nov.", "Feber"]])
         text = F.concat(
             "n_name", F.lit(" "), "c_mktsegment", F.lit(" "), F.get(months, (key % 8).cast("int")), F.lit(" "),
-            F.year("o_orderdate").cast("string"), F.lit(" Aufn. Meisinger"),
-            F.when(key % 5 == 0, " Ö1").otherwise(""), F.lit(" Rollfilm "), key.cast("string"), F.lit(" KIX"),
+            F.year("o_orderdate").cast("string"), F.lit(" Aufn. Lindtaler"),
+            F.when(key % 5 == 0, " Ö1").otherwise(""), F.lit(" Rollfilm "), key.cast("string"), F.lit(" ZV"),
             F.when(key % 3 == 0, " Übersicht Nord").otherwise(""))
         return self.orders().select(key.alias("doc_id"), text.alias("text"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from inkfold.functions.fixed_values import FIELDS, LABEL_TO_FIELD, METRIC_LABELS, MONTHS
+from inkfold.plans.fixtures import UNREAD
 
 # Inputs -------------------------------------------------------------------
 
@@ -48,8 +49,8 @@ ord AS (SELECT * FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation
 CAPTIONS = ORDERS + """,
 captions AS (SELECT o_orderkey AS doc_id, concat(n_name, ' ', c_mktsegment, ' ',
   list_extract(['Januar', 'Februar', 'April', 'Mai', 'Juni', 'Oktober', 'Nov.', 'Feber'], CAST(o_orderkey % 8 + 1 AS INT)),
-  ' ', CAST(year(o_orderdate) AS VARCHAR), ' Aufn. Meisinger', CASE WHEN o_orderkey % 5 = 0 THEN ' Ö1' ELSE '' END,
-  ' Rollfilm ', CAST(o_orderkey AS VARCHAR), ' KIX', CASE WHEN o_orderkey % 3 = 0 THEN ' Übersicht Nord' ELSE '' END) AS text
+  ' ', CAST(year(o_orderdate) AS VARCHAR), ' Aufn. Lindtaler', CASE WHEN o_orderkey % 5 = 0 THEN ' Ö1' ELSE '' END,
+  ' Rollfilm ', CAST(o_orderkey AS VARCHAR), ' ZV', CASE WHEN o_orderkey % 3 = 0 THEN ' Übersicht Nord' ELSE '' END) AS text
   FROM ord)"""
 
 ENTITIES = ORDERS + """,
@@ -302,8 +303,8 @@ def sql() -> dict[str, str]:
       CASE WHEN img_id % 4 < 2 AND img_id % 2 = 1 THEN 7 - x ELSE x END AS x, v FROM pixels"""
 
     # Joins.
-    q["truth_join"] = f"""WITH {DROPPED} SELECT doc_id, CAST(length(gt) AS INT) AS gt_chars, CAST(length(et) AS INT) AS et_chars FROM dropped
-      WHERE doc_id IN (SELECT doc_id FROM labels)"""
+    q["truth_join"] = f"""WITH {DROPPED} SELECT doc_id, CAST(length(gt) AS INT) AS gt_chars,
+      CAST(CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN length(et) ELSE 0 END AS INT) AS et_chars FROM dropped"""
     q["unpaired_keys"] = "SELECT doc_id, 'result' AS missing FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)"
     q["image_mask_join"] = f"WITH {MASKS} SELECT img_id, y, x, v, gt FROM pixels JOIN masks USING (img_id, y, x)"
     q["image_mask_files"] = """SELECT concat('img', vec_id) AS key, CAST(1 AS BIGINT) AS n_images, concat('img', vec_id, '.png') AS image,
@@ -324,7 +325,7 @@ def sql() -> dict[str, str]:
     q["pixel_window_join"] = f"""WITH {PIXELS} SELECT a.img_id, a.y, a.x, count(*) AS n, CAST(sum(b.v) AS BIGINT) AS total, CAST(sum(b.y * 8 + b.x) AS BIGINT) AS places
       FROM pixels a JOIN pixels b ON a.img_id = b.img_id AND abs(a.y - b.y) <= 2 AND abs(a.x - b.x) <= 2 GROUP BY ALL"""
     q["cross_scalar"] = "SELECT doc_id, n_chars, (SELECT max(n_chars) FROM documents) AS longest FROM documents"
-    q["entity_token_join"] = f"WITH {SPANS} SELECT * FROM enttok"
+    q["entity_token_join"] = q["entity_tokens"] = f"WITH {SPANS} SELECT * FROM enttok"
 
     # Aggregations.
     q["ocr_error_summary"] = f"WITH {SCORED} SELECT config AS source, round(avg(wer), 2) AS wer, round(avg(cer), 2) AS cer FROM scored GROUP BY config"
@@ -389,8 +390,10 @@ def sql() -> dict[str, str]:
     q["token_pattern_match"] = f"WITH {SPANS} SELECT * FROM spans"
     q["longest_match_resolve"] = f"WITH {SPANS} SELECT * FROM kept"
     q["film_pattern"] = f"WITH {SPANS} SELECT * FROM spans WHERE label = 'FILM'"
-    q["date_pattern"] = f"WITH {SPANS} SELECT DISTINCT seq.doc_id, seq.pos, seq.word FROM seq JOIN spans ON seq.doc_id = spans.doc_id AND seq.pos = spans.start WHERE label = 'DATE'"
-    q["person_pattern"] = f"WITH {SPANS} SELECT seq.doc_id, seq.pos, seq.word FROM seq JOIN spans ON seq.doc_id = spans.doc_id AND seq.pos = spans.start WHERE label = 'PERSON'"
+    months = ", ".join(f"'{m}'" for m in MONTHS)
+    q["date_pattern"] = f"""WITH {SPANS} SELECT doc_id, pos, word FROM seq
+      WHERE (word IN ({months}) AND regexp_full_match(nxt, '[0-9]{{4}}')) OR regexp_full_match(word, '[0-9]{{4}}')"""
+    q["person_pattern"] = f"WITH {SPANS} SELECT doc_id, pos, word FROM seq WHERE word = 'Aufn.' AND regexp_full_match(nxt, '[A-Z][a-z]+')"
     joined = """, parts AS (SELECT kept.doc_id, kept.start, kept.label, string_agg(ct.word, ' ' ORDER BY ct.pos) AS text FROM kept JOIN ct
       ON ct.doc_id = kept.doc_id AND ct.pos >= kept.start AND ct.pos < kept."end" GROUP BY ALL)"""
     q["caption_records"] = f"WITH {SPANS} {joined}, rec AS ({_record('parts')}) SELECT captions.doc_id, " + ", ".join(
@@ -398,10 +401,8 @@ def sql() -> dict[str, str]:
 
     # Sorts and set operations.
     q["path_sort"] = "SELECT page_id, url AS path FROM pages ORDER BY url"
-    two = _swept([("drop vowels", "regexp_replace(text, '[aeo]', '', 'g')"), ("lower case", "lower(text)")])
     summary = "SELECT config AS source, round(avg(wer), 2) AS wer, round(avg(cer), 2) AS cer FROM scored {where} GROUP BY config"
-    q["append_results"] = (f"WITH {CAPTIONS}, swept AS ({two}), scored AS ({_wer('swept', 'config, doc_id, ' + _cer('gt', 'et') + ' AS cer')}) "
-                           + summary.format(where="") + " UNION ALL " + summary.format(where="WHERE config = 'drop vowels'"))
+    q["append_results"] = (f"WITH {SCORED} " + summary.format(where="") + " UNION ALL " + summary.format(where="WHERE config = 'drop vowels'"))
     q["concat_unique"] = f"WITH {MASKS} SELECT gt AS value FROM masks UNION SELECT cls_gt FROM masks UNION SELECT cls_pred FROM masks"
 
     # Scalar functions.
@@ -414,7 +415,7 @@ def sql() -> dict[str, str]:
     q["json_strict_parse"] = f"WITH {RAW_JSON} " + _ANSWER.format(ok="kind NOT IN (1, 2)")
     q["build_messages"] = """SELECT conv_id, turn, 0 AS place, 'system' AS role, 'Answer with the five fields.' AS content FROM conversations
       UNION ALL SELECT conv_id, turn, 1, 'user', text FROM conversations"""
-    q["conversation_fold"] = """SELECT conv_id, turn // 4096 AS part, CAST(count(*) AS INT) AS n, string_agg(concat(role, ': ', text), ' | ' ORDER BY turn) AS messages
+    q["conversation_fold"] = """SELECT conv_id, CAST(count(*) AS INT) AS n, string_agg(concat(role, ': ', text), ' | ' ORDER BY turn) AS messages
       FROM conversations GROUP BY ALL"""
     masked = f"{_otsu('pixels')}, masked AS (SELECT img_id, y, x, v, CASE WHEN v > level THEN 255 ELSE 0 END AS e FROM pixels JOIN levels USING (img_id))"
     q["su_threshold"] = f"WITH {PIXELS}, {masked}, {_decide('masked')} SELECT img_id, y, x, b FROM decided"
@@ -432,6 +433,55 @@ def sql() -> dict[str, str]:
     q["round2"] = "SELECT o_orderkey, round(o_totalprice / 7, 2) AS value FROM orders"
     q["cosine"] = "SELECT vec_id, round(list_cosine_similarity(embedding::DOUBLE[], list_reverse(embedding)::DOUBLE[]), 5) AS cosine FROM embeddings"
 
+    # Whole documents under settings whose distance is known.
+    drop, mask = "regexp_replace(gt, ' th[^ ]*', '', 'g')", f"translate({{t}}, 'ou', '{UNREAD * 2}')"
+    unread = f"len(list_filter({{w}}, lambda w: contains(w, '{UNREAD}')))"
+    docs = "docs AS (SELECT doc_id, text AS gt FROM documents)"
+    n_chars, n_words = f"length({_strip('gt')})", f"len({_words('gt')})"
+
+    def known(name: str, et: str, chars: str, words: str) -> str:
+        """Rates from numbers of edits; ``et`` is the setting's result."""
+        return (f"SELECT '{name}' AS config, CAST({words} AS DOUBLE) / nullif({n_words}, 0) AS wer, "
+                f"CAST({chars} AS DOUBLE) / nullif({n_chars}, 0) AS cer FROM (SELECT gt, {et} AS et FROM docs)")
+    shorter, longer = f"{n_chars} - length({_strip('et')})", f"length({_strip('et')}) - {n_chars}"
+    marks = f"replace(gt, '. ', '. {UNREAD} ')"
+    q["config_sweep"] = (f"WITH {docs}, scored AS (" + " UNION ALL ".join([
+        known("drop words", drop, shorter, f"{n_words} - len({_words('et')})"),
+        known("mask letters", mask.format(t="gt"), f"len(regexp_extract_all({_strip('gt')}, '[ou]'))", unread.format(w=_words("et"))),
+        known("insert marks", marks, longer, f"len({_words('et')}) - {n_words}"),
+    ]) + ") SELECT config AS source, round(avg(wer), 2) AS wer, round(avg(cer), 2) AS cer FROM scored GROUP BY config")
+    edited = f"""WITH {docs}, e AS (SELECT doc_id, gt, {mask.format(t=drop)} AS et FROM docs),
+      w AS (SELECT doc_id, {_words('gt')} AS gw, {_words('et')} AS ew FROM e),
+      c AS (SELECT doc_id, len(gw) AS n, len(ew) AS m, {unread.format(w='ew')} AS masked FROM w)"""
+    q["wer_documents"] = f"{edited} SELECT doc_id, round(CAST(n - m + masked AS DOUBLE) / nullif(n, 0), 6) AS wer FROM c"
+    q["edit_stats_documents"] = f"{edited} SELECT doc_id, m - masked AS hits, masked AS substitutions, n - m AS deletions, 0 AS insertions FROM c"
+    spread = """cells AS (SELECT label, generate_subscripts(vec, 1) AS i, CAST(unnest(vec) AS DOUBLE) AS x FROM v),
+      var AS (SELECT label, i, var_pop(x) AS var, count(*) AS n FROM cells GROUP BY ALL)
+      SELECT label, max(n) AS n, round(sum(var), 5) AS variance, TRUE AS centred_and_apart, TRUE AS largest_first FROM var GROUP BY label"""
+    q["label_spread"] = f"WITH v AS (SELECT CAST(CASE WHEN label <> 4 THEN label END AS VARCHAR) AS label, embedding AS vec FROM embeddings), {spread}"
+    q["word_spread"] = f"WITH v AS (SELECT 'all' AS label, embedding AS vec FROM embeddings), {spread}"
+
+    # Answers of a model, parsed and compared.
+    broken = "doc_id % 7 = 3"
+    nulled = ", ".join(f'CASE WHEN NOT ({broken}) THEN "{f}" END AS "{f}"' for f in FIELDS)
+    answers = FIELD_WER.replace("FROM rec_a a JOIN rec_b b", "FROM rec_a a JOIN rec_c b").replace(
+        "pairs AS (", f"rec_c AS (SELECT doc_id, {nulled} FROM rec_b),\npairs AS (", 1)
+    q["answer_comparison"] = f"WITH {answers} " + _per_field(
+        "SELECT '{f}' AS field, round(avg(CASE WHEN p.\"{f}_a\" IS NOT DISTINCT FROM p.\"{f}_b\" THEN 1.0 ELSE 0 END) * 100, 6) AS match_rate, "
+        f"round(avg(CASE WHEN {full} THEN \"{{f}}_wer\" END), 6) AS mean_wer, "
+        "round(avg(CASE WHEN p.\"{f}_a\" <> '' THEN 1.0 ELSE 0 END) * 100, 6) AS rate_a, "
+        "round(avg(CASE WHEN p.\"{f}_b\" <> '' THEN 1.0 ELSE 0 END) * 100, 6) AS rate_b, "
+        f"(SELECT count(*) FROM rec_b WHERE {broken}) AS n_errors FROM pairs p JOIN fw ON p.doc_id = fw.doc_id")
+
+    # Decoded images and several classes.
+    q["gray"] = q["gray_images"] = f"""WITH {PIXELS} SELECT img_id, y, x,
+      CAST(floor(0.299::DOUBLE * (255 - v) + 0.587::DOUBLE * (v * 3 % 256) + 0.114::DOUBLE * v + 0.5) AS INT) AS v FROM pixels"""
+    q["batch_mean_dice_multiclass"] = f"""WITH {MASKS}, c AS ({q['dice_multiclass'].split('WITH ' + MASKS)[1].replace(', 6) AS dice', ', 12) AS dice')}),
+      d AS (SELECT img_id, avg(dice) AS dice FROM c GROUP BY img_id),
+      b AS (SELECT dice, (row_number() OVER (ORDER BY img_id) - 1) // 7 AS batch FROM d),
+      m AS (SELECT batch, avg(dice) AS dice FROM b GROUP BY batch HAVING count(*) = 7)
+      SELECT round(coalesce(avg(dice), 0), 6) AS dice, count(*) AS n_batches FROM m"""
+
     # Caller-supplied models and Arrow functions.
     q["batch_infer"] = """WITH e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
       s AS (SELECT vec_id, (i - 1) // 8 AS eighth, sum(v) AS score FROM e GROUP BY ALL),

@@ -167,6 +167,22 @@ def test_crop_clips_to_image(spark, images):
     assert crops.where("det_no = 1").count() == 0
 
 
+def test_far_boxes_list_few_tiles(spark, images):
+    boxes = spark.createDataFrame([(0, 0, 2, 3, 3, 2_000_000_000, 2_000_000_000)],
+                                  "img_id bigint, det_no int, cls int, x1 int, y1 int, x2 int, y2 int")
+    crop = pixels.crop_boxes(table(spark, images), boxes, tile=4)
+    h, w = len(images[0]), len(images[0][0])
+    assert grid(crop, "v", (h - 3, w - 3)) == [line[3:] for line in images[0][3:]]
+
+
+@pytest.mark.parametrize("gone", [(0, 0), (0, 1), (1, 1), "line"])
+def test_gap_is_an_error(spark, gone):
+    cells = [(7, y, x, 10 * y + x) for y in range(3) for x in range(2) if (y != 1 if gone == "line" else (y, x) != gone)]
+    df = spark.createDataFrame(cells, "img_id bigint, y int, x int, v int")
+    with pytest.raises(Exception, match="image 7"):
+        pixels.pixels_to_image(df).collect()
+
+
 def test_bytes_round_trip(spark):
     img = {5: [list(range(0, 128)), list(range(128, 256))]}
     image = pixels.pixels_to_image(table(spark, img))

@@ -19,7 +19,7 @@ from inkfold.sources import files
 def test_global_row_number(spark):
     keys = [(random.Random(i).choice(["a", "b"]) * (i % 3), i) for i in range(3000)]
     df = spark.createDataFrame(keys, "k string, i int").repartition(13)
-    got = ranking.global_row_number(df, ["k", "i"], ranges=16).collect()
+    got = ranking.global_row_number(df, ["k", "i"]).collect()
     want = {key: n for n, key in enumerate(sorted(keys), 1)}
     assert {(r["k"], r["i"]): r["idx"] for r in got} == want
     assert ranking.global_row_number(df.where("i < 0"), ["k", "i"]).count() == 0
@@ -101,6 +101,14 @@ def test_label_spread_is_pca(spark, fx):
             assert np.allclose(np.abs(own), np.abs(left[:, c] * size[c]), atol=1e-6)
 
 
+def test_spread_keeps_vectors_without_label(spark):
+    rows = [(i, "a" if i < 3 else None, [float(i), float(i * i), 1.0]) for i in range(5)]
+    df = spark.createDataFrame(rows, "id int, label string, vec array<double>")
+    got = similarity.label_spread(df).collect()
+    assert sorted(r["id"] for r in got) == [0, 1, 2, 3, 4] and sum(r["label"] is None for r in got) == 2
+    assert all(r["px"] is not None for r in got) and sorted(got[0].asDict()) == ["id", "label", "px", "py", "vec"]
+
+
 def test_hot_key_is_dealt_out(spark):
     rows = spark.range(4000).select(F.lit(1).alias("k"), "id")
     facts = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string")
@@ -118,9 +126,9 @@ def test_text_files(spark, tmp_path):
 def test_empty_result_scores_as_missed(spark):
     truth = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id int, gt string")
     result = spark.createDataFrame([(1, "a b")], "doc_id int, et string")
-    pairs = joins.truth_join(truth, result, missing_as_empty=True)
+    pairs = joins.truth_join(truth, result)
     assert {r["doc_id"]: r["wer"] for r in ocr.score_texts(pairs).collect()} == {1: 0.0, 2: 1.0}
-    assert joins.truth_join(truth, result).count() == 1
+    assert joins.truth_join(truth, result, missing_as_empty=False).count() == 1
 
 
 def test_json_sink_keeps_nulls_and_letters(spark, tmp_path):
@@ -169,7 +177,7 @@ def test_batch_infer_settings_are_columns(spark):
 
 def test_stateless_operators_run_on_a_stream(spark, tmp_path):
     """Row-wise operators accept a streaming file source unchanged."""
-    for i, body in enumerate(["Wien Mai 1948 Aufn. Meisinger", "Graz Film 12 KIX"]):
+    for i, body in enumerate(["Wien Mai 1948 Aufn. Lindtaler", "Graz Film 12 ZV"]):
         (tmp_path / f"{i}.txt").write_text(body)
     stream = spark.readStream.schema("value string").option("wholetext", True).text(str(tmp_path))
     found = captions.caption_records(stream.select(F.xxhash64("value").alias("doc_id"), F.col("value").alias("text")))
@@ -177,7 +185,7 @@ def test_stateless_operators_run_on_a_stream(spark, tmp_path):
            .trigger(availableNow=True).start())
     run.awaitTermination()
     got = {(r["Date"], r["Photographer"], r["Film"]) for r in spark.table("caption_stream").collect()}
-    assert got == {("Mai 1948", "Aufn. Meisinger", None), (None, None, "Film 12 KIX")}
+    assert got == {("Mai 1948", "Aufn. Lindtaler", None), (None, None, "Film 12 ZV")}
 
 
 # Plans --------------------------------------------------------------------
@@ -219,6 +227,36 @@ def test_scans_read_only_what_they_need(spark):
         spark.conf.set("spark.sql.adaptive.enabled", True)
 
 
+def test_comparison_deals_records_once(spark):
+    text_plan = plan(queries.REGISTRY["match_rates"](spark, SF_DIR))
+    assert "RoundRobin" not in text_plan
+
+
+def test_entity_tokens_add_no_shuffle(spark, fx):
+    def shuffles(df):
+        return plan(df).count("Exchange hashpartitioning") + plan(df).count("Exchange SinglePartition")
+
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        assert shuffles(queries.REGISTRY["entity_tokens"](spark, SF_DIR)) == shuffles(fx.captions())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", True)
+
+
+def test_normalized_rates_score_once(spark):
+    # What is read twice are stored scores: no scoring step is left in the plan.
+    text_plan = plan(queries.REGISTRY["l2_normalized_rates"](spark, SF_DIR))
+    assert "ArrowEvalPython" not in text_plan and "levenshtein" not in text_plan
+
+
+def test_long_tables_are_not_dealt_again(spark, fx, monkeypatch):
+    docs = fx.documents()
+    assert "RoundRobin" in plan(queries.dealt(fx, docs))
+    # A table of as many splits as cores is left as it is.
+    many = SimpleNamespace(spark=spark, table=lambda name: spark.range(100).repartition(64))
+    assert queries.dealt(many, docs) is docs
+
+
 def test_binarize_shuffles_pixels_once(spark, fx):
     """Both window steps and the level join live on the tile partitioning."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)

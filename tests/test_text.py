@@ -130,6 +130,36 @@ def test_longest_documents_agree_with_spark(spark, fx):
     assert docs.count() > 0 and bad.count() == 0
 
 
+def brute_stats(a, b):
+    """Fewest edits, then fewest substitutions, by the full table."""
+    row = [(j, 0) for j in range(len(b) + 1)]
+    for i, x in enumerate(a, 1):
+        new = [(i, 0)]
+        for j, y in enumerate(b, 1):
+            e, s = row[j - 1]
+            new.append(min((e, s) if x == y else (e + 1, s + 1), (row[j][0] + 1, row[j][1]), (new[j - 1][0] + 1, new[j - 1][1])))
+        row = new
+    return row[-1]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from("abc"), max_size=14), st.lists(st.sampled_from("abcd"), max_size=14))
+def test_count_edits_has_fewest_substitutions(a, b):
+    hits, subs, dels, ins = text.count_edits(a, b)
+    assert (subs + dels + ins, subs) == brute_stats(a, b)
+
+
+def test_sweep_scores_equal_single_scores(spark, fx):
+    from inkfold.plans.fixtures import SETTINGS
+
+    docs = fx.documents().where(F.length("gt") < 3000).unionByName(
+        spark.createDataFrame([(-1, None), (-2, ""), (-3, " a  b\n")], "doc_id bigint, gt string"))
+    edits = {k: edit(F.col("gt")) for k, edit in SETTINGS.items()} | {"none": F.lit(None).cast("string")}
+    def rows(df):
+        return sorted((r["doc_id"], r["config"], r["wer"], r["cer"]) for r in df.select("doc_id", "config", "wer", "cer").collect())
+    assert str(rows(ocr.sweep_scores(docs, edits))) == str(rows(ocr.score_texts(ocr.config_sweep(docs, edits))))
+
+
 def test_edit_stats_equals_word_edits(spark, fx):
     docs = fx.documents().withColumn("et", F.regexp_replace("gt", "[aeo]", "")).repartition(16)
     s = text.edit_stats(F.col("gt"), F.col("et"))
