@@ -20,11 +20,16 @@ def binarization_metrics(masks: DataFrame, truth: str = "gt", result: str = "pre
     counts = masks.groupBy(*(by or []), "img_id").agg(
         F.count_if(t & r).cast("double").alias("tp"), F.count_if(~t & r).cast("double").alias("fp"),
         F.count_if(t & ~r).cast("double").alias("fn"), F.count_if(~t & ~r).cast("double").alias("tn"))
+    return metrics_of_counts(counts, [*(by or []), "img_id"])
+
+
+def metrics_of_counts(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """The five metrics from the counts of right and wrong ink and paper pixels."""
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     n = tp + fp + fn + tn
     recall, precision = F.try_divide(tp, tp + fn), F.try_divide(tp, tp + fp)
     return counts.select(
-        *(by or []), "img_id",
+        *keys,
         (100 * (tp + tn) / n).alias("accuracy"),
         F.try_divide(200 * precision * recall, precision + recall).alias("fm"),
         F.try_divide(tp * tn - fp * fn, F.sqrt(tp + fp) * F.sqrt(tp + fn) * F.sqrt(tn + fp) * F.sqrt(tn + fn)).alias("mcc"),

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkfold.functions.fixed_values import FIELDS
+from inkfold.operators.pixels import pixels_to_image
 
 # Simulated settings of a text extractor: what each does to the true text.
 SETTINGS = {
@@ -62,6 +63,18 @@ class Fixtures:
             F.when(v > 120 + F.col("img_id") % 15, 255).otherwise(0).alias("pred"),
             step(110, 140).alias("cls_gt"), step(108, 143).alias("cls_pred"))
 
+    def page_pixels(self) -> DataFrame:
+        """Pages of up to 300 lines, each line an embedding: larger than a tile, of several strips."""
+        cells = self.table("embeddings").select("vec_id", F.posexplode("embedding").alias("x", "e"))
+        value = F.floor((F.col("e").cast("double") + 0.6) * 210).cast("int")
+        return cells.select(F.expr("vec_id div 300").alias("img_id"), (F.col("vec_id") % 300).cast("int").alias("y"), "x",
+                            F.least(F.lit(255), F.greatest(F.lit(0), value)).alias("v"))
+
+    def image_rows(self, column: str = "v", pixels: DataFrame | None = None) -> DataFrame:
+        """Image rows of one column of a pixel table."""
+        source = self.pixels() if pixels is None else pixels
+        return pixels_to_image(source.select("img_id", "y", "x", F.col(column).alias("v")))
+
     def logits(self) -> DataFrame:
         v = F.col("v")
         return self.pixels().select(

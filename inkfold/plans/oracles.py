@@ -482,6 +482,21 @@ def sql() -> dict[str, str]:
       m AS (SELECT batch, avg(dice) AS dice FROM b GROUP BY batch HAVING count(*) = 7)
       SELECT round(coalesce(avg(dice), 0), 6) AS dice, count(*) AS n_batches FROM m"""
 
+    # Image rows: the same results as the pixel forms.
+    for name, same in {"pixel_scale_images": "pixel_scale", "pixel_flip_images": "pixel_flip", "mask_resize_images": "mask_resize_nearest",
+                       "binarization_metrics_images": "binarization_metrics", "drdm_images": "drdm", "dice_images": "dice_multiclass"}.items():
+        q[name] = q[same]
+    q["otsu_images"] = q["otsu_threshold"].replace("SELECT img_id, y, x, v, CASE", "SELECT img_id, y, x, CASE")
+    page = PIXELS.replace("SELECT vec_id AS img_id, CAST((i - 1) // 8 AS INT) AS y, CAST((i - 1) % 8 AS INT) AS x",
+                          "SELECT vec_id // 300 AS img_id, CAST(vec_id % 300 AS INT) AS y, CAST(i - 1 AS INT) AS x")
+    q["su_binarize_pages"] = q["su_binarize_page_images"] = q["su_binarize_images"].replace(PIXELS, page)
+    hexed = "upper(string_agg(printf('%02x', {v}), '' ORDER BY y, x))"
+    q["image_mask_pairs"] = f"""WITH {MASKS} SELECT img_id, CAST(8 AS INT) AS height, CAST(8 AS INT) AS width, {hexed.format(v='v')} AS data, {hexed.format(v='gt')} AS mask
+      FROM pixels JOIN masks USING (img_id, y, x) GROUP BY img_id"""
+    q["mask_checks_images"] = f"""WITH {MASKS}, f AS (SELECT img_id, CAST(max(CASE WHEN v > 200 THEN 3 ELSE cls_gt END) AS INT) AS high, img_id % 5 = 0 AS bad_size
+      FROM masks JOIN pixels USING (img_id, y, x) WHERE y < 7 OR img_id % 5 <> 0 GROUP BY img_id)
+      SELECT *, high >= 3 AS bad_range FROM f WHERE high >= 3 OR bad_size"""
+
     # Caller-supplied models and Arrow functions.
     q["batch_infer"] = """WITH e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
       s AS (SELECT vec_id, (i - 1) // 8 AS eighth, sum(v) AS score FROM e GROUP BY ALL),

@@ -808,6 +808,81 @@ def cosine(fx):
         "vec_id", F.round(vectors.cosine(F.col("embedding"), F.reverse("embedding")), 5).alias("cosine"))
 
 
+# Image rows instead of pixel tables ---------------------------------------
+
+
+def _page_binarized(fx, mode):
+    binary = pages.su_binarize_images(fx.image_rows(pixels=fx.page_pixels()), 3, 3, mode, strip_pixels=5000)
+    return P.image_to_pixels(binary).withColumnRenamed("v", "b")
+
+
+@query
+def su_binarize_pages(fx):
+    return P.su_binarize(fx.page_pixels(), 3, 3).select("img_id", "y", "x", "b")
+
+
+@query
+def su_binarize_page_images(fx):
+    return _page_binarized(fx, "reference")
+
+
+@query
+def pixel_scale_images(fx):
+    scaled = pages.scale_images(fx.image_rows())
+    cells = P.image_to_pixels(scaled).join(scaled.select("img_id", "scale"), "img_id")
+    return cells.select("img_id", "y", "x", r6(F.col("v") * F.col("scale")).alias("value"))
+
+
+@query
+def pixel_flip_images(fx):
+    coin, augment = F.col("img_id") % 2 == 1, F.col("img_id") % 4 < 2
+    return P.image_to_pixels(pages.flip_images(fx.image_rows(), augment & coin, augment & ~coin))
+
+
+@query
+def mask_resize_images(fx):
+    return P.image_to_pixels(pages.resize_images_nearest(fx.image_rows("cls_gt", fx.masks()), 0.7))
+
+
+@query
+def otsu_images(fx):
+    return P.image_to_pixels(pages.otsu_images(fx.image_rows())).withColumnRenamed("v", "e")
+
+
+@query
+def image_mask_pairs(fx):
+    pairs = pages.pair_images(fx.image_rows(), fx.image_rows("gt", fx.masks()))
+    hexes = [F.hex(c).alias(c) for c in ("data", "mask")]
+    return pairs.select("img_id", "height", "width", *hexes)
+
+
+@query
+def mask_checks_images(fx):
+    cls = fx.masks().join(fx.pixels(), ["img_id", "y", "x"]).where("y < 7 or img_id % 5 <> 0").withColumn(
+        "cls", F.when(F.col("v") > 200, 3).otherwise(F.col("cls_gt")))
+    return pages.mask_checks_images(pages.pair_images(fx.image_rows(), fx.image_rows("cls", cls)), 3)
+
+
+def _mask_pairs(fx, truth, result):
+    return pages.pair_images(fx.image_rows(truth, fx.masks()), fx.image_rows(result, fx.masks()))
+
+
+@query
+def binarization_metrics_images(fx):
+    found = pages.binarization_metrics_images(_mask_pairs(fx, "gt", "pred"))
+    return found.select("img_id", *[r6(c).alias(c) for c in found.columns[1:]])
+
+
+@query
+def drdm_images(fx):
+    return pages.drdm_images(_mask_pairs(fx, "gt", "pred")).withColumn("drdm", r6("drdm"))
+
+
+@query
+def dice_images(fx):
+    return pages.dice_images(_mask_pairs(fx, "cls_gt", "cls_pred"), 3).withColumn("dice", r6("dice"))
+
+
 # Caller-supplied models ---------------------------------------------------
 
 
