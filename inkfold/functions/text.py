@@ -313,19 +313,27 @@ def count_edits(truth: list, result: list) -> tuple[int, int, int, int]:
     padded = np.full(len(r) + len(t) + 2 * width + 2, -1, dtype=np.int64)
     padded[width:width + len(r)] = r
     ramp = base * place
-    # Row 0: j = place - down.
-    row = np.where((place >= down) & (place - down <= len(r)), base * (place - down), far)
-    for i, word in enumerate(t, start=1):
+    # Row 0: j = place - down; one cell more, always far, stands behind the band.
+    wide = np.full(width + 1, far, dtype=np.int64)
+    row, above = wide[:width], wide[1:]
+    row[:] = np.where((place >= down) & (place - down <= len(r)), base * (place - down), far)
+    best, moved, same = np.empty(width, dtype=np.int64), np.empty(width, dtype=np.int64), np.empty(width, dtype=bool)
+    for i, word in enumerate(t.tolist(), start=1):
         first = i - down
-        best = np.append(row[1:], far) + base
-        same = padded[first - 1 + width:first - 1 + 2 * width] == word
-        np.minimum(best, row + np.where(same, 0, base + 1), out=best)
+        np.equal(padded[first - 1 + width:first - 1 + 2 * width], word, out=same)
+        np.multiply(same, -(base + 1), out=moved)
+        moved += row
+        moved += base + 1
+        np.add(above, base, out=best)
+        np.minimum(best, moved, out=best)
         if first <= 0:
             best[:-first] = far
             best[-first] = base * i
         if i + up > len(r):
             best[len(r) - first + 1:] = far
-        row = np.minimum.accumulate(best - ramp) + ramp
+        best -= ramp
+        np.minimum.accumulate(best, out=row)
+        row += ramp
     edits, substitutions = divmod(int(row[len(r) - len(t) + down]), base)
     moved = edits - substitutions
     deletions = (moved - growth) // 2
