@@ -18,12 +18,22 @@ def work_folder(spark: SparkSession, name: str) -> str:
 
     Only a local session may do without that setting.
     """
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         base = os.path.join(tempfile.gettempdir(), "inkfold")
-    return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}"
+
+
+def remove_work_folders(spark: SparkSession) -> None:
+    """Delete what this application stored on the way, once its results are written elsewhere."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 # File names ---------------------------------------------------------------

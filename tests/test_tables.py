@@ -166,6 +166,15 @@ def test_work_folder_follows_the_session():
         files.work_folder(session(None, "yarn"), "q")
 
 
+def test_work_folders_are_removed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files.tempfile, "gettempdir", lambda: str(tmp_path))
+    folder = files.work_folder(spark, "x")
+    spark.range(3).write.parquet(folder)
+    assert spark.read.parquet(folder).count() == 3
+    files.remove_work_folders(spark)
+    assert not os.path.exists(folder) and os.path.exists(tmp_path / "inkfold")
+
+
 def test_batch_infer_settings_are_columns(spark):
     def make():
         return lambda batch: pd.DataFrame({"id": batch["id"], "out": batch["config"] + batch["id"].astype(str)})
