@@ -12,7 +12,8 @@ length and input partition, so no length is gathered in one task.
 
 from __future__ import annotations
 
-import re
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,57 +23,76 @@ from pyspark.sql import functions as F
 
 from inkfold.llm.common import stored
 
-# Chunks whose ids a task remembers; beyond, memory starts anew.
-REMEMBERED = 1 << 18
 # Lines of a packing plan that may be broadcast (some 50 bytes each).
 PLAN_LINES = 100_000
-# White space as the tokenizer's pattern sees it. Chunks begin with their white
-# space; no token of a byte-level BPE reaches from other characters to white space.
-_CHUNK = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
 
 
-class ByteEncoder:
-    """Byte-level BPE from a rank file; equal chunks are encoded once."""
+def byte_encoder(ranks: bytes, pattern: str):
+    """Function from a text to the ids of a byte-level BPE, from a rank file; special strings are ordinary text."""
+    import base64
 
-    def __init__(self, ranks: bytes, pattern: str) -> None:
-        import base64
+    import tiktoken
 
-        import tiktoken
+    table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
+    return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=table, special_tokens={}).encode_ordinary
 
-        table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
-        self.encode_chunk = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=table, special_tokens={}).encode_ordinary
-        self.known: dict[str, bytes] = {}
 
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian 32-bit numbers."""
-        known, out = self.known, []
-        for chunk in _CHUNK.findall(text):
-            ids = known.get(chunk)
-            if ids is None:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                ids = np.array(self.encode_chunk(chunk), dtype="<u4").tobytes()
-                if len(chunk) <= 64:
-                    known[chunk] = ids
-            out.append(ids)
-        return b"".join(out)
+class Numbering:
+    """What ``pack`` must know of the rows that one task reads, in their order."""
+
+    def __init__(self, size: int) -> None:
+        from pyspark import TaskContext
+
+        self.size, self.part, self.whole = size, TaskContext.get().partitionId(), 0
+        self.seen = np.zeros(size, dtype="i8")
+
+    def columns(self, n: np.ndarray) -> list[pa.Array]:
+        """The task (``part``), the full rows before each row there (``before``), its rank among rests of its length (``own``)."""
+        wholes, own = n // self.size, []
+        for rest in n % self.size:
+            own.append(self.seen[rest])
+            self.seen[rest] += 1
+        before = self.whole + np.cumsum(wholes) - wholes
+        self.whole += int(wholes.sum())
+        return [pa.array(np.full(len(n), self.part, dtype="i8")), pa.array(before), pa.array(np.array(own, dtype="i8"))]
+
+
+_TOKENS, _NUMBERS = "doc_id bigint, n bigint, ids binary", "part bigint, before bigint, own bigint"
 
 
 def token_rows(docs: DataFrame, ranks: bytes, pattern: str, end: int, width: int, doc_id: str = "doc_id",
-               text: str = "text") -> DataFrame:
-    """``doc_id, n, ids``: ids as little-endian numbers of ``width`` bytes, closed with ``end``."""
+               text: str = "text", size: int | None = None) -> DataFrame:
+    """``doc_id, n, ids``: ids as little-endian numbers of ``width`` (2 or 4) bytes, closed with ``end``.
+
+    With ``size`` the rows are numbered for ``pack`` on the way.
+    """
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    kind = f"<u{width}"
+    code = {2: "H", 4: "I"}[width]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, close = ByteEncoder(ranks, pattern), np.array([end], dtype=kind).tobytes()
+        encode, numbers = byte_encoder(ranks, pattern), size and Numbering(size)
+        for part in (b.slice(at, 512) for b in batches for at in range(0, b.num_rows, 512)):
+            found = [array(code, [*encode(t.as_py()), end]) for t in part.column("text")]
+            if sys.byteorder == "big":
+                for ids in found:
+                    ids.byteswap()
+            n = np.array([len(ids) for ids in found], dtype="i8")
+            columns = [part.column("doc_id"), pa.array(n), pa.array([ids.tobytes() for ids in found], pa.binary())]
+            names = ["doc_id", "n", "ids"]
+            if numbers:
+                columns, names = columns + numbers.columns(n), [*names, "part", "before", "own"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+    return rows.mapInArrow(run, f"{_TOKENS}, {_NUMBERS}" if size else _TOKENS)
+
+
+def numbered(tokens: DataFrame, size: int) -> DataFrame:
+    """``doc_id, n, ids`` with the numbers ``pack`` needs."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = Numbering(size)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                found = [np.frombuffer(encoder.encode(t.as_py()), dtype="<u4").astype(kind).tobytes() + close for t in part.column("text")]
-                counts = pa.array([len(f) // width for f in found], pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), counts, pa.array(found, pa.binary())], names=["doc_id", "n", "ids"])
-    return rows.mapInArrow(run, "doc_id bigint, n bigint, ids binary")
+            added = numbers.columns(batch.column("n").to_numpy())
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=["doc_id", "n", "ids", "part", "before", "own"])
+    return tokens.select("doc_id", "n", "ids").mapInArrow(run, f"{_TOKENS}, {_NUMBERS}")
 
 
 class RoomTree:
@@ -143,25 +163,10 @@ def best_fit_plan(histogram: dict[int, int], size: int) -> tuple[list[tuple], in
     return plan, n_rows
 
 
-def _numbered(tokens: DataFrame, size: int) -> DataFrame:
-    """Adds the task a row was read in (``part``), the full rows before it there
-    (``before``) and its rank there among rests of its length (``own``)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        part, before, seen = TaskContext.get().partitionId(), 0, np.zeros(size, dtype="i8")
-        for batch in batches:
-            n = batch.column("n").to_numpy()
-            wholes, rests, own = n // size, n % size, []
-            for rest in rests:
-                own.append(seen[rest])
-                seen[rest] += 1
-            ahead = before + np.cumsum(wholes) - wholes
-            before += int(wholes.sum())
-            added = [np.full(len(n), part, dtype="i8"), ahead, np.array(own, dtype="i8")]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, added)], names=["doc_id", "n", "ids", "part", "before", "own"])
-    return tokens.select("doc_id", "n", "ids").mapInArrow(
-        run, "doc_id bigint, n bigint, ids binary, part bigint, before bigint, own bigint")
+def pack_texts(docs: DataFrame, ranks: bytes, pattern: str, end: int, size: int = 2048, width: int = 2,
+               doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Packed rows (see ``pack``) of texts, encoded and numbered in one step."""
+    return _packed(token_rows(docs, ranks, pattern, end, width, doc_id, text, size), size, width)
 
 
 def pack(tokens: DataFrame, size: int = 2048, width: int = 2) -> DataFrame:
@@ -179,8 +184,12 @@ def pack(tokens: DataFrame, size: int = 2048, width: int = 2) -> DataFrame:
     rows are never shuffled; rests are, to their row. Numbers given to rows are
     stored with them, so a task that is run again finds the same.
     """
+    return _packed(numbered(tokens, size), size, width)
+
+
+def _packed(tokens: DataFrame, size: int, width: int) -> DataFrame:
     spark = tokens.sparkSession
-    rows = stored(_numbered(tokens, size), "packing-tokens").withColumn("rest", F.col("n") % size)
+    rows = stored(tokens, "packing-tokens").withColumn("rest", F.col("n") % size)
     per_part = rows.groupBy("rest", "part").agg(F.count("*").alias("c"))
     # At most one entry per length below the size of a row.
     histogram = {r["rest"]: r["c"] for r in per_part.where("rest > 0").groupBy("rest").agg(F.sum("c").alias("c")).collect()}
@@ -216,7 +225,8 @@ def pack(tokens: DataFrame, size: int = 2048, width: int = 2) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["row_id", "n_tokens", "cu_seqlens", "doc_ids", "starts", "ids", "positions"]
         kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
-        for batch in batches:
+        # A few rows at a time: a row takes up to (width + 4) * size bytes.
+        for batch in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):
             out: list[list] = [[] for _ in names]
             for row_id, held in zip(batch.column("row_id").to_pylist(), batch.column("segments")):
                 held = sorted(held.as_py(), key=lambda s: s["at"])

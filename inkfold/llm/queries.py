@@ -62,8 +62,7 @@ def op4_token_packing(spark, sf_dir):
 
     with open(tokenizer_path(RANKS), "rb") as f:
         ranks = f.read()
-    docs = table(spark, sf_dir, "documents")
-    return packing.pack(packing.token_rows(docs, ranks, public_tokenizers.PATTERN, END, width=2))
+    return packing.pack_texts(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, END)
 
 
 @query

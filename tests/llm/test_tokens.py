@@ -152,16 +152,6 @@ def test_query_packs_every_token(spark):
     assert len(rows) == sum(len(w) // 2048 for w in want.values()) + len(plain_best_fit(rests, 2048))
 
 
-@pytest.mark.parametrize("text", ["", " ", "a  b\n\n c\t\td ", "\x1c x\x85y", "it's  'tis\r\n 1 22 333", " lead", "x" * 200, "é 日本 　 语"])
-def test_chunks_encode_like_the_whole(text):
-    import public_tokenizers
-    from public_tokenizers import PATTERN
-
-    with open(public_tokenizers.path(queries.RANKS), "rb") as f:
-        encoder = packing.ByteEncoder(f.read(), PATTERN)
-    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == encoder.encode_chunk(text)
-
-
 @pytest.mark.parametrize("width", [2, 4])
 def test_pack_edges(spark, width):
     kind = f"<u{width}"
@@ -172,3 +162,19 @@ def test_pack_edges(spark, width):
     assert sorted(sum((s for _, s in parts if True), []) for d, parts in ((d, [p]) for d, ps in found.items() for p in ps)) == sorted(
         (np.arange(n) + 1)[a:a + 8].tolist() for n in lengths for a in range(0, n, 8))
     assert packing.pack(tokens.limit(0), 8, width).count() == 0
+
+
+def test_odd_texts_are_packed(spark):
+    from public_tokenizers import PATTERN
+
+    with open(queries.tokenizer_path(queries.RANKS), "rb") as f:
+        ranks = f.read()
+    rows = [(1, None), (2, ""), (None, "a  b\n\n c"), (3, "x y " * 9000), (3, "x y " * 9000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({"n": F.lit(1), "ids": F.lit("q"), "part": F.lit(2)})
+    for width in (2, 4):
+        found = unpacked(packing.pack_texts(docs, ranks, PATTERN, queries.END, 64, width).collect(), 64, width)
+        encode = packing.byte_encoder(ranks, PATTERN)
+        assert [x for _, s in found[None] for x in s] == [*encode("a  b\n\n c"), queries.END]
+        assert found[1] == found[2] == [(0, [queries.END])]
+        assert sum(len(s) for _, s in found[3]) == 2 * (len(encode("x y " * 9000)) + 1)
+    assert packing.pack_texts(docs.limit(0), ranks, PATTERN, queries.END).count() == 0
