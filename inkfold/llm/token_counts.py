@@ -9,6 +9,7 @@ appended to the cache, and every document reads its count from there.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkfold.llm.common import GAP, WHITE
+from inkfold.llm.common import GAP, WHITE, stored
 from inkfold.sources.files import work_folder
 
 # Words whose counts a task remembers; beyond, memory starts anew.
@@ -25,6 +26,20 @@ REMEMBERED = 1 << 18
 SCHEMA = "digest binary, n_tokens bigint, version string"
 
 
+def _split(text: str) -> list[str]:
+    """Words between white space.
+
+    Unlike str.split(), Unicode does not take the four separators for white space.
+    """
+    if not _SEPARATORS(text):
+        return text.split()
+    return [w for w in _WHITE(text) if w]
+
+
+_SEPARATORS = re.compile("[\x1c-\x1f]").search
+_WHITE = re.compile(r"[^\S\x1c-\x1f]+").split
+
+
 @dataclass(frozen=True)
 class Tokenizer:
     """A tokenizer file (.json: tokenizers, .model: sentencepiece).
@@ -74,18 +89,25 @@ class Tokenizer:
         return lambda texts: [len(ids) for ids in machine.encode(texts, num_threads=1)]
 
     def text_counter(self) -> Callable[[str], int]:
-        """Count of a normalised text; words seen before are not encoded again."""
+        """Count of a text; words seen before are not encoded again.
+
+        When memory is full, what was seen becomes the older half; words still in
+        use come back from there.
+        """
         count = self.counter()
         if not self.white_separates:
             return lambda text: count([text])[0]
         known: dict[str, int] = {}
+        older: dict[str, int] = {}
 
         def of_text(text: str) -> int:
-            words = text.split(" ")
-            new = list(set(words).difference(known))
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = list(set(words))
+            nonlocal known, older
+            words = _split(text)
+            new = set(words).difference(known)
+            if new and len(known) + len(new) > REMEMBERED:
+                known, older, new = {}, known, set(words)
+            known.update((w, older[w]) for w in new if w in older)
+            new = [w for w in new if w not in older]
             for at in range(0, len(new), 1 << 14):
                 part = new[at:at + (1 << 14)]
                 known.update(zip(part, count(part)))
@@ -116,11 +138,12 @@ def token_counts(docs: DataFrame, tokenizer: Tokenizer, cache: str | None = None
     content = tokenizer.normalized(F.col(text))
     place = F.monotonically_increasing_id()
     digest = F.unhex(F.sha2(content.cast("binary"), 256))
-    keyed = docs.select(F.col(doc_id).alias("doc_id"), F.octet_length(F.coalesce(F.col(text), F.lit(""))).cast("bigint").alias("n_bytes"),
-                        digest.alias("digest"), place.alias("place"))
+    raw = F.coalesce(F.col(text), F.lit(""))
+    keyed = stored(docs.select(F.col(doc_id).alias("doc_id"), F.octet_length(raw).cast("bigint").alias("n_bytes"),
+                               digest.alias("digest"), place.alias("place")), "token-digests")
     known = stored_counts(spark, cache, version)
     misses = keyed.groupBy("digest").agg(F.min("place").alias("place")).join(known, "digest", "left_anti")
-    texts = docs.select(place.alias("place"), content.alias("content"))
+    texts = docs.select(place.alias("place"), raw.alias("content"))
     # Places are unique, so a content that very many documents share is one row here.
     missed = misses.join(texts, "place").select("digest", "content")
 
@@ -131,5 +154,6 @@ def token_counts(docs: DataFrame, tokenizer: Tokenizer, cache: str | None = None
             yield pa.RecordBatch.from_arrays([batch.column("digest"), found], names=["digest", "n_tokens"])
     counted = missed.mapInArrow(run, "digest binary, n_tokens bigint").withColumn("version", F.lit(version))
     counted.write.mode("append").partitionBy("version").parquet(cache)
-    # A digest that a third of all documents share is dealt anew by Spark: the other side has it once.
-    return keyed.join(stored_counts(spark, cache, version), "digest").select("doc_id", "n_bytes", "n_tokens")
+    # Stored, so that both sides are plain exchanges: Spark then deals a digest that very many documents share to several tasks.
+    counts = stored(stored_counts(spark, cache, version), "token-counts")
+    return keyed.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens")
