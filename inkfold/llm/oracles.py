@@ -5,6 +5,24 @@ from __future__ import annotations
 
 def sql() -> dict[str, str]:
     return {
+        # The shortest stretches with ten words from every line on and back; all but the first of equal ones are copies.
+        "op6_line_dedup": r"""
+WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM d),
+w AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM l),
+c AS (SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY pos) AS upto FROM w),
+s AS (SELECT a.doc_id, a.pos AS start, min(b.pos) AS stop FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.pos >= a.pos
+        AND b.upto - (a.upto - a.words) >= 10 GROUP BY ALL
+      UNION SELECT b.doc_id, max(a.pos), b.pos FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.pos >= a.pos
+        AND b.upto - (a.upto - a.words) >= 10 GROUP BY b.doc_id, b.pos),
+n AS (SELECT s.doc_id, s.start, s.stop, string_agg(line, chr(10) ORDER BY pos) AS body
+      FROM s JOIN l ON l.doc_id = s.doc_id AND l.pos BETWEEN s.start AND s.stop GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, start) AS r FROM n),
+gone AS (SELECT DISTINCT l.doc_id, l.pos FROM r JOIN l ON l.doc_id = r.doc_id AND l.pos BETWEEN r.start AND r.stop WHERE r.r > 1)
+SELECT l.doc_id, count(*) AS n_lines, count(gone.pos) AS n_removed,
+       coalesce(string_agg(line, chr(10) ORDER BY l.pos) FILTER (gone.pos IS NULL), '') AS text
+FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.pos = gone.pos GROUP BY l.doc_id
+""",
         "op8_chat_formatting": """
 WITH t AS (SELECT conv_id, turn, count(*) AS n,
                   string_agg('<|im_start|>' || coalesce(role, 'unknown') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10), ''
