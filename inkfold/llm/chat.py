@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkfold.llm.common import stored
+
 # Turns per stretch: running sums and texts are built per stretch first, so a
 # conversation that holds a third of all rows is not one group.
 STRETCH = 1024
@@ -98,6 +100,8 @@ def maximal_conversations(turns: DataFrame, system: str | None = None) -> DataFr
     heads = prefixes(turns)
     whole_id = F.when(F.col("total") == F.col("key.n"), F.struct(F.col("conv_id").isNull().alias("last"), F.col("conv_id")))
     longest = heads.groupBy("key").agg(F.max("total").alias("longest"), F.min(whole_id).alias("first"))
+    # Stored, so that both sides of the join are plain exchanges, which Spark deals anew where a key is hot.
+    longest = stored(longest, "chat-prefixes")
     found = render(turns, system)
     own = F.struct(F.col("conv_id").isNull().alias("last"), F.col("conv_id"))
     continued = ((_key() == F.col("key")) & ((F.col("longest") > F.col("n")) | (F.col("first") < own)))
