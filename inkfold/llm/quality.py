@@ -2,11 +2,12 @@
 
 Every rule compares one share of a text with a cutoff. Cutoffs are chosen from
 labelled documents so that, for every stratum at once and with probability
-``1 - DELTA``, no rule rejects more than ``RISK`` of the good documents:
+``1 - DELTA``, all rules together reject at most ``RISK`` of the good documents
+(each rule has an equal part of it):
 
 * the candidates of a rule are tried from the mildest to the strictest, each on
   the holdout half of the good labelled documents with the exact binomial test
-  ``P(Bin(n, RISK) <= rejected)``, and the first failure ends the sequence
+  ``P(Bin(n, risk of the rule) <= rejected)``, and the first failure ends the sequence
   (fixed-sequence testing needs no correction inside a sequence);
 * the level of every sequence is ``DELTA`` divided by the number of rules and
   strata (Bonferroni);
@@ -26,10 +27,10 @@ from pyspark.sql import functions as F
 from inkfold.functions.text import let
 from inkfold.llm.common import GAP, UPPER, WHITE, group_key, stored
 
-RISK = 0.005
+RISK = 0.05
 DELTA = 0.05
 # A good document rejected weighs as much as so many bad ones let through.
-COST = 4
+COST = 20
 SYMBOLS = "#*$%&|<>"
 # Rule: its candidates, from the mildest to the strictest.
 RULES = {
@@ -130,6 +131,7 @@ def fit_cutoffs(stats: DataFrame, labels: DataFrame, risk: float = RISK, delta:
     follows has one row per stratum, rule and candidate.
     """
     judged = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("_q"))
+    own_risk = risk / len(RULES)
     rows = stats.where(~base_failed(F.col("s"))).join(judged, "doc_id")
     hold = F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)) == 0
     values = rule_values(F.col("s"))
@@ -149,8 +151,8 @@ def fit_cutoffs(stats: DataFrame, labels: DataFrame, risk: float = RISK, delta:
         of(True, True, "n").alias("n"), of(True, True, "x").alias("k"), of(True, False, "x").alias("good_lost"), of(False, None, "x").alias("bad_met"))
     strata = F.size(F.collect_set("stratum").over(Window.partitionBy(F.lit(0))))
     level = F.log(F.lit(delta) / (F.lit(len(RULES)) * strata))
-    tested = F.col("k") < F.col("n") * risk
-    passes = F.when(tested, _log_binomial_tail(F.col("n"), F.col("k"), risk) <= F.col("level")).otherwise(False)
+    tested = F.col("k") < F.col("n") * own_risk
+    passes = F.when(tested, _log_binomial_tail(F.col("n"), F.col("k"), own_risk) <= F.col("level")).otherwise(False)
     tests = tests.withColumn("level", level).withColumn("passes", passes)
     upto = Window.partitionBy("stratum", "rule").orderBy("i")
     certified = tests.withColumn("valid", F.min("passes").over(upto)).where("valid")
