@@ -11,8 +11,9 @@ labelled documents so that, for every stratum at once and with probability
   (fixed-sequence testing needs no correction inside a sequence);
 * the level of every sequence is ``DELTA`` divided by the number of rules and
   strata (Bonferroni);
-* among the certified cutoffs, the other half of the labels picks the one that
-  rejects most bad documents for the good ones it costs, the mildest on ties.
+* the certified cutoffs hold all together, so any of them may be taken: all
+  labels pick the one that rejects most bad documents for the good ones it
+  costs, the mildest on ties.
 
 A stratum without enough labels certifies nothing and keeps its documents.
 """
@@ -30,7 +31,7 @@ from inkfold.llm.common import GAP, UPPER, WHITE, group_key, stored
 RISK = 0.05
 DELTA = 0.05
 # A good document rejected weighs as much as so many bad ones let through.
-COST = 20
+COST = 50
 SYMBOLS = "#*$%&|<>"
 # Rule: its candidates, from the mildest to the strictest.
 RULES = {
@@ -148,7 +149,7 @@ def fit_cutoffs(stats: DataFrame, labels: DataFrame, risk: float = RISK, delta:
         return F.coalesce(F.sum(F.when(side, F.col(what))), F.lit(0))
     # Bad documents certify nothing, so all of them may serve the choice.
     tests = long.groupBy("stratum", "rule", "i", "cutoff").agg(
-        of(True, True, "n").alias("n"), of(True, True, "x").alias("k"), of(True, False, "x").alias("good_lost"), of(False, None, "x").alias("bad_met"))
+        of(True, True, "n").alias("n"), of(True, True, "x").alias("k"), of(True, None, "x").alias("good_lost"), of(False, None, "x").alias("bad_met"))
     strata = F.size(F.collect_set("stratum").over(Window.partitionBy(F.lit(0))))
     level = F.log(F.lit(delta) / (F.lit(len(RULES)) * strata))
     tested = F.col("k") < F.col("n") * own_risk
