@@ -62,28 +62,26 @@ def prefixes(turns: DataFrame) -> DataFrame:
 
 
 def render(turns: DataFrame, system: str | None = None) -> DataFrame:
-    """``conv_id, n, a, b, c, d, n_turns, rendered``: each turn as <|im_start|>role, text, <|im_end|>.
+    """``conv_id, n_turns, rendered``: each turn as <|im_start|>role, text, <|im_end|>.
 
     Turns go by number (null first), then role and text; a null role is
     "unknown" and a null text is empty.
     """
     turn = F.struct(F.col("turn"), F.col("role"), F.col("text"))
     stretch = F.coalesce(F.floor(F.col("turn") / STRETCH), F.lit(-(1 << 62)))
-    sums = [F.sum(h).alias(s) for h, s in zip(_turn_hash(), SUMS)]
     pieces = turns.groupBy("conv_id", stretch.alias("stretch")).agg(
-        F.array_sort(F.collect_list(turn)).alias("turns"), F.count("*").alias("n"), *sums)
+        F.array_sort(F.collect_list(turn)).alias("turns"), F.count("*").alias("n"))
 
     def line(t: Column) -> Column:
         return F.concat(F.lit("<|im_start|>"), F.coalesce(t["role"], F.lit("unknown")), F.lit("\n"),
                         F.coalesce(t["text"], F.lit("")), F.lit("<|im_end|>\n"))
-    pieces = pieces.select("conv_id", "stretch", "n", *SUMS, F.array_join(F.transform("turns", line), "").alias("piece"))
+    pieces = pieces.select("conv_id", "stretch", "n", F.array_join(F.transform("turns", line), "").alias("piece"))
     whole = pieces.groupBy("conv_id").agg(
-        F.sum("n").alias("n"), *[F.sum(s).alias(s) for s in SUMS],
-        F.array_sort(F.collect_list(F.struct("stretch", "piece"))).alias("pieces"))
+        F.sum("n").alias("n_turns"), F.array_sort(F.collect_list(F.struct("stretch", "piece"))).alias("pieces"))
     text = F.array_join(F.transform("pieces", lambda p: p["piece"]), "")
     if system is not None:
         text = F.concat(F.lit(f"<|im_start|>system\n{system}<|im_end|>\n"), text)
-    return whole.select("conv_id", "n", *SUMS, F.col("n").alias("n_turns"), text.alias("rendered"))
+    return whole.select("conv_id", "n_turns", text.alias("rendered"))
 
 
 def maximal_conversations(turns: DataFrame, system: str | None = None) -> DataFrame:
@@ -97,12 +95,14 @@ def maximal_conversations(turns: DataFrame, system: str | None = None) -> DataFr
     turn that a third of all conversations begin with is one row.
     """
     turns = turns.select(F.col("conv_id"), F.col("turn").cast("bigint").alias("turn"), F.col("role"), F.col("text"))
-    heads = prefixes(turns)
+    heads = stored(prefixes(turns), "chat-heads")
     whole_id = F.when(F.col("total") == F.col("key.n"), F.struct(F.col("conv_id").isNull().alias("last"), F.col("conv_id")))
     longest = heads.groupBy("key").agg(F.max("total").alias("longest"), F.min(whole_id).alias("first"))
     # Stored, so that both sides of the join are plain exchanges, which Spark deals anew where a key is hot.
     longest = stored(longest, "chat-prefixes")
-    found = render(turns, system)
+    # Only keys meet in the anti-join; texts move once it is known which conversations stay.
+    whole = heads.where("total = key.n").withColumnRenamed("key", "own_key")
     own = F.struct(F.col("conv_id").isNull().alias("last"), F.col("conv_id"))
-    continued = ((_key() == F.col("key")) & ((F.col("longest") > F.col("n")) | (F.col("first") < own)))
-    return found.join(longest, continued, "left_anti").select("conv_id", "n_turns", "rendered")
+    continued = (F.col("own_key") == F.col("key")) & ((F.col("longest") > F.col("total")) | (F.col("first") < own))
+    stay = stored(whole.join(longest, continued, "left_anti").select(F.col("conv_id").alias("kept")), "chat-kept")
+    return render(turns.join(stay, F.col("conv_id").eqNullSafe(F.col("kept")), "left_semi"), system)

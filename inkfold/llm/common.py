@@ -25,6 +25,17 @@ def group_key(column: str | Column) -> Column:
     return F.coalesce(F.concat(F.lit("a"), column.cast("string")), F.lit("b"))
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """The wanted names, each lengthened until no column of ``df`` is called so."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to a new shared folder and read back: cuts lineage, survives lost executors."""
     folder = work_folder(df.sparkSession, name)

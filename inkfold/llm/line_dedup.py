@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from inkfold.functions.text import let
-from inkfold.llm.common import stored
+from inkfold.llm.common import free_names, stored
 
 # Words from which on a repeated run counts as copied.
 MIN_WORDS = 10
@@ -152,12 +152,13 @@ def drop_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     an empty result. Columns called like the added ones are replaced. ``docs``
     must be a stored table: rows are told apart by their place.
     """
+    place, cut = free_names(docs, "place", "cut")
     gone = repeated_runs(line_table(docs, doc_id, text, min_words))
-    gone = gone.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("__gone"))
-    removed = F.aggregate("__gone", F.lit(0).cast("bigint"), lambda total, g: total + g["stop"] - g["start"])
+    gone = gone.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias(cut))
+    removed = F.aggregate(cut, F.lit(0).cast("bigint"), lambda total, g: total + g["stop"] - g["start"])
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    rows = docs.select(*names, F.monotonically_increasing_id().alias("__row")).join(gone.withColumnRenamed("row", "__row"), "__row", "left")
-    left = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(_without(F.col(text), F.col("__gone")))
+    rows = docs.select(*names, F.monotonically_increasing_id().alias(place)).join(gone.withColumnRenamed("row", place), place, "left")
+    left = F.when(F.col(cut).isNull(), F.col(text)).otherwise(_without(F.col(text), F.col(cut)))
     n_lines = F.coalesce(F.length(text) - F.length(F.replace(F.col(text), F.lit("\n"))) + 1, F.lit(0))
     return rows.select(*[left.alias(c) if c == text else F.col(c) for c in names], n_lines.cast("bigint").alias("n_lines"),
                        F.coalesce(removed, F.lit(0)).cast("bigint").alias("n_removed"))

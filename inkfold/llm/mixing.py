@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkfold.llm.common import group_key, stored, word_count
+from inkfold.llm.common import free_names, group_key, stored, word_count
 
 # Hash bits looked at per round, 64 in all. The last round sees 2^-30 of a source.
 ROUNDS = (10, 10, 10, 34)
@@ -123,10 +123,15 @@ def mixed_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sour
     """The mix itself: every row as often as ``mix`` takes it, with its own columns.
 
     Bounds are joined by source, so rows need no unique id and no text moves.
+    Null and empty texts have size 0 and are taken as often as whole copies of
+    their source are, or once more below its threshold; very long texts count
+    whole; a null source is a source; repeated rows share their fate; an empty table gives an empty
+    result; other columns may have any names.
     """
+    key, bound, copy = free_names(docs, "key", "bound", "copy")
     sizes = stored(size_table(docs, doc_id, text, source), "mix-sizes").withColumn("key", group_key("source"))
     bounds = source_bounds(sizes, weights, share, max_repeat).select(
-        F.col("key").alias("__key"), F.struct("whole", "threshold", "nearer").alias("__b"))
-    copies = _copies(F.xxhash64(doc_id), F.col("__b"))
-    rows = docs.withColumn("__key", group_key(source)).join(bounds, "__key")
-    return rows.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), copies))).select(docs.columns)
+        F.col("key").alias(key), F.struct("whole", "threshold", "nearer").alias(bound))
+    copies = _copies(F.xxhash64(doc_id), F.col(bound))
+    rows = docs.withColumn(key, group_key(source)).join(bounds, key)
+    return rows.withColumn(copy, F.explode(F.array_repeat(F.lit(0), copies))).select(docs.columns)

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkfold.functions.text import let
-from inkfold.llm.common import GAP, UPPER, WHITE, group_key, stored
+from inkfold.llm.common import GAP, UPPER, WHITE, free_names, group_key, stored
 
 RISK = 0.05
 DELTA = 0.05
@@ -127,13 +127,18 @@ def fit_cutoffs(stats: DataFrame, labels: DataFrame, risk: float = RISK, delta:
 
     ``stats`` has ``doc_id, stratum, s`` (text_stats), ``labels`` has ``doc_id,
     quality``. Labels without an id or a quality are left out; a document
-    labelled twice counts once, as bad if any label says so. Halves are dealt by
+    labelled twice counts once, as bad if any label says so, and so does one that
+    stands in the table several times: the test is of documents, drawn one by one,
+    so every labelled id is one draw (its least row, if its rows differ). Copies
+    under other ids are draws of their own, as they are labelled on their own. Halves are dealt by
     a hash of the id. One aggregation counts rejections for all candidates; what
     follows has one row per stratum, rule and candidate.
     """
     judged = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("_q"))
     own_risk = risk / len(RULES)
-    rows = stats.where(~base_failed(F.col("s"))).join(judged, "doc_id")
+    passed = stats.where(~base_failed(F.col("s"))).join(judged, "doc_id")
+    one = F.min(F.struct("stratum", "s", "_q")).alias("one")
+    rows = passed.groupBy("doc_id").agg(one).select("doc_id", "one.*")
     hold = F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)) == 0
     values = rule_values(F.col("s"))
     facts = rows.select("stratum", (F.col("_q") > 0).alias("good"), hold.alias("hold"), *[v.alias(k) for k, v in values.items()])
@@ -194,12 +199,15 @@ def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text", stratum: s
               risk: float = RISK, delta: float = DELTA) -> DataFrame:
     """The rows that ``quality_rules`` keeps, with all their columns.
 
-    The verdict is taken in the row itself, so rows need no unique id and no text
-    is shuffled.
+    Rows are stored with their counts, which serve the fit and the verdict: texts
+    are read and split once, rows need no unique id and no text is shuffled. Null
+    and empty texts fail; very long ones count whole; repeated rows are judged each; an empty
+    table gives an empty result; other columns may have any names.
     """
-    stats = stored(quality_stats(docs, doc_id, text, stratum), "quality-stats")
+    group, counts, cut = free_names(docs, "stratum", "counts", "cut")
+    rows = stored(docs.withColumns({group: group_key(stratum), counts: text_stats(F.col(text))}), "quality-rows")
+    stats = rows.select(F.col(doc_id).alias("doc_id"), F.col(group).alias("stratum"), F.col(counts).alias("s"))
     cutoffs = stored(fit_cutoffs(stats, labels, risk, delta), "quality-cutoffs")
-    held = cutoffs.select(F.col("stratum").alias("__stratum"), F.struct(*RULES).alias("__cut"))
-    rows = docs.withColumn("__stratum", group_key(stratum)).join(held, "__stratum", "left")
-    keep = let(text_stats(F.col(text)), lambda s: verdict(s, {r: F.col("__cut")[r] for r in RULES}))
-    return rows.where(keep).drop("__stratum", "__cut")
+    held = cutoffs.select(F.col("stratum").alias(group), F.struct(*RULES).alias(cut))
+    keep = verdict(F.col(counts), {r: F.col(cut)[r] for r in RULES})
+    return rows.join(held, group, "left").where(keep).select(docs.columns)

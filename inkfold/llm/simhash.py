@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from inkfold.llm.common import stored, tasks
+from inkfold.llm.common import free_names, stored, tasks
 from inkfold.llm.components import components
 
 RADIUS = 3
@@ -207,7 +207,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     ``component_id`` is the smallest id among all documents reachable over links.
     Null and empty texts have fingerprint 0 and are linked with each other like
-    any others. Repeated rows have one fingerprint; a null id is never the
+    any others; very long texts are hashed whole, piece by piece. Repeated rows have one fingerprint; a null id is never the
     smallest unless all are null. Columns beside the two named are not looked at.
     An empty table gives an empty result. ``radius`` is at most 3.
     """
@@ -229,14 +229,17 @@ def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", w
 
     Rows are told apart by their place in ``docs``, which must be a stored
     table, so of repeated rows one stays too. Texts meet their verdict by place.
+    Null and empty texts are one group; very long texts are hashed whole, piece by
+    piece; an empty table gives an empty result; other columns may have any names.
     """
-    placed = docs.withColumn("__row", F.monotonically_increasing_id())
+    row, = free_names(docs, "row")
+    placed = docs.withColumn(row, F.monotonically_increasing_id())
     # Ids stand for rows here, so that rows of one id and different texts stay apart.
-    groups = near_duplicates(placed, "__row", text, words, radius)
-    rank = F.struct(F.col(doc_id).isNull().alias("last"), F.col(doc_id).alias("id"), F.col("__row").alias("row"))
-    ids = placed.select(F.col("__row").alias("doc_id"), rank.alias("rank"))
-    kept = groups.join(ids, "doc_id").groupBy("component_id").agg(F.min("rank")["row"].alias("__row"))
-    return placed.join(kept.select("__row"), "__row", "left_semi").select(docs.columns)
+    groups = near_duplicates(placed, row, text, words, radius)
+    rank = F.struct(F.col(doc_id).isNull().alias("last"), F.col(doc_id).alias("id"), F.col(row).alias("row"))
+    ids = placed.select(F.col(row).alias("doc_id"), rank.alias("rank"))
+    kept = groups.join(ids, "doc_id").groupBy("component_id").agg(F.min("rank")["row"].alias(row))
+    return placed.join(kept.select(row), row, "left_semi").select(docs.columns)
 
 
 def hex_fingerprint(fp: Column) -> Column:

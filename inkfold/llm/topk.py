@@ -36,12 +36,18 @@ def usable(vector: Column) -> Column:
 
 
 def quantized(vector: Column) -> Column:
-    """floor(256 x) of every component, x as double."""
-    return F.transform(vector, lambda x: F.floor(x.cast("double") * F.lit(float(SCALE))).cast("bigint"))
+    """floor(256 x) of every component, x as double; a whole number of any size, still as double."""
+    def whole(x: Column) -> Column:
+        scaled = x.cast("double") * F.lit(float(SCALE))
+        # From 2^52 on every double is whole, and floor() would end at 2^63.
+        return F.when(F.abs(scaled) < F.lit(2.0 ** 52), F.floor(scaled).cast("double")).otherwise(scaled)
+    return F.transform(vector, whole)
 
 
 def _matrix(column: pd.Series, width: int) -> np.ndarray:
     """Rows of equal width; shorter vectors are filled with zeros."""
+    if len(column) and all(len(row) == width for row in column):
+        return np.concatenate(column.to_numpy()).astype("float64").reshape(-1, width)
     out = np.zeros((len(column), width))
     for i, row in enumerate(column):
         out[i, :len(row)] = row
@@ -53,9 +59,21 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k]
 
 
+def _exact(query: np.ndarray, own: int, ids: np.ndarray, vectors: np.ndarray, k: int) -> tuple[np.ndarray, list[int]]:
+    """Like ``_search`` in Python's integers, for sums that doubles may not hold."""
+    asked = [int(x) for x in query]
+    scored = sorted((-sum(q * int(x) for q, x in zip(asked, row)), int(i)) for i, row in zip(ids, vectors) if i != own)[:k]
+    if any(abs(s) >= 1 << 63 for s, _ in scored):
+        raise OverflowError("a score does not fit into 64 bits")
+    return np.array([i for _, i in scored], dtype="i8"), [-s for s, _ in scored]
+
+
 def _search(query: np.ndarray, own: int, ids: np.ndarray, vectors: np.ndarray, low: np.ndarray, high: np.ndarray,
             k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and scores of the k best vectors of a shard; all sums are of whole numbers below 2^53."""
+    """Ids and scores of the k best vectors of a shard."""
+    if not np.abs(query) @ np.maximum(np.abs(low), np.abs(high)) < 2.0 ** 53:
+        return _exact(query, own, ids, vectors, k)
+    # All sums are of whole numbers below 2^53, exact in any order.
     bound = np.maximum(query * low, query * high)
     order = np.argsort(-bound, kind="stable")
     open_bound = np.append(np.cumsum(bound[order][::-1])[::-1], 0.0)
@@ -88,8 +106,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     vector never answers a query of the same id. Vectors that are null or hold a
     null or non-finite component take no part, neither do rows without an id;
     repeated rows are candidates each and ask once; shorter vectors count as filled with
-    zeros. Components must stay below 2^20 in size after scaling, so that sums
-    are exact. Empty tables give an empty result.
+    zeros. Scores are exact: where sums may pass 2^53 they are taken in integers of
+    any size, and a score among the k best beyond 64 bits is an error. Empty tables give an empty result.
 
     A task holds one shard and one block of queries, whatever the tables' sizes.
     """
@@ -120,7 +138,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
         asking = _matrix(asked["vector"].map(lambda v: v[:width]), width)
         for own, part, query in zip(asked["vec_id"], asked["part"], asking):
             top, score = _search(query, own, ids, matrix, low, high, k)
-            found += zip([own] * len(top), [part] * len(top), top, score)
+            found += zip([own] * len(top), [part] * len(top), top, map(int, score))
         return pd.DataFrame(found, columns=["q", "part", "v", "score"]).astype("int64")
 
     parts = max(1, min(tasks(vectors), shards * blocks))

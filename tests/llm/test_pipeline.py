@@ -46,7 +46,7 @@ def test_line_stage(steps):
 
 
 def test_near_stage_keeps_one_of_each_group(steps):
-    groups = plain_groups([(r.doc_id, plain_fingerprint(r.text, 5)) for r in steps["line_dedup"]])
+    groups = plain_groups([(r.doc_id, plain_fingerprint(r.text, 3)) for r in steps["line_dedup"]])
     assert sorted(r.doc_id for r in steps["near_dedup"]) == sorted(set(groups.values()))
     assert len(steps["near_dedup"]) < len(steps["line_dedup"])
 
@@ -85,7 +85,9 @@ ODD = [(None, None, None, None, None), (None, None, None, None, None), (1, "", "
 
 @pytest.mark.parametrize("name", list(STAGES))
 def test_stage_on_odd_rows(spark, tmp_path, name):
-    extra = {"kept": F.lit(1), "copies": F.lit(2), "row": F.lit(3), "fp": F.lit("x"), "ids": F.lit("y"), "n_lines": F.lit(4), "key": F.lit(5)}
+    extra = {"kept": F.lit(1), "copies": F.lit(2), "row": F.lit(3), "fp": F.lit("x"), "ids": F.lit("y"), "n_lines": F.lit(4), "key": F.lit(5),
+             "place": F.lit(6), "cut": F.lit(7), "copy": F.lit(8), "bound": F.lit(9), "stratum": F.lit("s"), "counts": F.lit("t"), "row_": F.lit(10),
+             "__row": F.lit(11), "__key": F.lit(12), "__copy": F.lit(13), "__b": F.lit(14), "__stratum": F.lit(15), "__cut": F.lit(16), "__gone": F.lit(17)}
     docs = spark.createDataFrame(ODD, "doc_id bigint, text string, lang string, source string, n_chars bigint").withColumns(extra)
     docs.coalesce(1).write.parquet(str(tmp_path / "odd"))
     docs = spark.read.parquet(str(tmp_path / "odd"))
@@ -95,6 +97,8 @@ def test_stage_on_odd_rows(spark, tmp_path, name):
         assert len(rows) == 7 and sum(r.ids is None for r in rows) == 2
     else:
         assert found.columns == docs.columns
+        given = docs.select(*[c for c in extra if c != "n_lines"]).first()
+        assert all(r[c] == given[c] for r in rows for c in given.asDict())
     if name == "quality_rules":
         assert [r.doc_id for r in rows] == [3]
     if name == "line_dedup":
