@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkfold.llm import chat, line_dedup, mixing, packing, pitman_yor, quality, sentencepiece, simhash, token_counts, topk
+from inkfold.llm import (
+    chat, conversation_repair, line_dedup, mixing, packing, pitman_yor, quality, sentencepiece, simhash, token_counts, topk,
+)
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -97,3 +99,17 @@ def op9_mix_sources(spark, sf_dir):
 def op10_top_k(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+@query
+def op13_conversation_repair(spark, sf_dir):
+    """Every conversation, damaged and repaired; one that lost all its rows counts nothing."""
+    turns = table(spark, sf_dir, "conversations")
+    found = conversation_repair.repair(conversation_repair.damaged(turns))
+    every = found.unionByName(turns.select("conv_id").distinct(), allowMissingColumns=True)
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    # One row of a conversation at most is not bare.
+    whole = every.groupBy("conv_id").agg(*[F.max(c).alias(c) for c in [*counts, "audit", "repaired"]], F.count("cost").alias("n"))
+    return whole.select("conv_id", *[F.when(F.col("n") == 0, F.lit(0)).otherwise(F.col(c)).cast("bigint").alias(c) for c in counts],
+                        F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.sha2(F.coalesce("repaired", F.lit("")), 256).alias("repaired_sha256"))
