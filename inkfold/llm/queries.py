@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkfold.llm import (
-    chat, conversation_repair, line_dedup, mixing, packing, pitman_yor, quality, sentencepiece, simhash, token_counts, topk,
+    chat, conversation_repair, line_dedup, mixing, packing, pitman_yor, quality, sentencepiece, simhash, spelling, token_counts, topk,
 )
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,6 +101,11 @@ def op10_top_k(spark, sf_dir):
     return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"))
 
 
+@query
+def op11_spelling_variants(spark, sf_dir):
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_conversation_repair(spark, sf_dir):
     """Every conversation, damaged and repaired; one that lost all its rows counts nothing."""
