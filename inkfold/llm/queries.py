@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkfold.llm import (
-    chat, conversation_repair, line_dedup, mixing, packing, pitman_yor, quality, sentencepiece, simhash, spelling, token_counts, topk,
+    chat, conversation_repair, html_text, line_dedup, mixing, packing, pitman_yor, quality, sentencepiece, simhash, spelling, token_counts, topk,
 )
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,6 +106,12 @@ def op11_spelling_variants(spark, sf_dir):
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_html_extraction(spark, sf_dir):
+    found = html_text.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 @query
 def op13_conversation_repair(spark, sf_dir):
     """Every conversation, damaged and repaired; one that lost all its rows counts nothing."""
