@@ -12,7 +12,7 @@ they are and once as if they named nothing; so pages with an article element are
 by it, and others by what the labelled pages teach about kinds of blocks, links and
 tags. All pages are counted. The number of kinds is fixed, so the counts are a table of some hundred
 rows. The factor of the tags is the one of ``FACTORS`` that finds the article best
-on the labelled pages when they name nothing.
+on a sample of ``JUDGED`` labelled pages, dealt by hash, when they name nothing.
 """
 
 from __future__ import annotations
@@ -51,8 +51,12 @@ PRIOR = {"p": 0.9, "h": 0.7, "q": 0.8, "li": 0.4, "td": 0.4, "other": 0.5}
 TAG_PRIOR = {"block": 0.6, "inline": 0.7, "link": 0.3, "list": 0.3, "table": 0.3, "box": 0.2}
 PRIOR_WEIGHT = 20.0
 NAMED, OUTSIDE, UNNAMED = "in", "out", "none"
+# Counts the labelled pages themselves.
+LABELLED = "pages"
 PLACE_PRIOR = {NAMED: 0.99, OUTSIDE: 0.01}
 FACTORS = (0.5, 1.0, 2.0, 4.0, 8.0)
+# Labelled pages, about, that the factor is chosen on.
+JUDGED = 20_000
 # Least share of the words of article elements that the largest must hold to label a page.
 CLEAR = 0.8
 
@@ -79,6 +83,7 @@ class Box(NamedTuple):
     parent: int
     hinted: bool
     whole_hint: bool
+    main: bool = False
 
 
 def _hints(name: str, attributes: str) -> tuple[bool, bool, str]:
@@ -101,6 +106,7 @@ def read(page: str) -> tuple[list[Piece], list[Box]]:
     pieces: list[Piece] = []
     boxes = [Box("", -1, False, False)]
     open_boxes, kind, link, at, start = [0], "other", False, 0, 0
+    is_open: Counter[str] = Counter()
 
     def put(upto: int) -> None:
         if upto > start:
@@ -135,36 +141,38 @@ def read(page: str) -> tuple[list[Piece], list[Box]]:
             kind = "other" if closing else KINDS[name]
         elif name not in INLINE:
             kind, link = "other", False
-            if closing:
-                for depth in range(len(open_boxes) - 1, 0, -1):
-                    if boxes[open_boxes[depth]].name == name:
-                        del open_boxes[depth:]
-                        break
+            # An end tag closes the innermost element of its name and all within; a stray one nothing.
+            while closing and is_open[name]:
+                shut = boxes[open_boxes.pop()].name
+                is_open[shut] -= 1
+                if shut == name:
+                    break
         hint = False, False, ""
         if not closing and name not in ("html", "body") and found[3]:
             hint = _hints(name, found[3])
         # Inline elements become boxes only where they hide something.
         if not closing and name not in VOID and ((name not in INLINE and name not in KINDS) or hint[0] or name in DROPPED):
-            own = "main" if hint[2] == "main" else name
-            if own in RAW:
+            if name in RAW:
                 pieces.append(Piece(name, "", 0, kind, link, open_boxes[-1]))
                 end = re.compile(f"</{name}", re.I).search(page, at)
                 at = start = end.start() if end else len(page)
                 continue
-            boxes.append(Box(own, open_boxes[-1], hint[0], hint[1]))
+            boxes.append(Box(name, open_boxes[-1], hint[0], hint[1], hint[2] == "main"))
             open_boxes.append(len(boxes) - 1)
-        elif closing and (name in INLINE or name in KINDS):
-            for depth in range(len(open_boxes) - 1, 0, -1):
-                box = boxes[open_boxes[depth]]
-                if box.name == name:
-                    del open_boxes[depth:]
-                if box.name not in INLINE and box.name not in KINDS or box.name == name:
-                    break
+            is_open[name] += 1
+        elif closing and (name in INLINE or name in KINDS) and boxes[open_boxes[-1]].name == name:
+            open_boxes.pop()
+            is_open[name] -= 1
         pieces.append(Piece("/" + name if closing else name, "", 0, kind, link, open_boxes[-1]))
     put(len(page))
     return pieces, boxes
 
 
+def _named(box: Box) -> str:
+    """Which of the two names of an article an element bears, if any."""
+    return "main" if box.main else box.name if box.name in ("article", "main") else ""
+
+
 class Parsed(NamedTuple):
     pieces: list[Piece]
     dropped: list[bool]  # by box
@@ -179,12 +187,14 @@ def parse(page: str) -> Parsed:
     within, holds = list(words), [False] * len(boxes)
     for i in range(len(boxes) - 1, 0, -1):
         within[boxes[i].parent] += within[i]
-        named = boxes[i].name in ("article", "main") and not boxes[i].whole_hint
+        named = _named(boxes[i]) != "" and not boxes[i].whole_hint
         holds[boxes[i].parent] = holds[boxes[i].parent] or holds[i] or named
-    shown = sum(p.words for p in pieces if not _always(boxes, p.box))
-    dropped, in_named = [False] * len(boxes), [False] * len(boxes)
+    always, in_named, dropped = ([False] * len(boxes) for _ in range(3))
+    for i, box in enumerate(boxes[1:], 1):
+        always[i] = always[box.parent] or box.name in DROPPED
+    shown = sum(p.words for p in pieces if not always[p.box])
     for i, box in enumerate(boxes[1:], 1):
-        named = box.name in ("article", "main")
+        named = _named(box) != ""
         in_named[i] = in_named[box.parent] or named
         hinted = box.whole_hint if named else box.hinted and not holds[i]
         # A name alone does not hide most of a page.
@@ -196,7 +206,10 @@ def parse(page: str) -> Parsed:
     for i in range(len(boxes) - 1, 0, -1):
         clear[boxes[i].parent] += clear[i]
     for name in ("article", "main"):
-        tops = [i for i, b in enumerate(boxes) if b.name == name and not dropped[i] and not _under(boxes, i, name)]
+        under = [False] * len(boxes)
+        for i, box in enumerate(boxes[1:], 1):
+            under[i] = under[box.parent] or _named(boxes[box.parent]) == name
+        tops = [i for i, b in enumerate(boxes) if _named(b) == name and not dropped[i] and not under[i]]
         if tops and clear[0]:
             best = max(tops, key=lambda i: clear[i])
             if clear[best] and clear[best] >= CLEAR * sum(clear[i] for i in tops):
@@ -207,21 +220,6 @@ def parse(page: str) -> Parsed:
     return Parsed(pieces, dropped, None)
 
 
-def _always(boxes: list[Box], i: int) -> bool:
-    while i > 0:
-        if boxes[i].name in DROPPED:
-            return True
-        i = boxes[i].parent
-    return False
-
-
-def _under(boxes: list[Box], i: int, name: str) -> bool:
-    while (i := boxes[i].parent) > 0:
-        if boxes[i].name == name:
-            return True
-    return False
-
-
 def _tag_kind(tag: str) -> str:
     name = tag.lstrip("/")
     return TAG_KINDS.get(name) or ("inline" if name in INLINE else "block" if name in KINDS or name == "hr" else "box")
@@ -308,32 +306,34 @@ def extract(page: str, weights: Weights, known: dict[tuple, float]) -> str:
 def fit(pages: DataFrame, text: str = "html") -> Weights:
     """Weights from all pages that name their article; without any, the assumed shares and a factor of 1.
 
-    Two passes over the pages: counts by kind, then how well each factor finds the named article.
+    All pages are counted by kind; about ``JUDGED`` labelled ones (all, if fewer) judge the factors.
     """
     rows = pages.where(F.col(text).isNotNull()).select(text)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inside: Counter[tuple] = Counter()
-        every: Counter[tuple] = Counter()
+        every: Counter[tuple] = Counter({(LABELLED, "", False, False): 0})
         for batch in batches:
             for value in batch.column(0):
                 page = parse(value.as_py())
                 if page.inside is None:
                     continue
+                every[LABELLED, "", False, False] += 1
                 for named in (True, False):
                     for p, f in zip(page.pieces, features(page, named)):
                         n = 1 if p.tag else p.words
                         every[f] += n
                         if page.inside[p.box] and not page.dropped[p.box]:
                             inside[f] += n
-        if every:
+        if len(every) > 1:
             cols = [pa.array(c) for c in zip(*every)]
             yield pa.RecordBatch.from_arrays([*cols, pa.array([inside[f] for f in every], pa.int64()), pa.array(every.values(), pa.int64())],
                                              names=["place", "kind", "link", "dropped", "inside", "every"])
     counted = rows.mapInArrow(count, "place string, kind string, link boolean, dropped boolean, inside bigint, every bigint")
-    # Three places, six kinds of blocks in four ways and six kinds of tags: at most 90 rows.
+    # Three places, six kinds of blocks in four ways and six kinds of tags, and one more: at most 91 rows.
     sums = counted.groupBy("place", "kind", "link", "dropped").agg(F.sum("inside"), F.sum("every")).collect()
-    counts = {tuple(r)[:4]: tuple(r)[4:] for r in sums}
+    counts = {tuple(r)[:4]: tuple(r)[4:] for r in sums if r["place"] != LABELLED}
+    one_in = -(-sum(r["sum(every)"] for r in sums if r["place"] == LABELLED) // JUDGED)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tries = [(Weights(counts, f), {}) for f in FACTORS]
@@ -354,7 +354,8 @@ def fit(pages: DataFrame, text: str = "html") -> Weights:
                                          names=["factor", "good", "found", "wanted"])
     if not counts:
         return Weights(counts, 1.0)
-    judged = rows.mapInArrow(judge, "factor double, good bigint, found bigint, wanted bigint").groupBy("factor").agg(
+    sample = rows.where(F.pmod(F.xxhash64(text), F.lit(one_in)) == 0)
+    judged = sample.mapInArrow(judge, "factor double, good bigint, found bigint, wanted bigint").groupBy("factor").agg(
         (2 * F.sum("good") / (F.sum("found") + F.sum("wanted"))).alias("f1")).collect()
     return Weights(counts, max(judged, key=lambda r: (r["f1"] or 0.0, -r["factor"]))["factor"])
 
