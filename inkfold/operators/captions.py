@@ -25,6 +25,8 @@ from inkfold.operators.records import label_to_field
 
 # Captions with up to this many spans are resolved in the JVM.
 NATIVE_SPANS = 64
+# Token positions of one bin of the interval join.
+BIN = 1024
 
 
 def _is_ascii(word: Column) -> Column:
@@ -174,16 +176,24 @@ def entity_tokens(resolved: DataFrame) -> DataFrame:
         "doc_id", "pos", "word", "label")
 
 
+def span_bins(spans: DataFrame) -> DataFrame:
+    """``doc_id, label, _start, _end, _bin``: spans, once per bin they touch; empty ones touch none."""
+    bins = F.sequence(F.floor(F.col("start") / BIN), F.floor((F.col("end") - 1) / BIN))
+    return spans.where(F.col("end") > F.col("start")).select(
+        "doc_id", "label", F.col("start").alias("_start"), F.col("end").alias("_end"), F.explode(bins).alias("_bin"))
+
+
 def entity_token_join(tokens: DataFrame, spans: DataFrame) -> DataFrame:
     """Tokens of one table inside the entity spans of another, with the label.
 
-    Spans become one row per token position, so the join is a plain equi-join
-    on (doc_id, pos) and no document is a group of its own. Where both come from
+    An interval join by bins: a span is listed once per ``BIN`` positions it touches,
+    a token has one bin, and within a bin its position decides. No document is a
+    group of its own, and a span costs its length divided by ``BIN``. Where both come from
     one caption row, ``entity_tokens`` needs no join.
     """
-    places = spans.where(F.col("end") > F.col("start")).select("doc_id", "label", F.explode(F.sequence(
-        F.col("start"), F.col("end") - 1)).alias("pos"))
-    return tokens.join(places, ["doc_id", "pos"])
+    named = tokens.withColumn("_bin", F.floor(F.col("pos") / BIN))
+    inside = (F.col("pos") >= F.col("_start")) & (F.col("pos") < F.col("_end"))
+    return named.join(span_bins(spans), ["doc_id", "_bin"]).where(inside).select(*tokens.columns, "label")
 
 
 def vectors_by_label(entity_tokens: DataFrame) -> DataFrame:

