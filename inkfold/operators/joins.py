@@ -50,8 +50,12 @@ def record_pair_join(a: DataFrame, b: DataFrame, fields: list[str], key: str = "
 
 
 def vector_lookup(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """Attach the vector of each token's word; words without one drop out."""
-    return join_per_key(tokens, vocabulary, "word", ["doc_id", "pos"])
+    """Attach the vector of each token's word; words without one drop out.
+
+    A plain join: where a word is hot, Spark deals its tokens to several tasks and
+    repeats that part of the vocabulary alone, as measured, so copies follow skew.
+    """
+    return tokens.join(vocabulary, "word")
 
 
 def image_mask_join(pixels: DataFrame, masks: DataFrame) -> DataFrame:
