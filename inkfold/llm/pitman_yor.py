@@ -2,9 +2,10 @@
 
 Every word is drawn in the restaurant of its context; all context restaurants
 share one parent, the root, whose base measure is diffuse (a new word is a new
-dish). A context is the class of the word before, of ``CLASSES`` classes by
-hash, so frequent words have a restaurant nearly to themselves and what all
-tasks must know of the contexts is of fixed size. Both levels have discount 1/2,
+dish). A context is the class of the word before, by hash. The number of classes
+grows with the text (``class_bits``), so frequent words have a restaurant nearly to
+themselves; what all tasks must know of the contexts stays below 2^``MOST_BITS``
+numbers per sample. Both levels have discount 1/2,
 for which the number of seatings of n customers at t tables has the closed ratio
 
     S(n, t + 1) / S(n, t) = 4 (n - t) / (t (2n - t - 1))
@@ -33,12 +34,15 @@ from pyspark.sql import functions as F
 
 from inkfold.llm.common import stored, tasks
 
-CLASSES = 256
+# Bits of hash that tell contexts apart, at least and at most, and bytes of text per class in between.
+LEAST_BITS, MOST_BITS, CLASS_BYTES = 8, 15, 1 << 12
 DISCOUNT = 0.5
 STRENGTH = 1.0
 # Sweeps before the totals are exchanged, before the first sample, and samples.
 BURN_IN, SETTLE, SAMPLES = 4, 1, 3
 SEED = 7
+# Arrays of totals that reach the driver.
+SUMS = 8
 # Tokens (and documents) that a chunk may hold before it is closed.
 CHUNK_TOKENS, CHUNK_DOCS = 1 << 20, 1 << 16
 # Bytes of text per word range: what one group holds does not grow with the input.
@@ -52,6 +56,7 @@ class Chunk:
     """Documents of one task: token keys and what is asked for them."""
 
     number: int
+    bits: int
     doc_ids: list = field(default_factory=list)
     held: list = field(default_factory=list)
     lengths: list = field(default_factory=list)
@@ -71,13 +76,14 @@ class Chunk:
         self.n += len(words)
 
     def close(self) -> None:
-        """``keys``: sorted distinct 56 bits of word and 8 bits of context; ``token``: the key's place of each token."""
+        """``keys``: sorted distinct bits of word and context; ``token``: the key's place of each token."""
         h = np.frombuffer(b"".join(self.parts), dtype=">u8").astype("u8")
         self.parts = []
-        end = h[-1] >> np.uint64(56)
-        context = np.append(end, h[:-1] >> np.uint64(56)).astype("u1")
+        top = np.uint64(64 - self.bits)
+        end = h[-1] >> top
+        context = np.append(end, h[:-1] >> top)
         context[np.cumsum(self.lengths)[:-1]] = end
-        h &= ~np.uint64(CLASSES - 1)
+        h &= ~np.uint64((1 << self.bits) - 1)
         h |= context
         keys, self.token = np.unique(h, return_inverse=True)
         self.token = self.token.astype("<u4")
@@ -86,12 +92,12 @@ class Chunk:
         self.trained = np.bincount(self.token[train], minlength=len(keys))
 
 
-def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
+def chunks(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[Chunk]:
     """Closed chunks of ``doc_id, held, text``."""
     from pyspark import TaskContext
 
     number = TaskContext.get().partitionId() << 32
-    chunk = Chunk(number)
+    chunk = Chunk(number, bits)
     for batch in batches:
         for doc_id, held, text in zip(*(batch.column(c) for c in ("doc_id", "held", "text"))):
             chunk.add(doc_id.as_py(), held.as_py(), text.as_py())
@@ -99,33 +105,53 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
                 chunk.close()
                 yield chunk
                 number += 1
-                chunk = Chunk(number)
+                chunk = Chunk(number, bits)
     if chunk.doc_ids:
         chunk.close()
         yield chunk
 
 
-def word_ranges(rows: DataFrame) -> int:
-    """Number of parts for ``rows`` (with ``text``): as many as the bytes ask for, and enough for all tasks."""
-    size = rows.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+def text_bytes(rows: DataFrame) -> int:
+    return rows.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+
+
+def word_ranges(rows: DataFrame, size: int) -> int:
+    """Number of parts for ``size`` bytes of text: as many as they ask for, and enough for all tasks."""
     return max(tasks(rows), -(-size // PART_BYTES))
 
 
-def _split(keys: np.ndarray, parts: int) -> np.ndarray:
-    """Bounds of the parts in sorted keys; a part is a range of words."""
+def class_bits(size: int) -> int:
+    """Bits of context for ``size`` bytes of text."""
+    return min(MOST_BITS, max(LEAST_BITS, (size // CLASS_BYTES).bit_length()))
+
+
+def _split(keys: np.ndarray, parts: int) -> Iterator[tuple[int, int, int]]:
+    """Part, start and stop of the parts that hold any of the sorted keys; a part is a range of words."""
     part = (keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
-    return np.searchsorted(part, np.arange(parts + 1))
+    held, start = np.unique(part, return_index=True)
+    return zip(held.tolist(), start.tolist(), [*start[1:].tolist(), len(keys)])
 
 
-def _pack(keys: np.ndarray) -> tuple[bytes, bytes, bytes]:
-    """Sorted keys as words, contexts per word (u2) and contexts (u1)."""
-    words, counts = np.unique(keys >> np.uint64(8), return_counts=True)
-    return words.astype("<u8").tobytes(), counts.astype("<u2").tobytes(), (keys & np.uint64(255)).astype("u1").tobytes()
+def _pack(keys: np.ndarray, bits: int) -> tuple[bytes, bytes, bytes]:
+    """Sorted keys as words, contexts per word and contexts."""
+    words, counts = np.unique(keys >> np.uint64(bits), return_counts=True)
+    contexts = (keys & np.uint64((1 << bits) - 1)).astype("<u2" if bits > 8 else "u1")
+    return words.astype("<u8").tobytes(), counts.astype("<u2").tobytes(), contexts.tobytes()
 
 
-def _unpack(words: bytes, counts: bytes, contexts: bytes) -> np.ndarray:
+def _unpack(words: bytes, counts: bytes, contexts: bytes, bits: int) -> np.ndarray:
     each = np.repeat(np.frombuffer(words, "<u8"), np.frombuffer(counts, "<u2"))
-    return each << np.uint64(8) | np.frombuffer(contexts, "u1").astype("u8")
+    return each << np.uint64(bits) | np.frombuffer(contexts, "<u2" if bits > 8 else "u1").astype("u8")
+
+
+def _places(token: np.ndarray) -> tuple[bytes, bytes]:
+    """Places in a chunk's keys by their lower two bytes and the two above."""
+    return (token & 0xFFFF).astype("<u2").tobytes(), (token >> 16).astype("u1" if len(token) == 0 or token.max() < 1 << 24 else "<u2").tobytes()
+
+
+def _token(low: bytes, high: bytes) -> np.ndarray:
+    lower = np.frombuffer(low, "<u2").astype("<u4")
+    return lower | np.frombuffer(high, "u1" if len(high) == len(lower) else "<u2").astype("<u4") << 16
 
 
 _PACKED = "words binary, counts binary, contexts binary"
@@ -134,13 +160,13 @@ _PACKED = "words binary, counts binary, contexts binary"
 class Seating:
     """Dishes of one part: customers and tables of each (word, context)."""
 
-    def __init__(self, keys: np.ndarray, customers: np.ndarray, tables: np.ndarray, part: int) -> None:
-        self.keys, self.n, self.t, self.part = keys, customers.astype("f8"), tables.astype("f8"), part
-        _, self.word = np.unique(keys >> np.uint64(8), return_inverse=True)
-        self.context = (keys & np.uint64(255)).astype("i8")
+    def __init__(self, keys: np.ndarray, customers: np.ndarray, tables: np.ndarray, part: int, bits: int = LEAST_BITS) -> None:
+        self.keys, self.n, self.t, self.part, self.classes = keys, customers.astype("f8"), tables.astype("f8"), part, 1 << bits
+        _, self.word = np.unique(keys >> np.uint64(bits), return_inverse=True)
+        self.context = (keys & np.uint64(self.classes - 1)).astype("i8")
 
     def table_totals(self) -> np.ndarray:
-        return np.bincount(self.context, self.t, minlength=CLASSES)
+        return np.bincount(self.context, self.t, minlength=self.classes)
 
     def root(self) -> np.ndarray:
         """Customers of the root per word: one for each table."""
@@ -188,7 +214,10 @@ class Seating:
 
 
 def _totals(df: DataFrame, column: str) -> np.ndarray:
-    """Sum of equally long arrays of numbers over all rows: first inside each task, then over tasks."""
+    """Sum of equally long arrays of numbers over all rows: inside each task, then of a few tasks, then here.
+
+    The driver gets ``SUMS`` arrays, whose length does not depend on the rows.
+    """
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for batch in batches:
@@ -197,40 +226,38 @@ def _totals(df: DataFrame, column: str) -> np.ndarray:
                 total = own if total is None else total + own
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array([total.tolist()])], names=[column])
-    rows = df.select(column).mapInArrow(add, f"{column} array<double>").select(F.posexplode(column).alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).collect()
-    out = np.zeros(max((r["i"] for r in rows), default=-1) + 1)
-    for r in rows:
-        out[r["i"]] = r["x"]
-    return out
+    schema = f"{column} array<double>"
+    by_task = df.select(column).mapInArrow(add, schema)
+    few = by_task.repartition(SUMS, F.xxhash64(column)).mapInArrow(add, schema)
+    return np.sum([np.asarray(r[0]) for r in few.toLocalIterator()], axis=0) if not few.isEmpty() else np.zeros(0)
 
 
-def seat(docs: DataFrame, parts: int) -> DataFrame:
+def seat(docs: DataFrame, parts: int, bits: int) -> DataFrame:
     """Counts of the training documents per part, seated by ``BURN_IN`` sweeps.
 
     A part does not know the others' tables yet; words are dealt by hash, so it
     takes them for ``parts`` times its own.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches):
+        for chunk in chunks(batches, bits):
             seen = chunk.trained > 0
             keys, n = chunk.keys[seen], chunk.trained[seen].astype("<u4")
-            bounds = _split(keys, parts)
-            rows = [(p, *_pack(keys[a:b]), n[a:b].tobytes()) for p, (a, b) in enumerate(zip(bounds, bounds[1:])) if b > a]
+            rows = [(p, *_pack(keys[a:b], bits), n[a:b].tobytes()) for p, a, b in _split(keys, parts)]
             yield pa.RecordBatch.from_pylist([dict(zip(("part", "words", "counts", "contexts", "n"), r)) for r in rows], schema=counted)
 
     def gather(key: tuple, table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        keys = np.concatenate([_unpack(r["words"], r["counts"], r["contexts"]) for r in rows])
+        keys = np.concatenate([_unpack(r["words"], r["counts"], r["contexts"], bits) for r in rows])
         n = np.concatenate([np.frombuffer(r["n"], "<u4") for r in rows])
         distinct, place = np.unique(keys, return_inverse=True)
         n = np.bincount(place, n)
         part = key[0].as_py()
-        seating = Seating(distinct, n, np.ones(len(distinct)), part)
+        seating = Seating(distinct, n, np.ones(len(distinct)), part, bits)
         rng = np.random.default_rng([SEED, 0, part])
         for _ in range(BURN_IN):
             seating.sweep(parts * seating.table_totals(), rng)
-        words, counts, contexts = _pack(distinct)
-        sums = np.concatenate([seating.table_totals(), np.bincount(seating.context, n, minlength=CLASSES), [len(words) / 8]])
+        words, counts, contexts = _pack(distinct, bits)
+        sums = np.concatenate([seating.table_totals(), np.bincount(seating.context, n, minlength=1 << bits), [len(words) / 8]])
         return pa.Table.from_pylist([{
             "part": part, "words": words, "counts": counts, "contexts": contexts, "n": n.astype("<u8").tobytes(),
             "t": seating.t.astype("<u4").tobytes(), "sums": sums.tolist()}], schema=seated)
@@ -242,14 +269,14 @@ def seat(docs: DataFrame, parts: int) -> DataFrame:
     return rows.groupBy("part").applyInArrow(gather, f"part bigint, {_PACKED}, n binary, t binary, sums array<double>")
 
 
-def sample(model: DataFrame, totals: np.ndarray) -> DataFrame:
+def sample(model: DataFrame, totals: np.ndarray, bits: int) -> DataFrame:
     """``SAMPLES`` seatings of each part, from the exchanged table totals on."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 r, = batch.slice(i, 1).to_pylist()
-                keys = _unpack(r["words"], r["counts"], r["contexts"])
-                seating = Seating(keys, np.frombuffer(r["n"], "<u8"), np.frombuffer(r["t"], "<u4"), r["part"])
+                keys = _unpack(r["words"], r["counts"], r["contexts"], bits)
+                seating = Seating(keys, np.frombuffer(r["n"], "<u8"), np.frombuffer(r["t"], "<u4"), r["part"], bits)
                 rng, rest, kept, sums = np.random.default_rng([SEED, 1, r["part"]]), totals - seating.table_totals(), [], []
                 for step in range(SETTLE + SAMPLES):
                     seating.sweep(rest + seating.table_totals(), rng)
@@ -266,7 +293,7 @@ def sample(model: DataFrame, totals: np.ndarray) -> DataFrame:
 class Globals:
     """What every task must know: numbers of fixed count."""
 
-    parts: int
+    bits: int
     words: float
     customers: np.ndarray
     # Tables per sample and context.
@@ -286,16 +313,17 @@ def predictive(keys: np.ndarray, model: dict | None, known: Globals) -> tuple[np
     ``model`` is the part's row of samples (None: no training word in the part).
     A word without training tokens has the probability that a new word comes.
     """
-    words, word = np.unique(keys >> np.uint64(8), return_inverse=True)
-    context = (keys & np.uint64(255)).astype("i8")
+    bits = np.uint64(known.bits)
+    words, word = np.unique(keys >> bits, return_inverse=True)
+    context = (keys & np.uint64((1 << known.bits) - 1)).astype("i8")
     count, n = np.zeros(len(words)), np.zeros(len(keys))
     new = (STRENGTH + DISCOUNT * known.words) / known.root_size()
     root, tables = np.repeat(new, len(words), axis=1), np.zeros((SAMPLES, len(keys)))
     if model:
-        held = _unpack(model["words"], model["counts"], model["contexts"])
+        held = _unpack(model["words"], model["counts"], model["contexts"], known.bits)
         customers = np.frombuffer(model["n"], "<u8").astype("f8")
         t = np.frombuffer(model["t"], "<u4").reshape(SAMPLES, -1).astype("f8")
-        names, place = np.unique(held >> np.uint64(8), return_inverse=True)
+        names, place = np.unique(held >> bits, return_inverse=True)
         at = np.minimum(np.searchsorted(names, words), len(names) - 1)
         seen = names[at] == words
         count[seen] = np.bincount(place, customers)[at[seen]]
@@ -318,37 +346,39 @@ def score(docs: DataFrame, held: F.Column, doc_id: str = "doc_id", text: str = "
     doc_id is carried along; without training rows every score is that of new
     words only; an empty table gives an empty result. Other columns are not
     looked at. ``docs`` must be a stored table, as its chunks are read twice.
-    Words are told apart by 56 bits of hash.
+    Words are told apart by the bits of a 64-bit hash that contexts leave, 49 at least.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(held, F.lit(False)).alias("held"),
                        F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
-    parts = word_ranges(rows)
-    model = stored(seat(rows, parts), "seating")
-    sums = np.append(_totals(model, "sums"), np.zeros(2 * CLASSES + 1))[:2 * CLASSES + 1]
-    samples = stored(sample(model, sums[:CLASSES]), "seating-samples")
-    tables = np.append(_totals(samples, "sums"), np.zeros(SAMPLES * CLASSES))[:SAMPLES * CLASSES].reshape(SAMPLES, CLASSES)
-    known = Globals(parts, sums[-1], sums[CLASSES:2 * CLASSES], tables)
+    size = text_bytes(rows)
+    parts, bits = word_ranges(rows, size), class_bits(size)
+    classes = 1 << bits
+    model = stored(seat(rows, parts, bits), "seating")
+    sums = np.append(_totals(model, "sums"), np.zeros(2 * classes + 1))[:2 * classes + 1]
+    samples = stored(sample(model, sums[:classes], bits), "seating-samples")
+    tables = np.append(_totals(samples, "sums"), np.zeros(SAMPLES * classes))[:SAMPLES * classes].reshape(SAMPLES, classes)
+    known = Globals(bits, sums[-1], sums[classes:2 * classes], tables)
     n_train = known.customers.sum()
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches):
-            bounds = _split(chunk.keys, parts)
-            out = [(p, chunk.number, *_pack(chunk.keys[a:b])) for p, (a, b) in enumerate(zip(bounds, bounds[1:])) if b > a]
+        for chunk in chunks(batches, bits):
+            out = [(p, chunk.number, *_pack(chunk.keys[a:b], bits)) for p, a, b in _split(chunk.keys, parts)]
             yield pa.RecordBatch.from_pylist([dict(zip(asked.names, r)) for r in out], schema=asked)
 
     def answer(key: tuple, asking: pa.Table, models: pa.Table) -> pa.Table:
         row = models.to_pylist()
         out = []
         for r in asking.to_pylist():
-            count, logs = predictive(_unpack(r["words"], r["counts"], r["contexts"]), row[0] if row else None, known)
+            count, logs = predictive(_unpack(r["words"], r["counts"], r["contexts"], bits), row[0] if row else None, known)
             out.append({"chunk": r["chunk"], "part": r["part"], "each": r["counts"], "count": count.astype("<u8").tobytes(), "logs": logs.astype("<f4").tobytes()})
         return pa.Table.from_pylist(out, schema=answered)
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches):
+        for chunk in chunks(batches, bits):
+            low, high = _places(chunk.token)
             yield pa.RecordBatch.from_pylist([{
                 "chunk": chunk.number, "doc_ids": chunk.doc_ids, "held": chunk.held, "lengths": chunk.lengths,
-                "token": chunk.token.tobytes()}], schema=told)
+                "low": low, "high": high}], schema=told)
 
     def add_up(key: tuple, answers: pa.Table, texts: pa.Table) -> pa.Table:
         # Parts are ranges of words, so in their order they are the chunk's keys.
@@ -357,7 +387,7 @@ def score(docs: DataFrame, held: F.Column, doc_id: str = "doc_id", text: str = "
         logs = np.concatenate([np.frombuffer(r["logs"], "<f4") for r in got]).astype("f8")
         base = np.log10((count + 0.5) / (n_train + 0.5 * (known.words + 1)))
         row, = texts.to_pylist()
-        token = np.frombuffer(row["token"], "<u4")
+        token = _token(row["low"], row["high"])
         doc = np.repeat(np.arange(len(row["lengths"])), row["lengths"])
         total = {name: np.bincount(doc, x[token]) for name, x in (("n_known", count > 0), ("base_score", base), ("score", logs))}
         return pa.table({
@@ -371,11 +401,11 @@ def score(docs: DataFrame, held: F.Column, doc_id: str = "doc_id", text: str = "
     packed = [(c, pa.binary()) for c in ("words", "counts", "contexts")]
     asked = pa.schema([("part", pa.int64()), ("chunk", pa.int64()), *packed])
     answered = pa.schema([("chunk", pa.int64()), ("part", pa.int64()), ("each", pa.binary()), ("count", pa.binary()), ("logs", pa.binary())])
-    told = pa.schema([("chunk", pa.int64()), ("doc_ids", pa.list_(id_type)), ("held", pa.list_(pa.bool_())), ("lengths", pa.list_(pa.int64())), ("token", pa.binary())])
+    told = pa.schema([("chunk", pa.int64()), ("doc_ids", pa.list_(id_type)), ("held", pa.list_(pa.bool_())), ("lengths", pa.list_(pa.int64())), ("low", pa.binary()), ("high", pa.binary())])
     questions = rows.mapInArrow(ask, f"part bigint, chunk bigint, {_PACKED}")
     answers = questions.groupBy("part").cogroup(samples.drop("sums").groupBy("part")).applyInArrow(
         answer, "chunk bigint, part bigint, each binary, count binary, logs binary")
     name = kind.simpleString()
-    texts = rows.mapInArrow(tell, f"chunk bigint, doc_ids array<{name}>, held array<boolean>, lengths array<bigint>, token binary")
+    texts = rows.mapInArrow(tell, f"chunk bigint, doc_ids array<{name}>, held array<boolean>, lengths array<bigint>, low binary, high binary")
     return answers.groupBy("chunk").cogroup(texts.groupBy("chunk")).applyInArrow(
         add_up, f"doc_id {name}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")

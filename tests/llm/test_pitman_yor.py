@@ -120,10 +120,10 @@ def test_probabilities_of_a_context_sum_to_one():
     for _ in range(py.SAMPLES):
         s.sweep(s.table_totals(), rng)
         kept.append(s.t.copy())
-    words, counts, contexts = py._pack(s.keys)
+    words, counts, contexts = py._pack(s.keys, 8)
     model = {"words": words, "counts": counts, "contexts": contexts, "n": s.n.astype("<u8").tobytes(), "t": np.concatenate(kept).astype("<u4").tobytes()}
-    tables = np.array([np.bincount(s.context, t, minlength=py.CLASSES) for t in kept])
-    known = py.Globals(1, 39.0, np.bincount(s.context, s.n, minlength=py.CLASSES), tables)
+    tables = np.array([np.bincount(s.context, t, minlength=256) for t in kept])
+    known = py.Globals(8, 39.0, np.bincount(s.context, s.n, minlength=256), tables)
     for context in (0, 1, 4, 200):
         keys = np.array([w << 8 | context for w in [*range(1, 40), 99]], dtype="u8")
         count, logs = py.predictive(keys, model, known)
@@ -169,7 +169,7 @@ def test_word_ranges_grow_with_the_text(spark, monkeypatch, tmp_path):
     docs = spark.read.parquet(folder)
     monkeypatch.setattr(py, "PART_BYTES", 500)
     seen, seat = [], py.seat
-    monkeypatch.setattr(py, "seat", lambda rows, parts: seen.append(parts) or seat(rows, parts))
+    monkeypatch.setattr(py, "seat", lambda rows, parts, bits: seen.append(parts) or seat(rows, parts, bits))
     found = {r.doc_id: r for r in py.score(docs, F.col("doc_id") % 5 == 1).collect()}
     assert seen == [-(-sum(len(t) for _, t in rows) // 500)] and seen[0] > 50
     for (i, _), want in zip(rows, plain_base(rows, [i % 5 == 1 for i, _ in rows])):
