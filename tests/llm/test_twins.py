@@ -18,5 +18,5 @@ def test_same_rows(spark, name):
 def test_entry_points_hold_all_queries():
     import __spark_entry__ as entry
 
-    assert {f"op{n}" for n in range(1, 11)} | {"pipeline"} == {k.split("_")[0] for k in entry.queries() if k == "pipeline" or k.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} | {"pipeline"} == {k.split("_")[0] for k in entry.queries() if k == "pipeline" or k.startswith("op")}
     assert set(entry.oracle_sql()) <= set(entry.queries())
