@@ -85,6 +85,77 @@ def test_quality_edges(spark):
     assert quality.quality_rules(docs.limit(0), labels.limit(0)).count() == 0
 
 
+def plain_cutoffs(rows, labels, halves):
+    """Cutoffs by stratum, from (doc_id, text, stratum), (doc_id, quality) and whether an id is held out."""
+    judged = {}
+    for d, q in labels:
+        if d is not None and q is not None:
+            judged[d] = min(q, judged.get(d, q))
+    seen, facts = set(), defaultdict(list)
+    for d, text, stratum in rows:
+        n, chars, symbols, dup, repeat = plain_stats(text)
+        if d not in judged or d in seen or n < 10 or 100 * repeat > 20 * n:
+            continue
+        seen.add(d)
+        lines = sum(bool(WORD.search(x)) for x in (text or "").split("\n"))
+        upper = sum(c in quality.UPPER for c in text)
+        share = lambda a, b: a / b if b else 0.0
+        facts[stratum].append((judged[d] > 0, halves[d], {
+            "symbol_share": share(symbols, chars), "repeat_share": share(repeat, n), "copied_line_share": share(dup, lines),
+            "upper_share": share(upper, chars), "word_chars_mean": share(chars, n)}))
+    risk, level = quality.RISK / len(quality.RULES), math.log(quality.DELTA / (len(quality.RULES) * max(1, len(facts))))
+
+    def log_tail(n, k):
+        terms = [math.lgamma(n + 1) - math.lgamma(j + 1) - math.lgamma(n - j + 1) + j * math.log(risk) + (n - j) * math.log1p(-risk) for j in range(k + 1)]
+        return max(terms) + math.log(sum(math.exp(t - max(terms)) for t in terms))
+    out = {}
+    for stratum, docs in facts.items():
+        for rule, cuts in quality.RULES.items():
+            best = None
+            for i, cut in enumerate(cuts):
+                n = sum(good and hold for good, hold, _ in docs)
+                k = sum(good and hold and v[rule] > cut for good, hold, v in docs)
+                if not (k < n * risk and log_tail(n, k) <= level):
+                    break
+                bad = sum(not good and v[rule] > cut for good, _, v in docs)
+                gain = (bad - quality.COST * sum(good and v[rule] > cut for good, _, v in docs), -i)
+                if bad and (best is None or gain > best[0]):
+                    best = (gain, cut)
+            if best:
+                out.setdefault(stratum, {})[rule] = best[1]
+    return out
+
+
+def halves_of(spark, ids):
+    df = spark.createDataFrame([(i,) for i in ids], "doc_id bigint")
+    return {r.doc_id: r.h for r in df.select("doc_id", (F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)) == 0).alias("h")).collect()}
+
+
+def test_cutoffs_and_verdicts_match_plain_python(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(2600):
+        good, lang = i % 4 > 0, "en" if i % 3 else "de"
+        words = [f"w{rng.integers(0, 900)}" + ("#" if rng.random() < (0.01 if good else 0.5) else "") for _ in range(rng.integers(8, 40))]
+        rows.append((i, " ".join(words).upper() if not good and i % 5 == 0 else " ".join(words), lang))
+    labels = [(i, int(i % 4 > 0)) for i in range(0, 2600)] + [(7, 0), (None, 1), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    marked = spark.createDataFrame(labels, "doc_id bigint, quality int")
+    want = plain_cutoffs([(d, t, "a" + s) for d, t, s in rows], labels, halves_of(spark, range(2600)))
+    stats = quality.quality_stats(docs)
+    found = {r.stratum: {k: r[k] for k in quality.RULES if r[k] is not None} for r in quality.fit_cutoffs(stats, marked).collect()}
+    assert found == want and want["aen"]
+    # Rows that stand in the table many times are one draw each.
+    many = {r.stratum: {k: r[k] for k in quality.RULES if r[k] is not None} for r in quality.fit_cutoffs(stats.join(spark.range(5).select(F.lit(1))), marked).collect()}
+    assert many == want
+
+
+def test_repeated_rows_certify_nothing(spark):
+    docs, labels = _labelled(spark, 40, 40)
+    again = docs.join(spark.range(60).select(F.col("id").alias("copy")))
+    assert all(r.kept for r in quality.quality_rules(again, labels).collect())
+
+
 # Chat -----------------------------------------------------------------------
 
 
@@ -212,3 +283,44 @@ def test_top_k_small_and_empty(spark):
     df = spark.createDataFrame([(0, [1.0]), (1, [2.0]), (1, [2.0])], "vec_id bigint, embedding array<float>")
     assert [tuple(r) for r in topk.top_k(df, df.where("vec_id = 0")).collect()] == [(0, 1, 1, 131072), (0, 2, 1, 131072)]
     assert topk.top_k(df.limit(0), df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("size", [1e6, 1e8, 3.0e30])
+def test_top_k_scores_are_exact_or_an_error(spark, size):
+    rows = [(i, [size * (1 + i * 1e-7), size, 3.0]) for i in range(6)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    scaled = {i: [math.floor(256 * x) for x in v] for i, v in rows}
+    want = sorted((-sum(a * b for a, b in zip(scaled[0], v)), i) for i, v in scaled.items() if i)
+    if size > 1e7:
+        with pytest.raises(Exception, match="64 bits"):
+            topk.top_k(df, df.where("vec_id = 0"), 2).collect()
+    else:
+        assert [(r.vec_id, r.score) for r in topk.top_k(df, df.where("vec_id = 0"), 2).orderBy("rank").collect()] == [(i, -s) for s, i in want[:2]]
+
+
+def test_mix_query_on_whole_table(spark):
+    docs = {r.doc_id: (r.source, len((r.text or "").encode().split())) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    rows = [r.asDict() for r in queries.REGISTRY["op9_mix_sources"](spark, SF_DIR).collect()]
+    sizes, taken, largest = Counter(), Counter(), Counter()
+    for source, n in docs.values():
+        sizes[source] += n
+        largest[source] = max(largest[source], n)
+    targets = plain_targets(sizes)
+    assert {r["doc_id"] for r in rows} == set(docs) and len(rows) == len(docs)
+    for r in rows:
+        source, n = docs[r["doc_id"]]
+        assert (r["size"], r["source_size"]) == (n, sizes[source]) and r["target"] == pytest.approx(targets[source])
+        assert r["taken"] in (0, n, 2 * n, 3 * n)
+        taken[source] += r["taken"]
+    assert all(abs(taken[s] - targets[s]) <= largest[s] for s in sizes)
+    again = {r["doc_id"]: r["taken"] for r in map(lambda r: r.asDict(), queries.REGISTRY["op9_mix_sources"](spark, SF_DIR).collect())}
+    assert again == {r["doc_id"]: r["taken"] for r in rows}
+
+
+def test_no_text_moves_before_the_anti_join(spark, monkeypatch):
+    turns = spark.createDataFrame([(1, 0, "user", "a"), (2, 0, "user", "a"), (2, 1, "assistant", "b")], "conv_id bigint, turn bigint, role string, text string")
+    written = []
+    monkeypatch.setattr(chat, "stored", lambda df, name: written.append((name, df.columns)) or df)
+    row, = chat.maximal_conversations(turns).collect()
+    assert row.conv_id == 2 and all("text" not in columns for _, columns in written)
+    assert {name for name, _ in written} == {"chat-heads", "chat-prefixes", "chat-kept"}
