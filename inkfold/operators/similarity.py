@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 
 from inkfold.functions.fixed_values import SIMILARITY_THRESHOLD
 from inkfold.operators.joins import join_per_key
+from inkfold.sources.files import work_folder
 
 # Words of a document per block; two blocks are compared in one step.
 BLOCK_WORDS = 1024
+# Blocks of one cluster are numbered below this.
+CLUSTER_BLOCKS = 1 << 20
 # Labels whose sums a task holds before it passes them on.
 HELD_LABELS = 256
 
@@ -22,8 +25,119 @@ def has_vector(tokens: DataFrame) -> DataFrame:
     return tokens.where(F.col("vec").isNotNull())
 
 
+def _counted_words(tokens: DataFrame, block_words: int) -> DataFrame:
+    """``doc_id, word, vec, n`` of distinct tokens with a vector, and the number of blocks of the document."""
+    known = has_vector(tokens)
+    items = known.groupBy("doc_id", "word", "vec").agg(F.count("*").alias("n"))
+    # An estimate will do: the number of blocks only sets their size.
+    n_items = F.approx_count_distinct(F.xxhash64("word", "vec"))
+    blocks = known.groupBy("doc_id").agg(F.ceil(n_items / block_words).cast("int").alias("n_blocks"))
+    return join_per_key(items, blocks, "doc_id", ["word"])
+
+
+def _met(placed: DataFrame) -> DataFrame:
+    """``low, high``: the cells in which a word's ``block`` meets the blocks listed in ``others``."""
+    return (placed.withColumn("other", F.explode("others")).drop("others")
+            .withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")))
+
+
+def met_by_hash(tokens: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """Words dealt to blocks by hash; every two blocks of a document meet."""
+    placed = _counted_words(tokens, block_words).withColumn("block", F.pmod(F.hash("word", "vec"), "n_blocks").cast("bigint"))
+    return _met(placed.withColumn("others", F.sequence(F.lit(0).cast("bigint"), F.col("n_blocks").cast("bigint") - 1))).drop("n_blocks", "other")
+
+
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    """Vectors of length 1; those without a direction become zeros."""
+    norms = np.linalg.norm(vectors, axis=1, keepdims=True)
+    fine = np.isfinite(norms) & (norms > 0)
+    return np.divide(vectors, norms, out=np.zeros_like(vectors), where=np.broadcast_to(fine, vectors.shape))
+
+
+def met_by_angle(tokens: DataFrame, threshold: float = SIMILARITY_THRESHOLD, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """Words dealt to blocks by their nearest pivot; only blocks that may hold a similar pair meet.
+
+    About as many words of a document as it has blocks are its pivots, by hash. A
+    cluster are the words nearest to a pivot, and its radius the largest angle between
+    them. Angles obey the triangle inequality, so two clusters whose pivots are further
+    apart than both radii and the angle of the threshold hold no similar pair: their
+    blocks never meet, and a word is copied only to where it may. Large clusters
+    are cut by hash. A vector without a direction is similar to nothing and drops out.
+    """
+    spark = tokens.sparkSession
+    folder = work_folder(spark, "similar-words")
+    items = _counted_words(tokens, block_words)
+    # An even number per word; the smallest share of a document are its pivots.
+    even = (F.pmod(F.xxhash64("word", "vec"), F.lit(1 << 30)) / F.lit(float(1 << 30))).alias("even")
+    items.select("*", even).write.parquet(f"{folder}/items")
+    items = spark.read.parquet(f"{folder}/items")
+    sizes = items.groupBy("doc_id").agg((F.max("n_blocks") / F.count("*")).alias("share"))
+    chosen = join_per_key(items, sizes, "doc_id", ["word"]).where((F.col("n_blocks") > 1) & (F.col("even") < F.col("share")))
+    pivots = chosen.groupBy("doc_id").agg(F.collect_list("vec").alias("pivots"))
+    parts = items.groupBy("doc_id", F.pmod(F.hash("word", "vec"), "n_blocks").alias("part")).agg(F.collect_list(F.struct("word", "n", "vec")).alias("items"))
+    dealt = parts.join(pivots, "doc_id", "left").select(
+        "doc_id", F.col("items.word").alias("words"), F.col("items.n").alias("counts"), F.flatten("items.vec").alias("numbers"),
+        F.flatten("pivots").alias("pivots"), F.coalesce(F.size("pivots"), F.lit(0)).alias("n_pivots"))
+
+    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for g in batch.itertuples(index=False):
+                vectors = np.asarray(g.numbers, dtype=np.float64).reshape(len(g.words), -1)
+                unit = _unit(vectors)
+                keep = unit.any(axis=1)
+                own = _directions(g.pivots, g.n_pivots)
+                # Without pivots all words are one cluster, too wide to skip anything.
+                nearest, angle = np.zeros(keep.sum(), dtype="i8"), np.full(keep.sum(), np.pi)
+                if own is not None:
+                    cosine = unit[keep] @ own.T
+                    nearest = cosine.argmax(axis=1)
+                    angle = np.arccos(np.clip(cosine[np.arange(len(nearest)), nearest], -1, 1))
+                yield pd.DataFrame({"doc_id": g.doc_id, "word": np.asarray(g.words, dtype=object)[keep], "n": np.asarray(g.counts)[keep],
+                                    "vec": list(vectors[keep]), "cluster": nearest, "angle": angle})
+    dealt.mapInPandas(assign, "doc_id bigint, word string, n bigint, vec array<double>, cluster bigint, angle double").write.parquet(f"{folder}/clusters")
+    clustered = spark.read.parquet(f"{folder}/clusters")
+    radii = clustered.groupBy("doc_id", "cluster").agg(F.count("*").alias("size"), F.max("angle").alias("radius"))
+    per_doc = radii.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("cluster", "size", "radius"))).alias("c")).join(pivots, "doc_id", "left").select(
+        "doc_id", F.col("c.cluster").alias("clusters"), F.col("c.size").alias("sizes"), F.col("c.radius").alias("radii"),
+        F.flatten("pivots").alias("pivots"), F.coalesce(F.size("pivots"), F.lit(0)).alias("n_pivots"))
+
+    def bounds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for g in batch.itertuples(index=False):
+                clusters, cuts = np.asarray(g.clusters), -(-np.asarray(g.sizes) // block_words)
+                own = _directions(g.pivots, g.n_pivots)
+                angle = np.zeros((len(clusters), len(clusters)))
+                if own is not None:
+                    angle = np.arccos(np.clip(own[clusters] @ own[clusters].T, -1, 1))
+                # A little more than the bound, for rounding.
+                near = angle - np.add.outer(g.radii, g.radii) <= np.arccos(threshold) + 1e-6
+                np.fill_diagonal(near, True)
+                for i, c in enumerate(clusters):
+                    others = np.concatenate([clusters[j] * CLUSTER_BLOCKS + np.arange(cuts[j]) for j in np.flatnonzero(near[i])])
+                    yield pd.DataFrame({"doc_id": [g.doc_id], "cluster": [c], "cuts": [cuts[i]], "others": [others]})
+    meets = per_doc.mapInPandas(bounds, "doc_id bigint, cluster bigint, cuts bigint, others array<bigint>")
+    block = F.col("cluster") * CLUSTER_BLOCKS + F.pmod(F.hash("word", "vec").cast("bigint"), F.col("cuts"))
+    placed = clustered.join(meets, ["doc_id", "cluster"]).withColumn("block", block)
+    return _met(placed.drop("cluster", "angle", "cuts")).drop("other")
+
+
+def _directions(pivots, n_pivots: int) -> np.ndarray | None:
+    """Unit pivots from their numbers in a row; None without any, or if one has no direction."""
+    if not n_pivots:
+        return None
+    own = _unit(np.asarray(pivots, dtype=np.float64).reshape(n_pivots, -1))
+    return own if own.any(axis=1).all() else None
+
+
+def compared_pairs(met: DataFrame) -> int:
+    """Pairs of words that meet in a cell, each side counted as it is compared."""
+    cells = met.groupBy("doc_id", "low", "high").agg(
+        F.count_if(F.col("block") == F.col("low")).alias("a"), F.count_if(F.col("block") == F.col("high")).alias("b"))
+    return cells.agg(F.sum(F.col("a") * F.col("b"))).first()[0] or 0
+
+
 def similar_token_join(tokens: DataFrame, threshold: float = SIMILARITY_THRESHOLD,
-                       block_words: int = BLOCK_WORDS) -> DataFrame:
+                       block_words: int = BLOCK_WORDS, by_angle: bool = False) -> DataFrame:
     """Similar word pairs within each document.
 
     One row per (document, word, other word) with the cosine and ``n_pairs``,
@@ -33,19 +147,13 @@ def similar_token_join(tokens: DataFrame, threshold: float = SIMILARITY_THRESHOL
     Equal tokens are counted first, so a frequent word is one item. The items
     of a document are dealt to blocks by hash and every two blocks meet in a
     group of their own: no group outgrows two blocks and only pairs above the
-    threshold are emitted.
+    threshold are emitted. With ``by_angle`` blocks are clusters of like vectors and
+    those too far apart never meet (see ``met_by_angle``), which pays where
+    documents have many blocks; the rows are the same.
     """
     if threshold < 0:
         raise ValueError("threshold must not be negative")
-    known = has_vector(tokens)
-    items = known.groupBy("doc_id", "word", "vec").agg(F.count("*").alias("n"))
-    # An estimate will do: the number of blocks only sets their size.
-    n_items = F.approx_count_distinct(F.xxhash64("word", "vec"))
-    blocks = known.groupBy("doc_id").agg(F.ceil(n_items / block_words).cast("int").alias("n_blocks"))
-    placed = join_per_key(items, blocks, "doc_id", ["word"]).withColumn(
-        "block", F.pmod(F.hash("word", "vec"), "n_blocks"))
-    met = (placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-           .withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")))
+    met = met_by_angle(tokens, threshold, block_words) if by_angle else met_by_hash(tokens, block_words)
     groups = (met.groupBy("doc_id", "low", "high")
               .agg(F.collect_list(F.struct("word", "n", "block", "vec")).alias("items"))
               .select("doc_id", "low", "high", F.col("items.word").alias("words"), F.col("items.n").alias("counts"),

@@ -313,6 +313,7 @@ def sql() -> dict[str, str]:
     q["record_pair_join"] = f"WITH {PAIRS} SELECT * FROM pairs"
     q["similar_token_join"] = f"""WITH {TOKEN_VECTORS} SELECT doc_id, word, similar_word, round(max(cosine), 5) AS cosine, count(*) AS n_pairs
       FROM close_pairs GROUP BY ALL"""
+    q["similar_token_join_by_angle"] = q["similar_token_join"]
     q["vector_lookup"] = f"""WITH {TOKENS}, w AS (SELECT DISTINCT word FROM (SELECT unnest(string_split(text, ' ')) AS word FROM benchmark) WHERE word <> '')
       SELECT doc_id, count(*) AS n, CAST(sum(length(word)) AS DOUBLE) AS chars, CAST(sum(ord(word) * pos) AS DOUBLE) AS weight
       FROM tokens JOIN w USING (word) GROUP BY doc_id"""

@@ -312,6 +312,13 @@ def similar_token_join(fx):
     return similarity.similar_token_join(fx.token_vectors()).withColumn("cosine", F.round("cosine", 5))
 
 
+@query
+def similar_token_join_by_angle(fx):
+    """The same rows from clusters of like vectors, in blocks small enough that documents have several."""
+    found = similarity.similar_token_join(fx.token_vectors(), block_words=16, by_angle=True)
+    return found.withColumn("cosine", F.round("cosine", 5))
+
+
 @query
 def vector_lookup(fx):
     words = fx.table("benchmark").select(F.explode(F.split("text", " ")).alias("word")).where("word <> ''").distinct()
