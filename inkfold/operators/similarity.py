@@ -17,6 +17,8 @@ from inkfold.sources.files import work_folder
 BLOCK_WORDS = 1024
 # Blocks of one cluster are numbered below this.
 CLUSTER_BLOCKS = 1 << 20
+# Directions of all labels of one group that every task and the driver hold.
+SPREAD_BYTES = 1 << 27
 # Labels whose sums a task holds before it passes them on.
 HELD_LABELS = 256
 
@@ -205,6 +207,130 @@ def set_union(a: DataFrame, b: DataFrame) -> DataFrame:
     return similar_words(long)
 
 
+def _by_label(vectors: DataFrame, label: str, vec: str) -> DataFrame:
+    """``label, vec`` and ``key``: vectors without a label are a group of their own."""
+    named = vectors.withColumn("label", F.col(label).cast("string")).withColumn("vec", F.col(vec))
+    return named.withColumn("key", F.coalesce(F.concat(F.lit("="), F.col("label")), F.lit("")))
+
+
+def _projected(named: DataFrame, views: DataFrame) -> DataFrame:
+    """``px, py`` of every vector from ``key, mean, axis1, axis2``."""
+    # The vectors of a label are dealt by row, so equal ones do not share a part.
+    placed = named.withColumn("_row", F.monotonically_increasing_id())
+    joined = join_per_key(placed, views, "key", ["_row"]).drop("_row", "key")
+
+    def project(axis: str):
+        centred = F.zip_with("vec", "mean", lambda v, m: v - m)
+        return F.aggregate(F.zip_with(centred, axis, lambda c, w: c * w), F.lit(0.0), lambda s, p: s + p)
+
+    return (joined.withColumn("px", project("axis1")).withColumn("py", project("axis2"))
+            .drop("mean", "axis1", "axis2"))
+
+
+def _signed(axes: np.ndarray) -> np.ndarray:
+    """Axes (as columns) whose largest entry is positive."""
+    return axes * np.where(axes[np.abs(axes).argmax(axis=0), np.arange(axes.shape[1])] < 0, -1.0, 1.0)
+
+
+def _label_sums(named: DataFrame, held: dict, work) -> dict:
+    """Per key the sum of ``work(state, rows)`` over its vectors: inside each task, then of a few tasks, then in one.
+
+    ``held`` is what every task must know, by key; its size is bounded by the caller.
+    """
+    def add(sums: dict, key, value) -> None:
+        sums[key] = sums[key] + value if key in sums else value
+
+    def rows_of(sums: dict) -> Iterator[pd.DataFrame]:
+        for key, value in sums.items():
+            yield pd.DataFrame({"key": [key], "value": [np.ascontiguousarray(value).ravel()]})
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict = {}
+        for batch in batches:
+            for key, rows in batch.groupby("key"):
+                if key in held:
+                    add(sums, key, work(held[key], np.stack(rows["vec"].to_numpy()).astype(np.float64)))
+        yield from rows_of(sums)
+
+    def total(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict = {}
+        for batch in batches:
+            for key, value in zip(batch["key"], batch["value"]):
+                add(sums, key, np.asarray(value))
+        yield from rows_of(sums)
+    schema = "key string, value array<double>"
+    by_task = named.select("key", "vec").mapInPandas(partial, schema)
+    few = by_task.repartition(16, F.xxhash64("value")).mapInPandas(total, schema)
+    return {r["key"]: np.asarray(r["value"]) for r in few.repartition(1).mapInPandas(total, schema).collect()}
+
+
+def label_spread_wide(vectors: DataFrame, label: str = "label", vec: str = "vec", rank: int = 16, passes: int = 4) -> DataFrame:
+    """``label_spread`` for vectors so wide that no matrix of their size squared should be built.
+
+    Two principal components per label from a random start: a block of ``rank``
+    directions is multiplied by the covariance ``passes`` times, each time in one pass over the
+    vectors, and all blocks together are the space in which the components are
+    found (exactly, where they are as many as the width). What is added up is width
+    times ``rank`` per label; labels are taken in groups so that the state of a group
+    stays below ``SPREAD_BYTES``. Vectors are read once per pass, so a dear input should be stored.
+    """
+    named = _by_label(vectors, label, vec).where(F.col("vec").isNotNull())
+    keys = sorted((r["key"], r["width"]) for r in named.groupBy("key").agg(F.max(F.size("vec")).alias("width")).collect())
+    views, at = [], 0
+    while at < len(keys):
+        upto, room = at, SPREAD_BYTES
+        while upto < len(keys) and (upto == at or room >= 0):
+            room -= 8 * keys[upto][1] * rank * (passes + 2)
+            upto += 1
+        views += _krylov_axes(named.where(F.col("key").isin([k for k, _ in keys[at:upto]])), dict(keys[at:upto]), rank, passes)
+        at = upto
+    schema = "key string, mean array<double>, axis1 array<double>, axis2 array<double>"
+    return _projected(named, vectors.sparkSession.createDataFrame(views, schema))
+
+
+def _krylov_axes(named: DataFrame, widths: dict[str, int], rank: int, passes: int) -> list[tuple]:
+    sums = _label_sums(named, widths, lambda _, x: np.r_[len(x), x.sum(axis=0)])
+    mean = {k: s[1:] / s[0] for k, s in sums.items()}
+    rng = np.random.default_rng(0)
+    start = {k: np.linalg.qr(rng.normal(size=(w, min(rank, w))))[0] for k, w in sorted(widths.items())}
+    basis, block = {k: [q] for k, q in start.items()}, start
+
+    def times(state: tuple, x: np.ndarray) -> np.ndarray:
+        centred = x - state[0]
+        return centred.T @ (centred @ state[1])
+
+    def inside(state: tuple, x: np.ndarray) -> np.ndarray:
+        y = (x - state[0]) @ state[1]
+        return y.T @ y
+    for _ in range(passes):
+        found = _label_sums(named, {k: (mean[k], block[k]) for k in block}, times)
+        block = {}
+        for k, y in found.items():
+            known = np.hstack(basis[k])
+            # What is new in it; nothing, once the space is whole.
+            y = y.reshape(widths[k], -1)
+            y = y / max(np.abs(y).max(), np.finfo(float).tiny)
+            for _ in range(2):
+                y = y - known @ (known.T @ y)
+            u, size, _ = np.linalg.svd(y, full_matrices=False)
+            fresh = u[:, (size > 1e-12)][:, :widths[k] - known.shape[1]]
+            if fresh.shape[1]:
+                basis[k].append(fresh)
+                block[k] = fresh
+        if not block:
+            break
+    whole = {k: np.hstack(q) for k, q in basis.items()}
+    found = _label_sums(named, {k: (mean[k], q) for k, q in whole.items()}, inside)
+    out = []
+    for k, q in whole.items():
+        small = found[k].reshape(q.shape[1], q.shape[1])
+        axes = _signed(q @ np.linalg.eigh(small)[1][:, ::-1][:, :2])
+        if axes.shape[1] < 2:
+            axes = np.c_[axes, np.zeros(len(axes))]
+        out.append((k, mean[k].tolist(), axes[:, 0].tolist(), axes[:, 1].tolist()))
+    return out
+
+
 def label_spread(vectors: DataFrame, label: str = "label", vec: str = "vec") -> DataFrame:
     """First two principal components of each vector within its label (no label: a group of its own).
 
@@ -239,9 +365,7 @@ def label_spread(vectors: DataFrame, label: str = "label", vec: str = "vec") ->
                 yield pd.DataFrame({
                     "key": [row.key], "mean": [mean], "axis1": [top[:, 0]], "axis2": [top[:, 1]]})
 
-    named = vectors.withColumn("label", F.col(label).cast("string")).withColumn("vec", F.col(vec))
-    # Vectors without a label are a group of their own.
-    named = named.withColumn("key", F.coalesce(F.concat(F.lit("="), F.col("label")), F.lit("")))
+    named = _by_label(vectors, label, vec)
     sums = named.select("key", "vec").mapInPandas(
         partial, "key string, place int, size int, value double")
     matrix = (sums.groupBy("key", "place", "size").agg(F.sum("value").alias("value"))
@@ -249,13 +373,4 @@ def label_spread(vectors: DataFrame, label: str = "label", vec: str = "vec") ->
               .select("key", "size", F.col("cells.value").alias("moments")))
     views = matrix.mapInPandas(
         axes, "key string, mean array<double>, axis1 array<double>, axis2 array<double>")
-    # The vectors of a label are dealt by row, so equal ones do not share a part.
-    placed = named.withColumn("_row", F.monotonically_increasing_id())
-    joined = join_per_key(placed, views, "key", ["_row"]).drop("_row", "key")
-
-    def project(axis: str):
-        centred = F.zip_with("vec", "mean", lambda v, m: v - m)
-        return F.aggregate(F.zip_with(centred, axis, lambda c, w: c * w), F.lit(0.0), lambda s, p: s + p)
-
-    return (joined.withColumn("px", project("axis1")).withColumn("py", project("axis2"))
-            .drop("mean", "axis1", "axis2"))
+    return _projected(named, views)

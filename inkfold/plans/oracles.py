@@ -470,6 +470,7 @@ def sql() -> dict[str, str]:
       var AS (SELECT label, i, var_pop(x) AS var, count(*) AS n FROM cells GROUP BY ALL)
       SELECT label, max(n) AS n, round(sum(var), 5) AS variance, TRUE AS centred_and_apart, TRUE AS largest_first FROM var GROUP BY label"""
     q["label_spread"] = f"WITH v AS (SELECT CAST(CASE WHEN label <> 4 THEN label END AS VARCHAR) AS label, embedding AS vec FROM embeddings), {spread}"
+    q["label_spread_wide"] = q["label_spread"]
     q["word_spread"] = f"WITH v AS (SELECT 'all' AS label, embedding AS vec FROM embeddings), {spread}"
 
     # Answers of a model, parsed and compared.

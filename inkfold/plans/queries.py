@@ -585,6 +585,13 @@ def label_spread(fx):
     return _spread_facts(similarity.label_spread(named, "label", "embedding"))
 
 
+@query
+def label_spread_wide(fx):
+    """The same facts without a matrix of the vectors' size squared."""
+    named = fx.table("embeddings").withColumn("label", F.when(F.col("label") != 4, F.col("label")))
+    return _spread_facts(similarity.label_spread_wide(named, "label", "embedding"))
+
+
 @query
 def word_spread(fx):
     """The view of all word vectors together."""
