@@ -283,6 +283,33 @@ def all_rates(truth: Column, results: Column) -> Column:
     return _all_rates_arrow(truth, results)
 
 
+def common_length(a: list, b: list) -> int:
+    """Length of the longest common subsequence, bit-parallel."""
+    known = set(a) & set(b)
+    # Items of one side only are in no common sequence.
+    a, b = [x for x in a if x in known], [x for x in b if x in known]
+    if len(a) > len(b):
+        a, b = b, a
+    if not a:
+        return 0
+    positions: dict = {}
+    for i, item in enumerate(a):
+        positions.setdefault(item, []).append(i)
+    cut, full = _match_cutter(positions, len(a)), (1 << len(a)) - 1
+    # A zero bit for every step up of a column of the table.
+    column, kept = full, {}
+    room = max(256, _KEPT_BITS // len(a))
+    for item in b:
+        same = kept.get(item)
+        if same is None:
+            same = cut(item, 0, len(a))
+            if len(kept) < room:
+                kept[item] = same
+        meet = column & same
+        column = (column + meet | column - meet) & full
+    return len(a) - column.bit_count()
+
+
 def count_edits(truth: list, result: list) -> tuple[int, int, int, int]:
     """Hits, substitutions, deletions, insertions of a shortest alignment.
 
@@ -291,6 +318,11 @@ def count_edits(truth: list, result: list) -> tuple[int, int, int, int]:
     both counts and no traceback has to be kept. Equal ends are hits in some
     best alignment and are cut off; the distance, found first, says how far
     alignments of that cost can stray from the diagonal.
+
+    Often no such table is needed. With e edits there are at most e - |growth|
+    substitutions; and as replacing each by a deletion and an insertion leaves a
+    common subsequence, at least the difference between the distance without
+    substitutions and e. Where both agree that is the number.
     """
     low, n = 0, min(len(truth), len(result))
     while low < n and truth[low] == result[low]:
@@ -306,6 +338,10 @@ def count_edits(truth: list, result: list) -> tuple[int, int, int, int]:
     if not len(t) or not len(r):
         return low + high, 0, len(t), len(r)
     edits = edit_distance(t.tolist(), r.tolist())
+    most = edits - abs(growth)
+    if most == 0 or len(t) + len(r) - 2 * common_length(t.tolist(), r.tolist()) - edits == most:
+        deletions = (edits - most - growth) // 2
+        return low + high + len(t) - most - deletions, most, deletions, edits - most - deletions
     # Cells (i, j) with i - down <= j <= i + up.
     down, up = (edits - growth) // 2, (edits + growth) // 2
     width, far = down + up + 1, base * base

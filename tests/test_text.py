@@ -179,3 +179,14 @@ def test_order_and_partitions_do_not_matter(spark, fx):
     one = ocr.ocr_error_summary(ocr.score_texts(docs.coalesce(1))).collect()
     many = ocr.ocr_error_summary(ocr.score_texts(docs.orderBy(F.rand(1)).repartition(7))).collect()
     assert one == many
+
+
+@settings(deadline=None, max_examples=300)
+@given(st.lists(st.sampled_from("abcd"), max_size=14), st.lists(st.sampled_from("abcd"), max_size=14))
+def test_common_length(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        above, row = row, [0]
+        for j, y in enumerate(b):
+            row.append(max(row[-1], above[j + 1], above[j] + (x == y)))
+    assert text.common_length(a, b) == row[-1]
