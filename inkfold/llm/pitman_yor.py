@@ -307,33 +307,49 @@ class Globals:
         return STRENGTH + self.tables.sum(axis=1, keepdims=True)
 
 
-def predictive(keys: np.ndarray, model: dict | None, known: Globals) -> tuple[np.ndarray, np.ndarray]:
-    """Training count of each word and averaged log10 probability of each sorted key.
+class Part:
+    """The samples of one part, made ready once for all chunks that ask.
 
     ``model`` is the part's row of samples (None: no training word in the part).
-    A word without training tokens has the probability that a new word comes.
     """
-    bits = np.uint64(known.bits)
-    words, word = np.unique(keys >> bits, return_inverse=True)
-    context = (keys & np.uint64((1 << known.bits) - 1)).astype("i8")
-    count, n = np.zeros(len(words)), np.zeros(len(keys))
-    new = (STRENGTH + DISCOUNT * known.words) / known.root_size()
-    root, tables = np.repeat(new, len(words), axis=1), np.zeros((SAMPLES, len(keys)))
-    if model:
-        held = _unpack(model["words"], model["counts"], model["contexts"], known.bits)
-        customers = np.frombuffer(model["n"], "<u8").astype("f8")
-        t = np.frombuffer(model["t"], "<u4").reshape(SAMPLES, -1).astype("f8")
-        names, place = np.unique(held >> bits, return_inverse=True)
-        at = np.minimum(np.searchsorted(names, words), len(names) - 1)
-        seen = names[at] == words
-        count[seen] = np.bincount(place, customers)[at[seen]]
-        for s in range(SAMPLES):
-            root[s, seen] = (np.bincount(place, t[s])[at[seen]] - DISCOUNT) / known.root_size()[s]
-        at = np.minimum(np.searchsorted(held, keys), len(held) - 1)
-        met = held[at] == keys
-        n[met], tables[:, met] = customers[at[met]], t[:, at[met]]
-    own = (n - DISCOUNT * tables) / (STRENGTH + known.customers[context])
-    return count, np.log10((own + known.backoff()[:, context] * root[:, word]).mean(axis=0))
+
+    def __init__(self, model: dict | None, known: Globals) -> None:
+        self.known, self.held = known, None
+        self.new = (STRENGTH + DISCOUNT * known.words) / known.root_size()
+        self.backoff = known.backoff()
+        if model:
+            self.held = _unpack(model["words"], model["counts"], model["contexts"], known.bits)
+            self.customers = np.frombuffer(model["n"], "<u8").astype("f8")
+            # What a dish has of its own: customers less the discount of its tables, per sample.
+            t = np.frombuffer(model["t"], "<u4").reshape(SAMPLES, -1).astype("f8")
+            self.own = self.customers - DISCOUNT * t
+            self.names, place = np.unique(self.held >> np.uint64(known.bits), return_inverse=True)
+            self.count = np.bincount(place, self.customers)
+            self.root = np.stack([np.bincount(place, row) for row in t])
+            self.root = (self.root - DISCOUNT) / known.root_size()
+
+    def predictive(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Training count of each word and averaged log10 probability of each sorted key.
+
+        A word without training tokens has the probability that a new word comes.
+        """
+        known, bits = self.known, np.uint64(self.known.bits)
+        of_key = keys >> bits
+        first = np.append(True, of_key[1:] != of_key[:-1]) if len(keys) else np.zeros(0, dtype=bool)
+        words, word = of_key[first], np.cumsum(first) - 1
+        context = (keys & np.uint64((1 << known.bits) - 1)).astype("i8")
+        count, root = np.zeros(len(words)), np.repeat(self.new, len(words), axis=1)
+        own = np.zeros((SAMPLES, len(keys)))
+        if self.held is not None:
+            at = np.minimum(np.searchsorted(self.names, words), len(self.names) - 1)
+            seen = self.names[at] == words
+            count[seen], root[:, seen] = self.count[at[seen]], self.root[:, at[seen]]
+            at = np.minimum(np.searchsorted(self.held, keys), len(self.held) - 1)
+            met = self.held[at] == keys
+            own[:, met] = self.own[:, at[met]]
+        own /= STRENGTH + known.customers[context]
+        own += self.backoff[:, context] * root[:, word]
+        return count, np.log10(own.mean(axis=0))
 
 
 def score(docs: DataFrame, held: F.Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -366,10 +382,9 @@ def score(docs: DataFrame, held: F.Column, doc_id: str = "doc_id", text: str = "
             yield pa.RecordBatch.from_pylist([dict(zip(asked.names, r)) for r in out], schema=asked)
 
     def answer(key: tuple, asking: pa.Table, models: pa.Table) -> pa.Table:
-        row = models.to_pylist()
-        out = []
+        part, out = Part(next(iter(models.to_pylist()), None), known), []
         for r in asking.to_pylist():
-            count, logs = predictive(_unpack(r["words"], r["counts"], r["contexts"], bits), row[0] if row else None, known)
+            count, logs = part.predictive(_unpack(r["words"], r["counts"], r["contexts"], bits))
             out.append({"chunk": r["chunk"], "part": r["part"], "each": r["counts"], "count": count.astype("<u8").tobytes(), "logs": logs.astype("<f4").tobytes()})
         return pa.Table.from_pylist(out, schema=answered)
 

@@ -126,10 +126,10 @@ def test_probabilities_of_a_context_sum_to_one():
     known = py.Globals(8, 39.0, np.bincount(s.context, s.n, minlength=256), tables)
     for context in (0, 1, 4, 200):
         keys = np.array([w << 8 | context for w in [*range(1, 40), 99]], dtype="u8")
-        count, logs = py.predictive(keys, model, known)
+        count, logs = py.Part(model, known).predictive(keys)
         assert (10 ** logs).sum() == pytest.approx(1)
         assert count[-1] == 0 and (count[:-1] > 0).all()
-    alone = py.predictive(np.array([5 << 8], dtype="u8"), None, known)
+    alone = py.Part(None, known).predictive(np.array([5 << 8], dtype="u8"))
     assert alone[0] == [0]
 
 
