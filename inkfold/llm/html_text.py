@@ -8,11 +8,12 @@ no article (menus, forms, adverts, comments, scripts) is left out.
 
 Labelled pages are those that name their article themselves: an ``article`` or ``main``
 element that holds most of the words of such elements. They are counted twice, once as
-they are and once as if they named nothing; so pages with an article element are told
+they are and once as if nothing had a name; so pages with an article element are told
 by it, and others by what the labelled pages teach about kinds of blocks, links and
 tags. All pages are counted. The number of kinds is fixed, so the counts are a table of some hundred
 rows. The factor of the tags is the one of ``FACTORS`` that finds the article best
-on a sample of ``JUDGED`` labelled pages, dealt by hash, when they name nothing.
+on a sample of ``JUDGED`` labelled pages, dealt by hash, when they name no article, and
+when nothing has a name at all.
 """
 
 from __future__ import annotations
@@ -197,8 +198,9 @@ def parse(page: str) -> Parsed:
         named = _named(box) != ""
         in_named[i] = in_named[box.parent] or named
         hinted = box.whole_hint if named else box.hinted and not holds[i]
-        # A name alone does not hide most of a page.
-        hinted = hinted and 2 * within[i] <= max(shown, 1) or (hinted and in_named[i])
+        # Part of a name alone does not hide most of a page, nor a whole name all of it.
+        most = shown if box.whole_hint else shown / 2
+        hinted = hinted and (in_named[i] or within[i] < max(most, 1) or within[i] == 0)
         page_head = box.name == "header" and not in_named[i]
         dropped[i] = dropped[box.parent] or box.name in DROPPED or hinted or page_head
     # Words that count, by element.
@@ -225,12 +227,12 @@ def _tag_kind(tag: str) -> str:
     return TAG_KINDS.get(name) or ("inline" if name in INLINE else "block" if name in KINDS or name == "hr" else "box")
 
 
-def features(page: Parsed, named: bool) -> list[tuple[str, str, bool, bool]]:
-    """Per piece what its weight depends on: place, kind, in a link, dropped."""
+def features(page: Parsed, named: bool, bare: bool = False) -> list[tuple[str, str, bool, bool]]:
+    """Per piece what its weight depends on: place, kind, in a link, dropped (``bare``: as if no name told so)."""
     out = []
     for p in page.pieces:
         place = UNNAMED if page.inside is None or not named else NAMED if page.inside[p.box] else OUTSIDE
-        out.append((place, "/" + _tag_kind(p.tag), False, False) if p.tag else (place, p.kind, p.link, page.dropped[p.box]))
+        out.append((place, "/" + _tag_kind(p.tag), False, False) if p.tag else (place, p.kind, p.link, page.dropped[p.box] and not bare))
     return out
 
 
@@ -288,9 +290,9 @@ class Weights(NamedTuple):
     factor: float
 
 
-def _scores(page: Parsed, weights: Weights, named: bool, known: dict[tuple, float]) -> list[float]:
+def _scores(page: Parsed, weights: Weights, named: bool, known: dict[tuple, float], bare: bool = False) -> list[float]:
     out = []
-    for p, f in zip(page.pieces, features(page, named)):
+    for p, f in zip(page.pieces, features(page, named, bare)):
         w = known.get(f)
         if w is None:
             w = known[f] = weight(f, weights.counts)
@@ -320,7 +322,7 @@ def fit(pages: DataFrame, text: str = "html") -> Weights:
                     continue
                 every[LABELLED, "", False, False] += 1
                 for named in (True, False):
-                    for p, f in zip(page.pieces, features(page, named)):
+                    for p, f in zip(page.pieces, features(page, named, bare=not named)):
                         n = 1 if p.tag else p.words
                         every[f] += n
                         if page.inside[p.box] and not page.dropped[p.box]:
@@ -343,13 +345,15 @@ def fit(pages: DataFrame, text: str = "html") -> Weights:
                 page = parse(value.as_py())
                 if page.inside is None:
                     continue
-                own = [0 if page.dropped[p.box] else p.words for p in page.pieces]
-                hits = [n if page.inside[p.box] else 0 for p, n in zip(page.pieces, own)]
+                own = [p.words for p in page.pieces]
+                kept = [0 if page.dropped[p.box] else p.words for p in page.pieces]
+                hits = [n if page.inside[p.box] else 0 for p, n in zip(page.pieces, kept)]
                 for weights, known in tries:
-                    start, stop = region(page.pieces, _scores(page, weights, False, known))
-                    right[weights.factor] += sum(hits[start:stop])
-                    found[weights.factor] += sum(own[start:stop])
-                    wanted[weights.factor] += sum(hits)
+                    for bare, words in ((False, kept), (True, own)):
+                        start, stop = region(page.pieces, _scores(page, weights, False, known, bare))
+                        right[weights.factor] += sum(hits[start:stop])
+                        found[weights.factor] += sum(words[start:stop])
+                        wanted[weights.factor] += sum(hits)
         yield pa.RecordBatch.from_arrays([pa.array(FACTORS), *(pa.array([c[f] for f in FACTORS], pa.int64()) for c in (right, found, wanted))],
                                          names=["factor", "good", "found", "wanted"])
     if not counts:
