@@ -47,9 +47,14 @@ def test_query_on_whole_table(spark):
 def seating(pairs):
     """pairs: (word, context, customers)."""
     pairs = sorted(pairs)
-    keys = np.array([w << 8 | c for w, c, _ in pairs], dtype="u8")
+    counts = np.array(list(Counter(w for w, *_ in pairs).values()))
     n = np.array([n for *_, n in pairs])
-    return py.Seating(keys, n, np.ones(len(n)), 0)
+    return py.Seating(counts, np.array([c for _, c, _ in pairs], dtype="u8"), n, np.ones(len(n)))
+
+
+def sweep(s, rng):
+    """One sweep of a franchise that has no other part."""
+    s.sweep(np.zeros(len(s.n)), 0, rng)
 
 
 def exact_tables(pairs):
@@ -90,7 +95,7 @@ def test_gibbs_sweeps_reach_the_exact_seating():
     exact = exact_tables(pairs)
     s, rng, seen = seating(pairs), np.random.default_rng(1), Counter()
     for _ in range(6000):
-        s.sweep(s.table_totals(), rng)
+        sweep(s, rng)
         seen[tuple(s.t.astype(int))] += 1
     for ts, p in exact.items():
         assert seen[ts] / 6000 == pytest.approx(p, abs=0.025)
@@ -102,7 +107,7 @@ def test_sweeps_of_a_franchise_have_the_right_mean():
     mean = np.sum([np.array(ts) * p for ts, p in exact.items()], axis=0)
     s, rng, total = seating(pairs), np.random.default_rng(2), np.zeros(4)
     for _ in range(6000):
-        s.sweep(s.table_totals(), rng)
+        sweep(s, rng)
         total += s.t
     assert total / 6000 == pytest.approx(mean, rel=0.12)
 
@@ -110,27 +115,46 @@ def test_sweeps_of_a_franchise_have_the_right_mean():
 def test_large_counts_are_drawn_within_bounds():
     s, rng = seating([(1, 0, 10 ** 7), (2, 0, 3), (1, 5, 10 ** 5), (3, 9, 1)]), np.random.default_rng(0)
     for _ in range(20):
-        s.sweep(s.table_totals(), rng)
+        sweep(s, rng)
         assert (s.t >= 1).all() and (s.t <= s.n).all() and s.t[-1] == 1
 
 
+def test_squeezed_numbers_come_back():
+    for values in (np.zeros(0, "<u8"), np.array([0], "<u8"), np.array([2 ** 64 - 1, 1, 0], "<u8"), np.arange(100_000, dtype="<u8")):
+        assert (py.spread(py.squeezed(values)) == values).all()
+    assert len(py.squeezed(np.ones(100_000, "<u8"))) < 1000
+
+
 def test_probabilities_of_a_context_sum_to_one():
-    s, rng = seating([(w, c, 1 + (w * c) % 7) for w in range(1, 40) for c in range(0, 5) if (w + c) % 3]), np.random.default_rng(0)
-    kept = []
+    # Words 1 to 39 stand for hashes in their upper bits; contexts are names of the restaurants of words 0 to 4.
+    top = 64 - py.CONTEXT_BITS
+    pairs = [(w, c, 1 + (w * c) % 7) for w in range(1, 40) for c in range(0, 5) if (w + c) % 3]
+    s, rng, kept = seating(pairs), np.random.default_rng(0), []
     for _ in range(py.SAMPLES):
-        s.sweep(s.table_totals(), rng)
-        kept.append(s.t.copy())
-    words, counts, contexts = py._pack(s.keys, 8)
-    model = {"words": words, "counts": counts, "contexts": contexts, "n": s.n.astype("<u8").tobytes(), "t": np.concatenate(kept).astype("<u4").tobytes()}
-    tables = np.array([np.bincount(s.context, t, minlength=256) for t in kept])
-    known = py.Globals(8, 39.0, np.bincount(s.context, s.n, minlength=256), tables)
-    for context in (0, 1, 4, 200):
-        keys = np.array([w << 8 | context for w in [*range(1, 40), 99]], dtype="u8")
-        count, logs = py.Part(model, known).predictive(keys)
-        assert (10 ** logs).sum() == pytest.approx(1)
-        assert count[-1] == 0 and (count[:-1] > 0).all()
-    alone = py.Part(None, known).predictive(np.array([5 << 8], dtype="u8"))
-    assert alone[0] == [0]
+        sweep(s, rng)
+        kept.append((s.t.copy(), s.root(), s.table_totals()))
+    words = np.arange(1, 40, dtype="u8") << np.uint64(top)
+    customers = Counter()
+    for _, c, n in pairs:
+        customers[c] += n
+    own = py.SAMPLES * s.n / py.DISCOUNT - sum(t for t, *_ in kept)
+    model = {"words": py.squeezed(words), "counts": py.whole(np.bincount(s.word)), "contexts": py.whole(np.array([c for _, c, _ in sorted(pairs)])),
+             "own": py.whole(own), "count": py.whole(np.bincount(s.word, s.n)), "root": py.whole(np.concatenate([r for _, r, _ in kept]))}
+    sent = {"words": None, "contexts": py.whole(s.names), "tables": py.whole(np.concatenate([x for *_, x in kept]))}
+    known = py.Globals(39, int(s.n.sum()), np.array([t.sum() for t, *_ in kept]))
+    asked = np.append(words, np.uint64(99 << top))
+    every = np.arange(len(asked))
+    for part in (py.Part([model, sent]), py.Part([sent, model])):
+        for context in (0, 1, 4, 200):
+            name = np.uint64(context)
+            count, root, _, _, own = part.answer(asked, np.ones(len(asked)), np.full(len(asked), name))
+            *_, tables, _ = part.answer(np.array([name << np.uint64(top)]), np.ones(1), np.array([name]))
+            spread_tables = np.repeat(tables, len(asked), axis=1)
+            logs = py.log_probabilities(known, every, every, root, np.full(len(asked), customers[context]), spread_tables, own.copy())
+            assert (10 ** logs).sum() == pytest.approx(1)
+            assert count[-1] == 0 and (count[:-1] > 0).all()
+    count, root, customers_, tables, own = py.Part([]).answer(np.array([5], dtype="u8"), np.ones(1), np.array([5], dtype="u8"))
+    assert not count.any() and not root.any() and not customers_.any() and not tables.any() and not own.any()
 
 
 def test_small_chunks_give_the_same_scores(spark, monkeypatch, tmp_path):
@@ -169,9 +193,46 @@ def test_word_ranges_grow_with_the_text(spark, monkeypatch, tmp_path):
     docs = spark.read.parquet(folder)
     monkeypatch.setattr(py, "PART_BYTES", 500)
     seen, seat = [], py.seat
-    monkeypatch.setattr(py, "seat", lambda rows, parts, bits: seen.append(parts) or seat(rows, parts, bits))
+    monkeypatch.setattr(py, "seat", lambda rows, parts: seen.append(parts) or seat(rows, parts))
     found = {r.doc_id: r for r in py.score(docs, F.col("doc_id") % 5 == 1).collect()}
     assert seen == [-(-sum(len(t) for _, t in rows) // 500)] and seen[0] > 50
     for (i, _), want in zip(rows, plain_base(rows, [i % 5 == 1 for i, _ in rows])):
         r = found[i]
         assert (r.n_tokens, r.n_known, r.train_tokens) == want[:3] and r.base_score == pytest.approx(want[3])
+
+
+def test_scores_of_pairs_met_once_are_exact(spark, monkeypatch, tmp_path):
+    """Every pair of training words occurs once, so every seating is known: one table each."""
+    rng, met, rows = np.random.default_rng(5), set(), []
+    vocabulary = [f"w{i}" for i in range(60)]
+    for i in range(30):
+        before, words = None, []
+        for w in rng.choice(vocabulary, 25):
+            if (before, w) not in met:
+                met.add((before, w))
+                words.append(str(w))
+                before = w
+        if not words or (before, None) in met:
+            # Its pairs stay unused; a later text may not end like an earlier one.
+            words.append(f"last{i}")
+            met.add((before, words[-1]))
+            before = words[-1]
+        met.add((before, None))
+        rows.append((i, " ".join(words)))
+    rows += [(100 + i, " ".join(rng.choice([*vocabulary, "never", "new"], 12))) for i in range(20)]
+    train = Counter(t for i, text in rows if i < 100 for t in tokens(text))
+    after = lambda text: zip([None, *tokens(text)[:-1]], tokens(text))
+    pairs = Counter(p for i, text in rows if i < 100 for p in after(text))
+    assert set(pairs.values()) == {1}
+    n, v, s, d = sum(train.values()), len(train), py.STRENGTH, py.DISCOUNT
+
+    def p(c, w):
+        root = (train[w] - d if train[w] else s + d * v) / (s + n)
+        return ((1 - d) * pairs[c, w] + (s + d * train[c]) * root) / (s + train[c])
+    folder = str(tmp_path / "docs")
+    spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(3).write.parquet(folder)
+    for size in (py.CHUNK_TOKENS, 90):
+        monkeypatch.setattr(py, "CHUNK_TOKENS", size)
+        found = {r.doc_id: r.score for r in py.score(spark.read.parquet(folder), F.col("doc_id") >= 100).collect()}
+        for i, text in rows:
+            assert found[i] == pytest.approx(sum(math.log10(p(c, w)) for c, w in after(text)), rel=1e-9)
