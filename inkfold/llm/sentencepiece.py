@@ -2,7 +2,9 @@
 
 A model file is compiled into three machines over characters:
 
-* the normaliser: white space becomes the word mark, a mark is put in front;
+* the normaliser: the model's character map (longest match first) rewrites the text,
+  white space becomes the word mark, a mark is put in front; pieces defined by the
+  model's user pass through as they are;
 * the pieces: a trie whose final states emit a piece id;
 * byte fallback: a character no piece holds emits its UTF-8 bytes.
 
@@ -28,7 +30,7 @@ import re
 import struct
 from array import array
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +43,8 @@ MARK = "▁"
 REMEMBERED = 1 << 18
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
-# What an unknown character costs beyond the worst piece, and how it is shown: fixed values.
-UNKNOWN_COST, UNKNOWN_SURFACE = 10.0, " ⁇ "
+# What an unknown character costs beyond the worst piece, and how it is shown, and what a piece of the user's costs: fixed values.
+UNKNOWN_COST, UNKNOWN_SURFACE, OWN_COST = 10.0, " ⁇ ", 0.1
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -70,6 +72,34 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
             at += size
 
 
+def character_map(data: bytes) -> dict[str, str]:
+    """What each string of a model's character map becomes.
+
+    The map is a double-array trie of UTF-8 keys, behind its size, and the results,
+    each closed by a zero byte. All keys are listed level by level.
+    """
+    if not data:
+        return {}
+    size, = struct.unpack_from("<I", data)
+    units, results = np.frombuffer(data, "<u4", size // 4, 4).astype("i8"), data[4 + size:]
+    # Bits of a unit: label (8, and the top bit, clear), leaf, wide step, step.
+    step = (units >> 10) << ((units >> 6) & 8)
+    label, leaf = units & 0x800000FF, (units >> 8) & 1
+    at, keys, found = step[:1], [b""], {}
+    labels = np.arange(1, 256)
+    while len(at):
+        child = at[:, None] ^ labels
+        inside = child < len(units)
+        parent, byte = np.nonzero(inside & (label[np.where(inside, child, 0)] == labels))
+        nodes = child[parent, byte]
+        keys = [keys[i] + bytes((b + 1,)) for i, b in zip(parent.tolist(), byte.tolist())]
+        at = nodes ^ step[nodes]
+        for i in np.flatnonzero(leaf[nodes]).tolist():
+            start = int(units[at[i]] & 0x7FFFFFFF)
+            found[keys[i].decode()] = results[start:results.index(b"\0", start)].decode()
+    return found
+
+
 @dataclass
 class Model:
     """Pieces and settings of a model file."""
@@ -82,26 +112,29 @@ class Model:
     dummy_prefix: bool = True
     trim: bool = False
     unknown: int = 0
+    charmap: dict[str, str] = field(default_factory=dict)
 
     @staticmethod
     def read(data: bytes) -> Model:
-        model = Model([], [], [], UNIGRAM, False, True, True)
-        for field, value in _fields(data):
-            if field == 1:
+        model, normalizer = Model([], [], [], UNIGRAM, False, True, True), {}
+        for number, value in _fields(data):
+            if number == 1:
                 own = dict(_fields(value))
                 model.pieces.append(own[1].decode())
                 model.scores.append(struct.unpack("<f", own[2])[0] if 2 in own else 0.0)
                 model.kinds.append(own.get(3, NORMAL))
-            elif field == 2:
+            elif number == 2:
                 own = dict(_fields(value))
                 model.model_type, model.byte_fallback = own.get(3, UNIGRAM), bool(own.get(35, 0))
-            elif field == 3:
-                own = dict(_fields(value))
-                model.dummy_prefix, model.trim = bool(own.get(3, 1)), bool(own.get(4, 1))
-                if own.get(2) or not own.get(5, 1):
-                    raise ValueError("only models without a character map are compiled")
-        if model.model_type not in (UNIGRAM, BPE) or USER in model.kinds:
-            raise ValueError("only unigram and BPE models without user-defined pieces are compiled")
+            elif number == 3:
+                # A part that comes twice adds to what came before.
+                normalizer |= dict(_fields(value))
+        model.dummy_prefix, model.trim = bool(normalizer.get(3, 1)), bool(normalizer.get(4, 1))
+        model.charmap = character_map(normalizer.get(2, b""))
+        if not normalizer.get(5, 1):
+            raise ValueError("only models that write white space as a mark are compiled")
+        if model.model_type not in (UNIGRAM, BPE):
+            raise ValueError("only unigram and BPE models are compiled")
         model.unknown = model.kinds.index(UNKNOWN)
         return model
 
@@ -134,24 +167,37 @@ class Transducer:
 
     def __init__(self, model: Model) -> None:
         self.model = model
-        self.ids = {p: i for i, p in enumerate(model.pieces) if model.kinds[i] == NORMAL}
+        normal = {p: i for i, p in enumerate(model.pieces) if model.kinds[i] == NORMAL}
+        self.own = {p: i for i, p in enumerate(model.pieces) if model.kinds[i] == USER}
+        # Merging leaves pieces of the user's alone; in a unigram lattice they are arcs that win.
+        self.ids = normal | self.own if model.model_type == UNIGRAM else normal
         # Kinds come with the pieces, so bytes are found by their order.
         at = [i for i, k in enumerate(model.kinds) if k == BYTE]
         self.bytes = {int(model.pieces[i][3:5], 16): i for i in at}
-        self.rank = {p: model.scores[i] for p, i in self.ids.items()}
+        # The library counts the best score as 0 at least.
+        scores = [model.scores[i] for i in normal.values()]
+        self.rank = {p: len(p.encode()) * max([0.0, *scores]) - OWN_COST if p in self.own else model.scores[i] for p, i in self.ids.items()}
         self.trie: dict = {}
         for piece, i in self.ids.items():
             node = self.trie
             for c in piece:
                 node = node.setdefault(c, {})
-            node[""] = model.scores[i]
-        worst = min((model.scores[i] for i in self.ids.values()), default=0.0)
-        self.unknown_cost = UNKNOWN_COST - worst
+            node[""] = i
+        self.unknown_cost = UNKNOWN_COST - min(scores, default=0.0)
         long_chars = {c for p in self.ids if len(p) > 1 for c in p}
         alone = "".join(c for c in "\n\r\t" if c not in long_chars)
         crossing = any(MARK in p.lstrip(MARK) for p in self.ids)
         gap = f"[{re.escape(alone)}]|" if alone else ""
         self.stretch = re.compile(".+" if crossing else f"{gap}{MARK}+[^{MARK}{alone}]*|[^{MARK}{alone}]+", re.S).findall
+        self.single = {ord(k): v for k, v in model.charmap.items() if len(k) == 1}
+        self.several = {k: v for k, v in model.charmap.items() if len(k) > 1}
+        self.widest = max(map(len, self.several), default=0)
+        user = "|".join(re.escape(p) for p in sorted(self.own, key=len, reverse=True))
+        self.user = re.compile(f"({user})", re.S) if user else None
+        # Where more than one character may be matched at once.
+        first, second = ("".join(sorted({re.escape(k[i]) for k in self.several})) for i in (0, 1))
+        places = [f"({user})" if user else "((?!))", *([f"[{first}](?=[{second}])"] if self.several else [])]
+        self.places = re.compile("|".join(places), re.S) if user or self.several else None
         self.paths = Paths(self)
         self.pairs: dict[tuple[str, str], bool] = {}
         self.stories: dict[str, tuple] = {}
@@ -159,12 +205,33 @@ class Transducer:
 
     # Normaliser -------------------------------------------------------------
 
+    def mapped(self, text: str) -> str:
+        """The text through the character map; at each place a piece of the user's comes first, then the longest match."""
+        if not self.places:
+            return text.translate(self.single) if self.single else text
+        out, done, at = [], 0, 0
+        while place := self.places.search(text, at):
+            start = place.start()
+            end = place.end() if place[1] else next(
+                (e for e in range(min(len(text), start + self.widest), start + 1, -1) if text[start:e] in self.several), None)
+            if end is None:
+                at = start + 1
+                continue
+            out += [text[done:start].translate(self.single), place[1] or self.several[text[start:end]]]
+            done = at = end
+        out.append(text[done:].translate(self.single))
+        return "".join(out)
+
     def normalize(self, text: str) -> str:
+        empty = not text
+        text = self.mapped(text)
         if self.model.trim:
             text = re.sub(" +", " ", text.strip(" "))
-        if not text:
+            empty = not text
+        if empty:
             return ""
-        return (MARK if self.model.dummy_prefix else "") + text.replace(" ", MARK)
+        text = (MARK if self.model.dummy_prefix else "") + text.replace(" ", MARK)
+        return text.rstrip(MARK) if self.model.trim else text
 
     # Pieces -----------------------------------------------------------------
 
@@ -303,9 +370,16 @@ class Transducer:
                 out.append(self.model.unknown)
         return array("i", out).tobytes()
 
+    def _emitted(self, text: str) -> Iterator[bytes]:
+        if not self.user or self.model.model_type == UNIGRAM:
+            return map(self.paths.__getitem__, self.stretch(text))
+        # Pieces of the user's stand at odd places; what lies between is merged on its own.
+        return (array("i", [self.own[part]]).tobytes() if i % 2 else b"".join(map(self.paths.__getitem__, self.stretch(part)))
+                for i, part in enumerate(self.user.split(text)))
+
     def encode(self, text: str) -> bytes:
         """Piece ids as 32-bit numbers of this machine's byte order."""
-        found = b"".join(map(self.paths.__getitem__, self.stretch(self.normalize(text))))
+        found = b"".join(self._emitted(self.normalize(text)))
         if self.model.byte_fallback:
             return found
         # Unknown characters side by side are one unknown piece.

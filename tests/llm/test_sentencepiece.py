@@ -1,6 +1,7 @@
 """The transducer against the library (BPE), against every segmentation (unigram), and round trips."""
 
 import random
+import struct
 
 import numpy as np
 import pytest
@@ -82,6 +83,53 @@ def test_unigram_path_is_the_best_of_all():
     assert ids(machine, "ccab") == [1, 0, 4]
 
 
+def message(number, payload):
+    """One length-delimited field of a protocol buffer message."""
+    size, out = len(payload), bytearray([number << 3 | 2])
+    while size > 127:
+        out.append(size & 127 | 128)
+        size >>= 7
+    return bytes(out) + bytes([size]) + payload
+
+
+def piece(text, score, kind):
+    return message(1, message(1, text.encode()) + b"\x15" + struct.pack("<f", score) + bytes([3 << 3, kind]))
+
+
+HARD = [*ODD, "ﬁne ½ Ⅷ ㍿ ｆｕｌｌ　ｗｉｄｔｈ", "e\u0301te\u0301 A\u030a\u0323 \u1100\u1161\u11a8", "\u00ad\u200b\ufeffx\u0007y", " \u3000 a \u00a0 b \u3000", "▁", "x ▁▁",
+        "\u3000", "カ\u3099ガ ﾊﾟ", "<user>ab<user> <us er> <users>", "a<user\u0301", "<user>\u0301 new york▁city! abq", "e<user>\u0301<user>"]
+
+
+@pytest.mark.parametrize("rule", ["nmt_nfkc", "nmt_nfkc_cf", "nfkc", "identity"])
+@pytest.mark.parametrize("user", [[], ["<user>", "<user", "▁city!", "abq"]])
+def test_character_map_and_own_pieces_like_the_library(rule, user):
+    import sentencepiece
+
+    spec = sentencepiece.SentencePieceNormalizer(rule_name=rule).serialized_normalizer_spec()
+    with open(PATH, "rb") as f:
+        data = f.read() + message(3, spec) + b"".join(piece(p, 0.0, sp.USER) for p in user)
+    library, machine = sentencepiece.SentencePieceProcessor(model_proto=data), sp.Transducer(sp.Model.read(data))
+    rng = random.Random(6)
+    alphabet = ["a", "b", "e", "k", " ", "\u3000", "\u0301", "\u0323", "\u030a", "ﬁ", "Å", "A", "Ǆ", "<user>", "<us", "▁", "▁city!", "q", "\u1100", "\u1161", "\u11a8", "ｶ", "ﾞ", "\n", "\u200b"]
+    for text in [*HARD, *("".join(rng.choices(alphabet, k=rng.randint(1, 25))) for _ in range(400))]:
+        assert machine.normalize(text) == library.normalize(text), text
+        assert ids(machine, text) == library.encode(text), text
+        assert machine.decode(library.encode(text)) == library.decode(library.encode(text)), text
+
+
+def test_own_pieces_of_a_unigram_model_like_the_library():
+    import sentencepiece
+
+    pieces = [("▁", -2.0), ("a", -1.5), ("b", -1.7), ("ab", -2.1), ("▁a", -2.4), ("ba", -2.2), ("aba", -3.4)]
+    data = piece("<unk>", 0.0, sp.UNKNOWN) + b"".join(piece(p, s, sp.NORMAL) for p, s in pieces) + piece("abb", 0.0, sp.USER) + piece("b▁b", 0.0, sp.USER)
+    data += message(2, bytes([3 << 3, sp.UNIGRAM])) + message(3, message(1, b"identity"))
+    library, machine = sentencepiece.SentencePieceProcessor(model_proto=data), sp.Transducer(sp.Model.read(data))
+    rng = random.Random(8)
+    for _ in range(500):
+        text = "".join(rng.choice("ab bc") for _ in range(rng.randint(1, 12)))
+        assert ids(machine, text) == library.encode(text), text
+
+
 def test_frames_keep_columns_and_nulls(spark):
     rows = [(1, None, "q"), (2, "", "r"), (2, "", "r"), (None, "long " * 50_000, None)]
     texts = spark.createDataFrame(rows, "doc_id bigint, text string, ids string").withColumn("extra", F.lit(5))
