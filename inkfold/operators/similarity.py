@@ -187,11 +187,20 @@ def similar_token_join(tokens: DataFrame, threshold: float = SIMILARITY_THRESHOL
         F.max("cosine").alias("cosine"), F.sum("n_pairs").alias("n_pairs"))
 
 
+def similar_word_pairs(pairs: DataFrame) -> DataFrame:
+    """Words and their similar words over all documents, each pair once, with its best cosine and the token pairs behind it.
+
+    The long form of ``similar_words``: no row grows with the vocabulary, so a word
+    similar to very many others is many small rows.
+    """
+    return pairs.groupBy("word", "similar_word").agg(F.max("cosine").alias("cosine"), F.sum("n_pairs").alias("n_pairs"))
+
+
 def similar_words(pairs: DataFrame) -> DataFrame:
     """Per word over all documents, its distinct similar words in order.
 
     The array of a word is bounded by the vocabulary: pairs are made distinct
-    before they are gathered.
+    before they are gathered. Where that is too wide for a row, use ``similar_word_pairs``.
     """
     distinct = pairs.select("word", "similar_word").distinct()
     return distinct.groupBy("word").agg(F.array_sort(F.collect_list("similar_word")).alias("similar_words"))

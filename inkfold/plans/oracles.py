@@ -269,6 +269,8 @@ def sql() -> dict[str, str]:
     q["json_source"] = f"WITH {RECORDS} SELECT * FROM rec_b"
     q["similar_words"] = q["csv_sink"] = q["set_union"] = f"""WITH {TOKEN_VECTORS}, d AS (SELECT DISTINCT word, similar_word FROM close_pairs)
       SELECT word, string_agg(similar_word, ', ' ORDER BY similar_word) AS similar_words FROM d GROUP BY word"""
+    q["similar_word_pairs"] = f"""WITH {TOKEN_VECTORS} SELECT word, similar_word, round(max(cosine), 5) AS cosine, count(*) AS n_pairs
+      FROM close_pairs GROUP BY word, similar_word"""
     q["text_sink"] = "SELECT doc_id, text FROM documents"
     q["overwrite_output"] = "SELECT doc_id, lang, n_chars FROM documents"
 

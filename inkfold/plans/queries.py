@@ -472,6 +472,12 @@ def similar_words(fx):
     return similarity.similar_words_text(similarity.similar_words(similarity.similar_token_join(fx.token_vectors())))
 
 
+@query
+def similar_word_pairs(fx):
+    pairs = similarity.similar_word_pairs(similarity.similar_token_join(fx.token_vectors()))
+    return pairs.withColumn("cosine", F.round("cosine", 5))
+
+
 @query
 def vectors_by_label(fx):
     tokens = _entity_tokens(fx).withColumn("vec", F.when(F.length("word") > 2, F.array(F.length("word").cast("float"))))

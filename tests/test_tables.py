@@ -87,6 +87,9 @@ def test_similar_tokens_against_all_pairs(spark, block):
     for _, a, b in want:
         by_word.setdefault(a, set()).add(b)
     assert {r["word"]: set(r["similar_words"]) for r in words.collect()} == by_word
+    long = similarity.similar_word_pairs(similarity.similar_token_join(df, block_words=block)).collect()
+    assert len(long) == sum(map(len, by_word.values())) and all(r["similar_word"] in by_word[r["word"]] for r in long)
+    assert all(r["n_pairs"] == sum(n for (_, a, b), (n, _) in want.items() if (a, b) == (r["word"], r["similar_word"])) for r in long)
 
 
 def test_label_spread_is_pca(spark, fx):
