@@ -1,8 +1,9 @@
 """Text expressions: white space, words, character and word error rates.
 
-Short pairs are scored by Spark's own ``levenshtein``; its cost grows with the
+Very short pairs are scored by Spark's own ``levenshtein``; its cost grows with the
 product of the two lengths, so longer pairs go through an Arrow UDF around a
-bit-parallel edit distance (about 1/64 of the cell work). Both give the same
+bit-parallel edit distance (about 1/64 of the cell work): pairs of up to
+``BATCH_ITEMS`` items many at a time, longer ones one by one. All give the same
 exact number, no text is cut.
 """
 
@@ -10,6 +11,10 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections import Counter, defaultdict
+from collections.abc import Iterator
+from itertools import chain
+from operator import ne
 
 import numpy as np
 import pandas as pd
@@ -23,11 +28,15 @@ WHITE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u300
 _WHITE_CHARS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 # Pairs up to this many characters together stay in the JVM.
-NATIVE_CHARS = 200
+NATIVE_CHARS = 64
 # One character per distinct word of such a pair.
 _WORD_CODES = "".join(chr(0x100 + i) for i in range(NATIVE_CHARS))
 # Sequences above this many items are first tried in a band around the diagonal.
 BAND_ITEMS = 2_500
+# Pairs of sequences up to this many items are compared many at a time, so many in one step.
+BATCH_ITEMS, BATCH_PAIRS = 128, 2_048
+# Above this many items bounds that may settle the distance are tried first.
+BOUND_ITEMS = 64
 
 
 def strip_ends(text: Column) -> Column:
@@ -66,12 +75,15 @@ def edit_distance(a, b) -> int:
     if not len(b):
         return len(a)
 
-    size = len(a)
+    size, gap = len(a), len(a) - len(b)
+    if size > BOUND_ITEMS:
+        found = settled_distance(a, b)
+        if found is not None:
+            return found
     positions: dict = {}
     for i, item in enumerate(a):
         positions.setdefault(item, []).append(i)
     cut = _match_cutter(positions, size)
-    gap = size - len(b)
     slack = max(64, size >> 4)
     while size > BAND_ITEMS and (gap + slack) * 3 < size * 2:
         found = _distance_in_band(cut, gap, b, slack // 2)
@@ -81,6 +93,29 @@ def edit_distance(a, b) -> int:
     return _distance_in_table(cut, size, b)
 
 
+def settled_distance(a, b) -> int | None:
+    """The edit distance of ``a`` and ``b`` (not longer) where a few passes settle it, else None.
+
+    An alignment gives a bound from above: ``b`` found in ``a`` item by item; or all items in
+    place; or, where the items both sides know stand in the same order, these kept and what lies
+    between them replaced. From below it is the difference of the lengths, or the items of ``a``
+    that ``b`` does not have as often. Where both bounds agree that is the distance.
+    """
+    rest = iter(a)
+    if all(item in rest for item in b):
+        return len(a) - len(b)
+    least = sum((Counter(a) - Counter(b)).values())
+    if len(a) == len(b) and sum(map(ne, a, b)) == least:
+        return least
+    in_a, in_b = set(a), set(b)
+    at = [i for i, item in enumerate(a) if item in in_b]
+    on = [j for j, item in enumerate(b) if item in in_a]
+    if len(at) != len(on) or any(a[i] != b[j] for i, j in zip(at, on)):
+        return None
+    between = np.maximum(np.diff(at, prepend=-1, append=len(a)), np.diff(on, prepend=-1, append=len(b))) - 1
+    return least if int(between.sum()) == least else None
+
+
 def _match_bits(where, low: int, width: int) -> int:
     """Positions from ``low`` on, below ``low + width``, as bits of a number."""
     bits = bytearray((width >> 3) + 1)
@@ -169,15 +204,114 @@ def _normal_words(text: str) -> list[str]:
     return [w for w in re.sub(r"\s\s+", " ", text).strip().split(" ") if w]
 
 
+def _padded(sequences: list) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the items of texts, or of lists of numbers, one row each, and the lengths; rows end with zeros."""
+    sizes = np.fromiter(map(len, sequences), dtype=np.int64, count=len(sequences))
+    if isinstance(sequences[0], str):
+        flat = np.frombuffer("".join(sequences).encode("utf-32-le"), dtype="<u4")
+    else:
+        flat = np.fromiter(chain.from_iterable(sequences), dtype="<u4", count=int(sizes.sum()))
+    # Numbers as narrow as they can be.
+    top = int(flat.max(initial=0))
+    rows = np.zeros((len(sequences), -(-max(int(sizes.max()), 1) // 64) * 64), dtype="u1" if top < 256 else "<u2" if top < 65536 else "<u4")
+    rows[np.arange(rows.shape[1]) < sizes[:, None]] = flat
+    return rows, sizes
+
+
+def _batches(pairs: list[tuple]) -> Iterator[np.ndarray]:
+    """Places of pairs that are compared in one step, those of like size together, longest second first."""
+    # By the words of bits the first takes, then by the items of the second.
+    order = sorted(range(len(pairs)), key=lambda i: (len(pairs[i][0]) + 63 >> 6, len(pairs[i][1])), reverse=True)
+    at = 0
+    while at < len(order):
+        width, upto = len(pairs[order[at]][0]) + 63 >> 6, at
+        while upto < len(order) and upto < at + BATCH_PAIRS and len(pairs[order[upto]][0]) + 63 >> 6 == width:
+            upto += 1
+        yield np.array(order[at:upto])
+        at = upto
+
+
+def batch_distances(pairs: list[tuple]) -> list[int]:
+    """Edit distances of many pairs of short texts, or of lists of numbers: the same columns as in a table, for all pairs at once."""
+    found = np.zeros(len(pairs), dtype=np.int64)
+    one, last = np.uint64(1), np.uint64(63)
+    for batch in _batches(pairs):
+        a, a_sizes = _padded([pairs[i][0] for i in batch])
+        b, b_sizes = _padded([pairs[i][1] for i in batch])
+        words = a.shape[1] // 64
+        wide = np.promote_types(a.dtype, b.dtype)
+        a, b = a.astype(wide, copy=False), np.ascontiguousarray(b.astype(wide, copy=False).T)
+        plus = np.full((words, len(batch)), np.iinfo(np.uint64).max, dtype=np.uint64)
+        minus = np.zeros_like(plus)
+        # Pairs whose second still has an item stand in front.
+        going = np.searchsorted(-b_sizes, -np.arange(int(b_sizes.max())), side="left")
+        for j, k in enumerate(going.tolist()):
+            bits = np.packbits(a[:k] == b[j, :k, None], axis=1, bitorder="little").view("<u8")
+            carry = minus_in = np.zeros(k, dtype=np.uint64)
+            plus_in = np.ones(k, dtype=np.uint64)
+            for w in range(words):
+                same, p, m = bits[:, w], plus[w, :k], minus[w, :k]
+                total = (same & p) + p
+                over = total < p
+                total += carry
+                carry = (over | (total < carry)).astype(np.uint64)
+                diagonal = (total ^ p) | same | m
+                right, left = m | ~(diagonal | p), p & diagonal
+                right_on, left_on = right << one | plus_in, left << one | minus_in
+                plus_in, minus_in = right >> last, left >> last
+                plus[w, :k] = left_on | ~(diagonal | right_on)
+                minus[w, :k] = right_on & diagonal
+        # Steps down the last column; bits beyond the first's end do not count.
+        size = a_sizes - 64 * np.arange(words)[:, None]
+        inside = np.where(size >= 64, ~np.uint64(0), (one << np.clip(size, 0, 63).astype(np.uint64)) - one)
+        found[batch] = b_sizes + np.bitwise_count(plus & inside).sum(axis=0, dtype=np.int64) - np.bitwise_count(minus & inside).sum(axis=0, dtype=np.int64)
+    return found.tolist()
+
+
+def _numbered(pairs: list[tuple]) -> list[tuple]:
+    """Lists of words as lists of numbers, equal words with equal numbers."""
+    codes: defaultdict = defaultdict(lambda: len(codes) + 1)
+    number = codes.__getitem__
+    return [(list(map(number, a)), list(map(number, b))) for a, b in pairs]
+
+
+def distances(pairs: list[tuple]) -> list[int]:
+    """Edit distances of pairs of texts, or of lists of words; short pairs many at a time."""
+    short = [i for i, (a, b) in enumerate(pairs) if len(a) <= BATCH_ITEMS and len(b) <= BATCH_ITEMS]
+    found = [-1] * len(pairs)
+    some = [pairs[i] for i in short]
+    for i, edits in zip(short, batch_distances(some if not some or isinstance(some[0][0], str) else _numbered(some))):
+        found[i] = edits
+    return [edit_distance(*pairs[i]) if edits < 0 else edits for i, edits in enumerate(found)]
+
+
+# Characters whose items a task holds at once.
+_HELD_CHARS = 1 << 21
+
+
+def _stretches(rows: list[tuple], size) -> Iterator[list[tuple]]:
+    """The rows in stretches of bounded size, a larger row alone."""
+    at = held = 0
+    for i, row in enumerate(rows):
+        held += size(row)
+        if held > _HELD_CHARS and i > at:
+            yield rows[at:i]
+            at, held = i, size(row)
+    if at < len(rows):
+        yield rows[at:]
+
+
+def _both(row: tuple) -> int:
+    return len(row[0] or "") + len(row[1] or "")
+
+
 def _counts(truth: pd.Series, result: pd.Series, items) -> pd.DataFrame:
-    rows = []
-    for a, b in zip(truth, result):
-        if a is None or b is None:
-            rows.append((None, None))
-        else:
-            a = items(a)
-            rows.append((edit_distance(a, items(b)), len(a)))
-    return pd.DataFrame(rows, columns=_COUNTS.names, dtype="Int64")
+    found = []
+    for rows in _stretches([*zip(truth, result)], _both):
+        pairs = [None if a is None or b is None else (items(a), items(b)) for a, b in rows]
+        edits = iter(distances([p for p in pairs if p]))
+        found += [(None, None) if p is None else (next(edits), len(p[0])) for p in pairs]
+    return pd.DataFrame(found, columns=_COUNTS.names, dtype="Int64")
 
 
 @F.pandas_udf(_COUNTS)
@@ -255,24 +389,28 @@ def wer(truth: Column, result: Column) -> Column:
 _RATES = T.ArrayType(T.StructType([T.StructField("wer", T.DoubleType()), T.StructField("cer", T.DoubleType())]))
 
 
-def _rates_of(truth: str | None, results: list) -> list[dict]:
-    if truth is None:
-        return [{"wer": None, "cer": None} for _ in results]
-    letters, tokens = truth.strip(), _normal_words(truth)
-    found = []
-    for result in results:
-        pair = {"wer": None, "cer": None}
-        if result is not None and tokens:
-            pair["wer"] = edit_distance(tokens, _normal_words(result)) / len(tokens)
-        if result is not None and letters:
-            pair["cer"] = edit_distance(letters, result.strip()) / len(letters)
-        found.append(pair)
+def _rates_of(rows: list[tuple]) -> list:
+    """Rates of a few truths, each with its results; the pairs of all are compared together."""
+    found = [None if given is None else [{"wer": None, "cer": None} for _ in given] for _, given in rows]
+    for name, items in (("wer", _normal_words), ("cer", str.strip)):
+        places, pairs = [], []
+        for (truth, given), rates in zip(rows, found):
+            whole = items(truth) if truth is not None and given is not None else None
+            for result, rate in zip(given, rates) if whole else ():
+                if result is not None:
+                    places.append(rate)
+                    pairs.append((whole, items(result)))
+        for rate, (whole, _), edits in zip(places, pairs, distances(pairs)):
+            rate[name] = edits / len(whole)
     return found
 
 
 @F.pandas_udf(_RATES)
 def _all_rates_arrow(truth: pd.Series, results: pd.Series) -> pd.Series:
-    return pd.Series([None if r is None else _rates_of(t, list(r)) for t, r in zip(truth, results)])
+    found = []
+    for rows in _stretches([*zip(truth, results)], lambda row: len(row[0] or "") * (1 + len(row[1] if row[1] is not None else ()))):
+        found += _rates_of(rows)
+    return pd.Series(found, dtype=object)
 
 
 def all_rates(truth: Column, results: Column) -> Column:
@@ -381,13 +519,46 @@ _EDIT_STATS = T.StructType([
 ])
 
 
+# Lists of up to so many words are aligned many at a time: costs fit 16 bits.
+_ALIGNED_WORDS, _EDIT_COST = 64, 256
+
+
+def batch_count_edits(pairs: list[tuple[list, list]]) -> list[tuple[int, int, int, int]]:
+    """``count_edits`` of many pairs of short lists: the rows of a table of costs for all pairs at once."""
+    found: list = [None] * len(pairs)
+    pairs = _numbered(pairs)
+    order = sorted(range(len(pairs)), key=lambda i: len(pairs[i][0]), reverse=True)
+    for start in range(0, len(order), BATCH_PAIRS):
+        batch = order[start:start + BATCH_PAIRS]
+        a, a_sizes = _padded([pairs[i][0] for i in batch])
+        b, b_sizes = _padded([pairs[i][1] for i in batch])
+        b = np.ascontiguousarray(b[:, :max(int(b_sizes.max()), 1)].T)
+        ramp = (_EDIT_COST * np.arange(len(b) + 1, dtype=np.int16))[:, None]
+        row = np.repeat(ramp, len(batch), axis=1)
+        going = np.searchsorted(-a_sizes, -np.arange(int(a_sizes.max())), side="left")
+        for i, k in enumerate(going.tolist()):
+            old = row[:, :k]
+            new = old + np.int16(_EDIT_COST)
+            np.minimum(new[1:], old[:-1] + (b[:, :k] != a[:k, i]) * np.int16(_EDIT_COST + 1), out=new[1:])
+            new -= ramp
+            row[:, :k] = np.minimum.accumulate(new, axis=0) + ramp
+        edits, substitutions = np.divmod(row[b_sizes, np.arange(len(batch))].astype(np.int64), _EDIT_COST)
+        deletions = (edits - substitutions - b_sizes + a_sizes) // 2
+        counts = (a_sizes - substitutions - deletions, substitutions, deletions, edits - substitutions - deletions)
+        for i, row_of in zip(batch, zip(*(c.tolist() for c in counts))):
+            found[i] = row_of
+    return found
+
+
 @F.pandas_udf(_EDIT_STATS)
 def _edit_stats_arrow(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-    rows = [
-        (None,) * 4 if x is None or y is None else count_edits(_normal_words(x), _normal_words(y))
-        for x, y in zip(a, b)
-    ]
-    return pd.DataFrame(rows, columns=_EDIT_STATS.names, dtype="Int64")
+    found = []
+    for rows in _stretches([*zip(a, b)], _both):
+        pairs = [None if x is None or y is None else (_normal_words(x), _normal_words(y)) for x, y in rows]
+        short = [p is not None and max(map(len, p)) <= _ALIGNED_WORDS for p in pairs]
+        aligned = iter(batch_count_edits([p for p, s in zip(pairs, short) if s]))
+        found += [(None,) * 4 if p is None else next(aligned) if s else count_edits(*p) for p, s in zip(pairs, short)]
+    return pd.DataFrame(found, columns=_EDIT_STATS.names, dtype="Int64")
 
 
 def edit_stats(truth: Column, result: Column) -> Column:

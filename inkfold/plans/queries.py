@@ -47,6 +47,19 @@ def dealt(fx: Fixtures, df: DataFrame, source: str = "documents") -> DataFrame:
     return df.repartition(partitions(fx.spark))
 
 
+# Rows scored in one task: captions under all settings, and whole documents.
+SCORED_CAPTIONS, SCORED_DOCUMENTS = 50_000, 500
+
+
+def dealt_by_rows(fx: Fixtures, df: DataFrame, source: str, rows: int) -> DataFrame:
+    """Rows dealt out evenly, about ``rows`` of ``source`` to a task, for work that costs far more than its shuffle.
+
+    The tasks grow with the table. Neither the splits of a scan nor the parts behind a join say
+    how the rows lie: splits may hold no row group, and parts are merged by size.
+    """
+    return df.repartition(max(partitions(fx.spark), -(-fx.table(source).count() // rows)))
+
+
 def kept(fx: Fixtures, df: DataFrame, name: str) -> DataFrame:
     """Stored once in the shared folder, for results that are dear and read twice."""
     folder = files.work_folder(fx.spark, name)
@@ -347,7 +360,7 @@ def pixel_window_join(fx):
 
 def sweep(fx, settings):
     """Mean error rates of every setting over all documents, whole texts."""
-    docs = dealt(fx, fx.documents())
+    docs = dealt_by_rows(fx, fx.documents(), "documents", SCORED_DOCUMENTS)
     return ocr.ocr_error_summary(ocr.sweep_scores(docs, {name: edit(F.col("gt")) for name, edit in settings.items()}))
 
 
@@ -387,7 +400,7 @@ def _caption_settings():
 
 
 def _caption_sweep(fx):
-    captions = dealt(fx, fx.captions(), "orders").select("doc_id", F.col("text").alias("gt"))
+    captions = dealt_by_rows(fx, fx.captions(), "orders", SCORED_CAPTIONS).select("doc_id", F.col("text").alias("gt"))
     return ocr.config_sweep(captions, {name: edit(F.col("gt")) for name, edit in _caption_settings().items()})
 
 
@@ -741,13 +754,18 @@ def concat_unique(fx):
 # Scalar functions ---------------------------------------------------------
 
 
-def _dropped(fx):
-    return fx.documents().withColumn("et", SETTINGS["drop vowels"](F.col("gt")))
+def _texts(fx, rows=None):
+    """Whole documents, dealt out for scoring before results are made of them, so only the truth is shuffled."""
+    return dealt_by_rows(fx, fx.documents(), "documents", rows) if rows else fx.documents()
+
+
+def _dropped(fx, rows=None):
+    return _texts(fx, rows).withColumn("et", SETTINGS["drop vowels"](F.col("gt")))
 
 
 @query
 def cer(fx):
-    docs = dealt(fx, _dropped(fx))
+    docs = _dropped(fx, SCORED_DOCUMENTS)
     return docs.select("doc_id", r6(text.cer(F.col("gt"), F.col("et"))).alias("cer"))
 
 
@@ -761,18 +779,18 @@ def wer(fx):
     return wer_rows(fx)
 
 
-def _known(fx):
+def _known(fx, rows=None):
     """Words left out, then letters masked: the word distance is the number of both."""
-    return fx.documents().withColumn("et", mask_letters(drop_words(F.col("gt"))))
+    return _texts(fx, rows).withColumn("et", mask_letters(drop_words(F.col("gt"))))
 
 
 def word_rates(fx, docs):
-    return dealt(fx, docs).select("doc_id", r6(text.wer(F.col("gt"), F.col("et"))).alias("wer"))
+    return docs.select("doc_id", r6(text.wer(F.col("gt"), F.col("et"))).alias("wer"))
 
 
 @query
 def wer_documents(fx):
-    return word_rates(fx, _known(fx))
+    return word_rates(fx, _known(fx, SCORED_DOCUMENTS))
 
 
 @query
@@ -1024,17 +1042,17 @@ def edit_stats(fx):
 
 
 def word_edit_stats(fx, docs):
-    return dealt(fx, docs).select("doc_id", text.edit_stats(F.col("gt"), F.col("et")).alias("s")).select("doc_id", "s.*")
+    return docs.select("doc_id", text.edit_stats(F.col("gt"), F.col("et")).alias("s")).select("doc_id", "s.*")
 
 
 @query
 def edit_stats_documents(fx):
-    return word_edit_stats(fx, _known(fx))
+    return word_edit_stats(fx, _known(fx, SCORED_DOCUMENTS))
 
 
 # The forms timed by bench.py: settings with many edits in every text, where no closed form holds.
 TIMED: dict[str, Query] = {
     "config_sweep": lambda spark, sf_dir: sweep(Fixtures(spark, sf_dir), SETTINGS),
-    "wer_documents": lambda spark, sf_dir: word_rates(Fixtures(spark, sf_dir), _dropped(Fixtures(spark, sf_dir))),
-    "edit_stats_documents": lambda spark, sf_dir: word_edit_stats(Fixtures(spark, sf_dir), _dropped(Fixtures(spark, sf_dir))),
+    "wer_documents": lambda spark, sf_dir: word_rates(Fixtures(spark, sf_dir), _dropped(Fixtures(spark, sf_dir), SCORED_DOCUMENTS)),
+    "edit_stats_documents": lambda spark, sf_dir: word_edit_stats(Fixtures(spark, sf_dir), _dropped(Fixtures(spark, sf_dir), SCORED_DOCUMENTS)),
 }

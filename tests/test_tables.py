@@ -280,3 +280,14 @@ def test_binarize_shuffles_pixels_once(spark, fx):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", True)
+
+
+def test_scored_rows_are_dealt_by_their_number(spark, fx, monkeypatch):
+    """Tasks grow with the rows: a table of one row group, or the few parts behind a join, are not the tasks of the scoring."""
+    monkeypatch.setattr(queries, "partitions", lambda spark: 2)
+    monkeypatch.setattr(queries, "SCORED_DOCUMENTS", 50)
+    monkeypatch.setattr(queries, "SCORED_CAPTIONS", 100)
+    for frame, table, rows in ((queries._known(fx, queries.SCORED_DOCUMENTS), "documents", 50), (queries._caption_sweep(fx), "orders", 100)):
+        assert frame.rdd.getNumPartitions() == -(-fx.table(table).count() // rows) > 2
+        sizes = [r["n"] for r in frame.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert max(sizes) < 2 * min(sizes)

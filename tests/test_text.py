@@ -190,3 +190,50 @@ def test_common_length(a, b):
         for j, y in enumerate(b):
             row.append(max(row[-1], above[j + 1], above[j] + (x == y)))
     assert text.common_length(a, b) == row[-1]
+
+
+def _pairs_of_all_kinds(rng):
+    pairs = []
+    for size in (0, 1, 5, 63, 64, 65, 100, 128, 130, 200) * 12:
+        letters = rng.choice(["ab", "abcdefgh", "\x00aé一😀"])
+        a = "".join(rng.choice(letters) for _ in range(size))
+        b = "".join(c if rng.random() > 0.2 else rng.choice(["", c + "x", "b"]) for c in a)
+        pairs.append((a, b if rng.random() < 0.7 else "".join(rng.choice(letters) for _ in range(rng.randrange(150)))))
+    return pairs
+
+
+def test_pairs_compared_together_equal_table(monkeypatch):
+    pairs = _pairs_of_all_kinds(random.Random(1))
+    want = [table_distance(a, b) for a, b in pairs]
+    assert text.batch_distances(pairs) == want
+    monkeypatch.setattr(text, "BATCH_PAIRS", 7)
+    assert text.distances(pairs) == want
+    assert text.distances([(list(a), list(b)) for a, b in pairs]) == want
+    assert text.distances([]) == [] and text.batch_count_edits([]) == []
+    lists = [(list(a)[:64], list(b)[:64]) for a, b in pairs]
+    assert text.batch_count_edits(lists) == [text.count_edits(a, b) for a, b in lists]
+    # Texts held at once are bounded, whatever the batch.
+    assert [len(s) for s in text._stretches([(1,)] * 5 + [(9 << 20,), (1,)], lambda r: r[0])] == [5, 1, 1]
+
+
+def test_settled_distance_is_the_distance():
+    rng, settled = random.Random(2), 0
+    for a, b in _pairs_of_all_kinds(rng):
+        a, b = (a, b) if len(a) >= len(b) else (b, a)
+        found = text.settled_distance(a, b)
+        settled += found is not None
+        assert found in (None, table_distance(a, b))
+    words = [f"w{rng.randrange(80)}" for _ in range(3000)]
+    result = ["?" if w in ("w3", "w7") else w for w in words if w != "w5"]
+    assert text.settled_distance(words, result) == sum(w in ("w3", "w5", "w7") for w in words)
+    assert text.settled_distance("abcab" * 50, "acb" * 60) is None and settled
+
+
+def test_edits_beside_long_texts_need_no_table(monkeypatch):
+    """Letters left out, replaced, put in: a few passes over the text, no column per item."""
+    monkeypatch.setattr(text, "_distance_in_table", None)
+    monkeypatch.setattr(text, "_distance_in_band", None)
+    truth = "and so on. the hour is late. " * 400
+    assert text.edit_distance(truth, truth.replace("o", "")) == truth.count("o")
+    assert text.edit_distance(truth, truth.replace("o", "?")) == truth.count("o")
+    assert text.edit_distance(truth, truth.replace(". ", ". ? ")) == 2 * truth.count(". ")
