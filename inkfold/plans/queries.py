@@ -706,10 +706,12 @@ def top_words(fx):
 
 @query
 def append_results(fx):
+    # Captions are joined once and every setting is scored once, also the one that is appended twice.
+    captions = kept(fx, dealt_by_rows(fx, fx.captions(), "orders", SCORED_CAPTIONS).select("text"), "captions")
     tables = []
     for name, edit in _caption_settings().items():
-        pairs = dealt(fx, fx.captions(), "orders").select(F.lit(name).alias("config"), F.col("text").alias("gt"), edit(F.col("text")).alias("et"))
-        tables.append(ocr.ocr_error_summary(ocr.score_texts(pairs)))
+        pairs = captions.select(F.lit(name).alias("config"), F.col("text").alias("gt"), edit(F.col("text")).alias("et"))
+        tables.append(kept(fx, ocr.ocr_error_summary(ocr.score_texts(pairs)), "summary"))
     return ocr.append_results(tables + tables[:1])
 
 

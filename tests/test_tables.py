@@ -291,3 +291,9 @@ def test_scored_rows_are_dealt_by_their_number(spark, fx, monkeypatch):
         assert frame.rdd.getNumPartitions() == -(-fx.table(table).count() // rows) > 2
         sizes = [r["n"] for r in frame.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
         assert max(sizes) < 2 * min(sizes)
+
+
+def test_appended_tables_are_scored_once(spark):
+    # What is appended are stored tables: no scoring step is left in the plan.
+    text_plan = plan(queries.REGISTRY["append_results"](spark, SF_DIR))
+    assert "ArrowEvalPython" not in text_plan and "levenshtein" not in text_plan
