@@ -15,6 +15,12 @@ from inkfold.sources.files import work_folder
 
 # Words of a document per block; two blocks are compared in one step.
 BLOCK_WORDS = 1024
+# Words of a document per tile, where blocks are smaller: what is copied and compared in one step.
+TILE_WORDS = 2048
+# Words of one tile whose cosines with another are held at once.
+HELD_ROWS = 128
+# Pivots of a document; where it has more blocks its clusters are larger.
+MOST_PIVOTS = 1024
 # Blocks of one cluster are numbered below this.
 CLUSTER_BLOCKS = 1 << 20
 # Directions of all labels of one group that every task and the driver hold.
@@ -56,16 +62,8 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return np.divide(vectors, norms, out=np.zeros_like(vectors), where=np.broadcast_to(fine, vectors.shape))
 
 
-def met_by_angle(tokens: DataFrame, threshold: float = SIMILARITY_THRESHOLD, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Words dealt to blocks by their nearest pivot; only blocks that may hold a similar pair meet.
-
-    About as many words of a document as it has blocks are its pivots, by hash. A
-    cluster are the words nearest to a pivot, and its radius the largest angle between
-    them. Angles obey the triangle inequality, so two clusters whose pivots are further
-    apart than both radii and the angle of the threshold hold no similar pair: their
-    blocks never meet, and a word is copied only to where it may. Large clusters
-    are cut by hash. A vector without a direction is similar to nothing and drops out.
-    """
+def _clustered_by_angle(tokens: DataFrame, block_words: int) -> tuple[DataFrame, DataFrame]:
+    """Words with their ``cluster`` and ``angle`` to its pivot; and per document ``clusters, sizes, radii, pivots``."""
     spark = tokens.sparkSession
     folder = work_folder(spark, "similar-words")
     items = _counted_words(tokens, block_words)
@@ -73,13 +71,16 @@ def met_by_angle(tokens: DataFrame, threshold: float = SIMILARITY_THRESHOLD, blo
     even = (F.pmod(F.xxhash64("word", "vec"), F.lit(1 << 30)) / F.lit(float(1 << 30))).alias("even")
     items.select("*", even).write.parquet(f"{folder}/items")
     items = spark.read.parquet(f"{folder}/items")
-    sizes = items.groupBy("doc_id").agg((F.max("n_blocks") / F.count("*")).alias("share"))
+    sizes = items.groupBy("doc_id").agg((F.least(F.max("n_blocks"), F.lit(MOST_PIVOTS)) / F.count("*")).alias("share"))
     chosen = join_per_key(items, sizes, "doc_id", ["word"]).where((F.col("n_blocks") > 1) & (F.col("even") < F.col("share")))
     pivots = chosen.groupBy("doc_id").agg(F.collect_list("vec").alias("pivots"))
-    parts = items.groupBy("doc_id", F.pmod(F.hash("word", "vec"), "n_blocks").alias("part")).agg(F.collect_list(F.struct("word", "n", "vec")).alias("items"))
+    n_parts = F.ceil(F.col("n_blocks") * F.lit(block_words) / F.lit(TILE_WORDS)).cast("int")
+    parts = items.groupBy("doc_id", F.pmod(F.hash("word", "vec"), n_parts).alias("part")).agg(F.collect_list(F.struct("word", "n", "vec")).alias("items"))
     dealt = parts.join(pivots, "doc_id", "left").select(
         "doc_id", F.col("items.word").alias("words"), F.col("items.n").alias("counts"), F.flatten("items.vec").alias("numbers"),
         F.flatten("pivots").alias("pivots"), F.coalesce(F.size("pivots"), F.lit(0)).alias("n_pivots"))
+    # Vectors of single precision stay so where they are stored and copied.
+    narrow = tokens.schema["vec"].dataType.simpleString() == "array<float>"
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -95,25 +96,49 @@ def met_by_angle(tokens: DataFrame, threshold: float = SIMILARITY_THRESHOLD, blo
                     nearest = cosine.argmax(axis=1)
                     angle = np.arccos(np.clip(cosine[np.arange(len(nearest)), nearest], -1, 1))
                 yield pd.DataFrame({"doc_id": g.doc_id, "word": np.asarray(g.words, dtype=object)[keep], "n": np.asarray(g.counts)[keep],
-                                    "vec": list(vectors[keep]), "cluster": nearest, "angle": angle})
-    dealt.mapInPandas(assign, "doc_id bigint, word string, n bigint, vec array<double>, cluster bigint, angle double").write.parquet(f"{folder}/clusters")
+                                    "vec": list(vectors[keep].astype(np.float32 if narrow else np.float64)), "cluster": nearest, "angle": angle})
+    dealt.mapInPandas(assign, f"doc_id bigint, word string, n bigint, vec array<{'float' if narrow else 'double'}>, cluster bigint, angle double"
+                      ).write.parquet(f"{folder}/clusters")
     clustered = spark.read.parquet(f"{folder}/clusters")
     radii = clustered.groupBy("doc_id", "cluster").agg(F.count("*").alias("size"), F.max("angle").alias("radius"))
     per_doc = radii.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("cluster", "size", "radius"))).alias("c")).join(pivots, "doc_id", "left").select(
         "doc_id", F.col("c.cluster").alias("clusters"), F.col("c.size").alias("sizes"), F.col("c.radius").alias("radii"),
         F.flatten("pivots").alias("pivots"), F.coalesce(F.size("pivots"), F.lit(0)).alias("n_pivots"))
+    return clustered, per_doc
+
+
+def _near(directions: np.ndarray | None, radii: np.ndarray, threshold: float) -> np.ndarray:
+    """Which clusters may hold a similar pair: not those further apart than both radii and the angle of the threshold."""
+    angle = np.zeros((len(radii), len(radii)))
+    if directions is not None:
+        angle = np.arccos(np.clip(directions @ directions.T, -1, 1))
+    # A little more than the bound, for rounding.
+    near = angle - np.add.outer(radii, radii) <= np.arccos(threshold) + 1e-6
+    np.fill_diagonal(near, True)
+    return near
+
+
+def met_by_angle(tokens: DataFrame, threshold: float = SIMILARITY_THRESHOLD, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """Words dealt to blocks by their nearest pivot; only blocks that may hold a similar pair meet.
+
+    About as many words of a document as it has blocks are its pivots, by hash. A
+    cluster are the words nearest to a pivot, and its radius the largest angle between
+    them. Angles obey the triangle inequality, so two clusters whose pivots are further
+    apart than both radii and the angle of the threshold hold no similar pair: their
+    blocks never meet, and a word is copied only to where it may. Large clusters
+    are cut by hash. A vector without a direction is similar to nothing and drops out.
+
+    Small blocks that all may meet copy a word once per block; ``tiles_by_angle`` copies it
+    once per tile of several blocks.
+    """
+    clustered, per_doc = _clustered_by_angle(tokens, block_words)
 
     def bounds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for g in batch.itertuples(index=False):
                 clusters, cuts = np.asarray(g.clusters), -(-np.asarray(g.sizes) // block_words)
                 own = _directions(g.pivots, g.n_pivots)
-                angle = np.zeros((len(clusters), len(clusters)))
-                if own is not None:
-                    angle = np.arccos(np.clip(own[clusters] @ own[clusters].T, -1, 1))
-                # A little more than the bound, for rounding.
-                near = angle - np.add.outer(g.radii, g.radii) <= np.arccos(threshold) + 1e-6
-                np.fill_diagonal(near, True)
+                near = _near(None if own is None else own[clusters], np.asarray(g.radii), threshold)
                 for i, c in enumerate(clusters):
                     others = np.concatenate([clusters[j] * CLUSTER_BLOCKS + np.arange(cuts[j]) for j in np.flatnonzero(near[i])])
                     yield pd.DataFrame({"doc_id": [g.doc_id], "cluster": [c], "cuts": [cuts[i]], "others": [others]})
@@ -123,6 +148,60 @@ def met_by_angle(tokens: DataFrame, threshold: float = SIMILARITY_THRESHOLD, blo
     return _met(placed.drop("cluster", "angle", "cuts")).drop("other")
 
 
+def tiles_by_angle(tokens: DataFrame, threshold: float = SIMILARITY_THRESHOLD, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The clusters of ``met_by_angle`` packed into tiles; ``block`` is the tile, ``cluster`` stays with the word.
+
+    A word is copied to the tiles that hold a cluster it may be similar to, so copies do not
+    grow with the number of blocks but with that of tiles. A cluster larger than a tile is cut by hash.
+    """
+    clustered, per_doc = _clustered_by_angle(tokens, block_words)
+    tile_words = max(TILE_WORDS, block_words)
+
+    def bounds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for g in batch.itertuples(index=False):
+                clusters, cuts = np.asarray(g.clusters), -(-np.asarray(g.sizes) // tile_words)
+                own = _directions(g.pivots, g.n_pivots)
+                near = _near(None if own is None else own[clusters], np.asarray(g.radii), threshold)
+                first, last, room = [], -1, 0
+                for size, n in zip(g.sizes, cuts.tolist()):
+                    if size > room:
+                        last, room = last + 1, tile_words
+                    first.append(last)
+                    last, room = last + n - 1, room - size if n == 1 else 0
+                first = np.array(first)
+                others = [np.unique(np.concatenate([first[j] + np.arange(cuts[j]) for j in np.flatnonzero(row)])) for row in near]
+                yield pd.DataFrame({"doc_id": g.doc_id, "cluster": clusters, "cuts": cuts, "first": first, "others": others})
+    meets = per_doc.mapInPandas(bounds, "doc_id bigint, cluster bigint, cuts bigint, first bigint, others array<bigint>")
+    tile = F.col("first") + F.pmod(F.hash("word", "vec").cast("bigint"), F.col("cuts"))
+    placed = clustered.join(meets, ["doc_id", "cluster"]).withColumn("block", tile)
+    return _met(placed.drop("angle", "cuts", "first")).drop("other")
+
+
+def _similar_places(vectors: np.ndarray, cluster: np.ndarray, left: np.ndarray, right: np.ndarray, threshold: float
+                    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of similar unit vectors of two sides, and their cosines; clusters too far apart are not compared."""
+    # Any direction may be the middle of a cluster: here the mean of its vectors on either side.
+    ids, own = np.unique(cluster, return_inverse=True)
+    sums = np.zeros((len(ids), vectors.shape[1]))
+    np.add.at(sums, own, vectors)
+    middles = _unit(sums)
+    radii = np.zeros(len(ids))
+    np.maximum.at(radii, own, np.arccos(np.clip(np.einsum("ij,ij->i", vectors, middles[own]), -1, 1)))
+    radii[~middles.any(axis=1)] = np.pi
+    near = _near(middles, radii, threshold)
+    left = left[np.argsort(own[left], kind="stable")]
+    found = []
+    for at in range(0, len(left), HELD_ROWS):
+        some = left[at:at + HELD_ROWS]
+        others = right[near[own[some]].any(axis=0)[own[right]]]
+        cosine = vectors[some] @ vectors[others].T
+        i, j = np.nonzero(cosine > threshold)
+        found.append((some[i], others[j], cosine[i, j]))
+    none = np.zeros(0, dtype=np.int64)
+    return tuple(np.concatenate(x) for x in zip(*found, (none, none, np.zeros(0))))
+
+
 def _directions(pivots, n_pivots: int) -> np.ndarray | None:
     """Unit pivots from their numbers in a row; None without any, or if one has no direction."""
     if not n_pivots:
@@ -149,17 +228,17 @@ def similar_token_join(tokens: DataFrame, threshold: float = SIMILARITY_THRESHOL
     Equal tokens are counted first, so a frequent word is one item. The items
     of a document are dealt to blocks by hash and every two blocks meet in a
     group of their own: no group outgrows two blocks and only pairs above the
-    threshold are emitted. With ``by_angle`` blocks are clusters of like vectors and
-    those too far apart never meet (see ``met_by_angle``), which pays where
-    documents have many blocks; the rows are the same.
+    threshold are emitted. With ``by_angle`` words are clusters of like vectors, packed
+    into tiles, and those too far apart are never compared (see ``tiles_by_angle``), which
+    pays where documents have many blocks; the rows are the same.
     """
     if threshold < 0:
         raise ValueError("threshold must not be negative")
-    met = met_by_angle(tokens, threshold, block_words) if by_angle else met_by_hash(tokens, block_words)
+    met = tiles_by_angle(tokens, threshold, block_words) if by_angle else met_by_hash(tokens, block_words).withColumn("cluster", F.lit(0).cast("bigint"))
     groups = (met.groupBy("doc_id", "low", "high")
-              .agg(F.collect_list(F.struct("word", "n", "block", "vec")).alias("items"))
+              .agg(F.collect_list(F.struct("word", "n", "block", "cluster", "vec")).alias("items"))
               .select("doc_id", "low", "high", F.col("items.word").alias("words"), F.col("items.n").alias("counts"),
-                      F.col("items.block").alias("blocks"), F.flatten("items.vec").alias("numbers")))
+                      F.col("items.block").alias("blocks"), F.col("items.cluster").alias("clusters"), F.flatten("items.vec").alias("numbers")))
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -169,16 +248,19 @@ def similar_token_join(tokens: DataFrame, threshold: float = SIMILARITY_THRESHOL
                 norms = np.linalg.norm(vectors, axis=1, keepdims=True)
                 vectors = np.divide(vectors, norms, out=np.zeros_like(vectors), where=norms > 0)
                 left, right = np.flatnonzero(block == g.low), np.flatnonzero(block == g.high)
-                cosine = vectors[left] @ vectors[right].T
-                i, j = np.nonzero(cosine > threshold)
-                value, a, b = cosine[i, j], left[i], right[j]
+                a, b, value = _similar_places(vectors, np.asarray(g.clusters), left, right, threshold)
                 if g.low != g.high:
                     a, b, value = np.r_[a, b], np.r_[b, a], np.r_[value, value]
                 pairs = counts[a] * np.where(a == b, counts[b] - 1, counts[b])
                 keep = pairs > 0
+                # Equal pairs of words leave as one row.
+                codes, names = pd.factorize(words, use_na_sentinel=False)
+                found = pd.DataFrame({"key": codes[a[keep]] * len(names) + codes[b[keep]], "cosine": value[keep], "n_pairs": pairs[keep]})
+                found = found.groupby("key", as_index=False, sort=False).agg({"cosine": "max", "n_pairs": "sum"})
+                key = found["key"].to_numpy()
                 yield pd.DataFrame({
-                    "doc_id": g.doc_id, "word": words[a[keep]], "similar_word": words[b[keep]],
-                    "cosine": value[keep], "n_pairs": pairs[keep],
+                    "doc_id": g.doc_id, "word": names[key // len(names)], "similar_word": names[key % len(names)],
+                    "cosine": found["cosine"], "n_pairs": found["n_pairs"],
                 })
 
     pairs = groups.mapInPandas(

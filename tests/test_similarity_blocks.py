@@ -54,3 +54,20 @@ def test_clusters_far_apart_never_meet(spark):
     blocks = met.select("doc_id", "block", "word", "vec").distinct().groupBy("doc_id", "block").count()
     assert blocks.agg(F.max("count")).first()[0] < 90
     assert similarity.similar_token_join(df.limit(0), by_angle=True).count() == 0
+
+
+def test_small_blocks_are_copied_by_tile(spark, monkeypatch):
+    """Blocks much smaller than a tile: a word is copied once per tile it may meet, not once per block."""
+    rows, df = clustered(spark, 11, n_docs=1, per_center=40)
+    monkeypatch.setattr(similarity, "TILE_WORDS", 100)
+    met = similarity.tiles_by_angle(df, 0.0, block_words=4)
+    copies = met.groupBy("doc_id", "word", "vec").count().agg(F.max("count")).first()[0]
+    by_block = similarity.met_by_angle(df, 0.0, block_words=4).groupBy("doc_id", "word", "vec").count().agg(F.max("count")).first()[0]
+    assert copies <= 8 < by_block
+    largest = met.select("doc_id", "block", "word", "vec").distinct().groupBy("doc_id", "block").count().agg(F.max("count")).first()[0]
+    assert largest <= 100
+    assert rows_of(similarity.similar_token_join(df, 0.5, block_words=4, by_angle=True)) == plain_pairs(rows, 0.5)
+    # Clusters larger than a tile are cut; words may be null.
+    same = df.where("vec is not null").withColumn("vec", F.transform("vec", lambda x: x * 0 + 1.0 + F.col("pos") * 1e-9)).withColumn("word", F.nullif("word", F.lit("w1-1")))
+    plain = [(r.doc_id, r.pos, r.word, r.vec) for r in same.collect()]
+    assert rows_of(similarity.similar_token_join(same, 0.9, block_words=20, by_angle=True)) == plain_pairs(plain, 0.9)
