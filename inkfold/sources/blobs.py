@@ -7,6 +7,8 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
+from operator import itemgetter
 
 import pandas as pd
 import pyarrow as pa
@@ -31,7 +33,7 @@ class BlobWriter(DataSourceArrowWriter):
     """Writes ``content`` to ``<folder>/<name>``.
 
     A file appears whole or not at all: it is written beside its place and moved
-    there. A task that runs twice writes the same files again. A write that fails takes
+    there. Contents of one name that follow each other make one file. A task that runs twice writes the same files again. A write that fails takes
     back what its finished tasks wrote; a task that was stopped may leave whole files,
     which the next try writes again.
     """
@@ -43,14 +45,15 @@ class BlobWriter(DataSourceArrowWriter):
         system, root = filesystems.FileSystem.from_uri(self.folder)
         system.create_dir(root, recursive=True)
         names = []
-        for batch in iterator:
-            for name, content in zip(batch.column("name"), batch.column("content")):
-                # Spark's sources skip files that begin with a dot or underscore.
-                beside = f"{root}/_{uuid.uuid4().hex}"
-                with system.open_output_stream(beside) as out:
+        rows = ((name.as_py(), content) for batch in iterator for name, content in zip(batch.column("name"), batch.column("content")))
+        for name, same in groupby(rows, key=itemgetter(0)):
+            # Spark's sources skip files that begin with a dot or underscore.
+            beside = f"{root}/_{uuid.uuid4().hex}"
+            with system.open_output_stream(beside) as out:
+                for _, content in same:
                     out.write(content.as_py())
-                system.move(beside, f"{root}/{name.as_py()}")
-                names.append(name.as_py())
+            system.move(beside, f"{root}/{name}")
+            names.append(name)
         return Written(names)
 
     def abort(self, messages: list[Written | None]) -> None:
@@ -78,7 +81,7 @@ class BlobSource(DataSource):
 
 
 def blob_sink(rows: DataFrame, folder: str) -> None:
-    """One file per row of ``name, content``; other columns are left out. Names must be unique and not null."""
+    """One file per row of ``name, content``; other columns are left out. Names must not be null, and equal ones must follow each other."""
     rows.sparkSession.dataSource.register(BlobSource)
     rows.select("name", "content").write.format(FORMAT).mode("append").save(folder)
 

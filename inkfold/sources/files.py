@@ -32,7 +32,11 @@ def _own_folder(spark: SparkSession) -> str:
 
 def remove_work_folders(spark: SparkSession) -> None:
     """Delete what this application stored on the way, once its results are written elsewhere."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    _remove(spark, _own_folder(spark))
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
@@ -60,7 +64,7 @@ def text_scan(spark: SparkSession, folder: str, pattern: str = "*.txt", key_fold
     """One row per text file: ``name``, ``doc_id`` and the whole ``text`` (line ends as \\n).
 
     The key is the number in the file name, or with ``key_folder`` the number
-    in the folder ``<key_folder>=<n>`` as written by ``text_sink``. Spark does
+    in the folder ``<key_folder>=<n>`` or the file ``<key_folder>=<n>.txt`` as written by ``text_sink``. Spark does
     not list files without content; ``truth_join(..., missing_as_empty=True)``
     scores those as empty results.
     """
@@ -69,7 +73,7 @@ def text_scan(spark: SparkSession, folder: str, pattern: str = "*.txt", key_fold
     text = F.regexp_replace("value", "\r\n?", "\n")
     key = file_key(F.col("_metadata.file_name"))
     if key_folder:
-        key = F.regexp_extract(F.col("_metadata.file_path"), f"/{key_folder}=([0-9]+)/", 1).try_cast("bigint")
+        key = F.regexp_extract(F.col("_metadata.file_path"), f"/{key_folder}=(-?[0-9]+)[/.]", 1).try_cast("bigint")
     return files.select(F.col("_metadata.file_name").alias("name"), key.alias("doc_id"), text.alias("text"))
 
 
@@ -104,13 +108,28 @@ def csv_source(spark: SparkSession, folder: str, schema: str) -> DataFrame:
             .option("multiLine", True).csv(folder))
 
 
+# Texts, each a file, that one task writes.
+FILES_PER_TASK = 5_000
+
+
 def text_sink(texts: DataFrame, folder: str, one_file_per_key: bool = False) -> None:
-    """Texts keyed by ``doc_id``; one file per key (closed by a line end) only for small exports."""
-    writer = texts.select("doc_id", "text").write.mode("overwrite")
-    if one_file_per_key:
-        writer.partitionBy("doc_id").text(folder)
-    else:
-        writer.parquet(folder)
+    """Texts keyed by ``doc_id``; or one file per key, ``doc_id=<n>.txt``, each text closed by a line end.
+
+    Files of single keys are written by the tasks side by side, without a folder per key
+    and without a step of the driver per file. The texts of a key that comes again stand in its file.
+    """
+    if not one_file_per_key:
+        texts.select("doc_id", "text").write.mode("overwrite").parquet(folder)
+        return
+    from inkfold.sources import blobs
+
+    spark = texts.sparkSession
+    _remove(spark, folder)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-texts.count() // FILES_PER_TASK))
+    number = F.coalesce(F.col("doc_id").cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    content = F.concat(F.coalesce("text", F.lit("")), F.lit("\n")).cast("binary")
+    rows = texts.select(F.concat(F.lit("doc_id="), number, F.lit(".txt")).alias("name"), content.alias("content"))
+    blobs.blob_sink(rows.repartition(parts, "name").sortWithinPartitions("name"), folder)
 
 
 def image_sink(images: DataFrame, folder: str) -> None:

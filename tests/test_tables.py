@@ -297,3 +297,14 @@ def test_appended_tables_are_scored_once(spark):
     # What is appended are stored tables: no scoring step is left in the plan.
     text_plan = plan(queries.REGISTRY["append_results"](spark, SF_DIR))
     assert "ArrowEvalPython" not in text_plan and "levenshtein" not in text_plan
+
+
+def test_texts_by_key_take_no_folder_each(spark, tmp_path):
+    """One file per key in one folder: null and empty texts, keys that come again, null and negative keys, an old file cleared."""
+    folder = str(tmp_path / "texts")
+    rows = [(1, "a\nb"), (2, ""), (3, None), (-4, "ü"), (5, "x"), (5, "x"), (None, "none")]
+    files.text_sink(spark.createDataFrame([(9, "old")], "doc_id bigint, text string"), folder, one_file_per_key=True)
+    files.text_sink(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5), folder, one_file_per_key=True)
+    assert sorted(os.listdir(folder)) == sorted([f"doc_id={n}.txt" for n in (1, 2, 3, -4, 5, "__HIVE_DEFAULT_PARTITION__")])
+    got = {r["doc_id"]: r["text"] for r in files.text_scan(spark, folder, key_folder="doc_id").collect()}
+    assert got == {1: "a\nb\n", 2: "\n", 3: "\n", -4: "ü\n", 5: "x\nx\n", None: "none\n"}
