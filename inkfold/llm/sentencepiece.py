@@ -31,6 +31,7 @@ import struct
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MARK = "▁"
-# Paths and allowed pairs remembered by a task; beyond, memory starts anew.
+# Paths and allowed pairs remembered by a worker; beyond, memory starts anew.
 REMEMBERED = 1 << 18
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
@@ -162,11 +163,32 @@ class Paths(dict):
         return found
 
 
-class Transducer:
-    """The compiled machine of a model; ``encode`` and ``decode`` work on one text."""
+class Decoder:
+    """What the pieces of a model look like; ``decode`` works on one text."""
 
     def __init__(self, model: Model) -> None:
         self.model = model
+        self.surfaces = [self._surface(i) for i in range(len(model.pieces))]
+
+    def _surface(self, i: int) -> bytes:
+        kind, piece = self.model.kinds[i], self.model.pieces[i]
+        if kind == BYTE:
+            return bytes([int(piece[3:5], 16)])
+        if kind == CONTROL:
+            return b""
+        return UNKNOWN_SURFACE.encode() if kind == UNKNOWN else piece.replace(MARK, " ").encode()
+
+    def decode(self, ids: list[int]) -> str:
+        """Text of piece ids; bytes that are no UTF-8 become U+FFFD."""
+        text = b"".join(map(self.surfaces.__getitem__, ids)).decode(errors="replace")
+        return text[1:] if self.model.dummy_prefix and text.startswith(" ") else text
+
+
+class Transducer(Decoder):
+    """The compiled machine of a model; ``encode`` and ``decode`` work on one text."""
+
+    def __init__(self, model: Model) -> None:
+        super().__init__(model)
         normal = {p: i for i, p in enumerate(model.pieces) if model.kinds[i] == NORMAL}
         self.own = {p: i for i, p in enumerate(model.pieces) if model.kinds[i] == USER}
         # Merging leaves pieces of the user's alone; in a unigram lattice they are arcs that win.
@@ -201,7 +223,6 @@ class Transducer:
         self.paths = Paths(self)
         self.pairs: dict[tuple[str, str], bool] = {}
         self.stories: dict[str, tuple] = {}
-        self.surfaces = [self._surface(i) for i in range(len(model.pieces))]
 
     # Normaliser -------------------------------------------------------------
 
@@ -387,20 +408,16 @@ class Transducer:
         unknown = ids == self.model.unknown
         return ids[~(unknown & np.append(False, unknown[:-1]))].tobytes()
 
-    # Decoding ---------------------------------------------------------------
 
-    def _surface(self, i: int) -> bytes:
-        kind, piece = self.model.kinds[i], self.model.pieces[i]
-        if kind == BYTE:
-            return bytes([int(piece[3:5], 16)])
-        if kind == CONTROL:
-            return b""
-        return UNKNOWN_SURFACE.encode() if kind == UNKNOWN else piece.replace(MARK, " ").encode()
+@lru_cache(maxsize=1)
+def _transducer(model: bytes) -> Transducer:
+    """The machine of a worker process: its tasks share it, so no task compiles or leaves behind one of its own."""
+    return Transducer(Model.read(model))
 
-    def decode(self, ids: list[int]) -> str:
-        """Text of piece ids; bytes that are no UTF-8 become U+FFFD."""
-        text = b"".join(map(self.surfaces.__getitem__, ids)).decode(errors="replace")
-        return text[1:] if self.model.dummy_prefix and text.startswith(" ") else text
+
+@lru_cache(maxsize=1)
+def _decoder(model: bytes) -> Decoder:
+    return Decoder(Model.read(model))
 
 
 def encode(texts: DataFrame, model: bytes, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -408,14 +425,14 @@ def encode(texts: DataFrame, model: bytes, text: str = "text", ids: str = "ids")
 
     A null text has null ids, an empty one an empty list. The word mark itself,
     when it occurs in a text, is read as a space. A column that is called like
-    ``ids`` is replaced. Texts are encoded whole; what a task remembers is bounded.
+    ``ids`` is replaced. Texts are encoded whole; what a worker remembers is bounded.
     """
     rest = [c for c in texts.columns if c != ids]
     rows = texts.select(rest)
     schema = T.StructType([*rows.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType(), False))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = Transducer(Model.read(model))
+        machine = _transducer(model)
         for batch in batches:
             given = batch.column(rest.index(text))
             # Numbers are listed in parts, so that a batch of long texts is not held twice.
@@ -441,7 +458,7 @@ def decode(rows: DataFrame, model: bytes, ids: str = "ids", text: str = "decoded
     schema = T.StructType([*rows.schema.fields, T.StructField(text, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = Transducer(Model.read(model))
+        machine = _decoder(model)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)

@@ -140,3 +140,13 @@ def test_frames_keep_columns_and_nulls(spark):
     assert sorted((r.doc_id or 0, r.text) for r in back if r.text is not None) == [(0, "long " * 50_000), (2, ""), (2, "")]
     assert [r.ids for r in back if r.doc_id == 1] == [None]
     assert sp.encode(texts.limit(0), model).count() == 0
+
+
+def test_a_worker_compiles_a_model_once():
+    """Tasks of a worker share the machine, and decoding needs none of the encoder's tables."""
+    data = sp.model_bytes(PATH)
+    assert sp._transducer(data) is sp._transducer(bytes(bytearray(data)))
+    decoder = sp._decoder(data)
+    assert not hasattr(decoder, "trie") and not hasattr(decoder, "paths")
+    text = "Zwei  Wörter\n日本"
+    assert decoder.decode(np.frombuffer(sp._transducer(data).encode(text), dtype="<i4").tolist()) == text
