@@ -4,7 +4,7 @@ A round joins every node to the least of its neighbours: first its larger
 neighbours (large star), then its smaller ones (small star). Each round is
 written to the shared folder; the links settle into stars around the least node
 after about log(n) rounds. The least neighbour is found by an aggregation that
-combines before it shuffles, and it joins the links of a node through a plain
+combines before it shuffles, and it joins the links of a node through a shuffled
 equi-join, which Spark deals anew where a node has very many links.
 """
 
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkfold.llm.common import stored
+from inkfold.llm.common import dealt_join, stored
 
 
 def _both_ways(links: DataFrame) -> DataFrame:
@@ -24,7 +24,7 @@ def _both_ways(links: DataFrame) -> DataFrame:
 def _star(pairs: DataFrame, large: bool) -> DataFrame:
     """``pairs``: u, v. Links the larger (or the smaller) neighbours of u with the least one."""
     least = pairs.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    joined = pairs.join(least, "u")
+    joined = dealt_join(pairs, least, "u")
     if large:
         moved = joined.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
     else:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from inkfold.llm.common import free_names, stored, tasks
+from inkfold.llm.common import dealt_join, free_names, stored, tasks
 from inkfold.llm.components import components
 
 RADIUS = 3
@@ -175,7 +175,7 @@ def links(keys: DataFrame, radius: int = RADIUS, block: int | None = None) -> Da
     several = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     n_blocks = F.ceil(F.col("n") / block)
     own = F.pmod(F.xxhash64("fp", "key"), F.col("n_blocks"))
-    met = keys.join(several, "key").withColumn("n_blocks", n_blocks).withColumn("own", own)
+    met = dealt_join(keys, several, "key").withColumn("n_blocks", n_blocks).withColumn("own", own)
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_blocks") - 1)))
     cell = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
     # Cells are told apart by hash; two in one cell would only be compared in vain.
@@ -216,11 +216,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = stored(fingerprints(docs, doc_id, text, words), "fingerprints")
     distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(links(fingerprint_keys(distinct), radius))
-    held = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    # One row per fingerprint on both sides: none of them is hot, none is broadcast.
+    held = distinct.join(roots.withColumnRenamed("node", "fp").hint("merge"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     held = stored(held, "fingerprint-roots")
     least = held.groupBy("root").agg(F.min("least").alias("component_id"))
     # One row per fingerprint against many documents: a fingerprint that very many share is dealt anew by Spark.
-    return rows.join(held.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    found = dealt_join(held, least, "root").select("fp", "component_id")
+    return dealt_join(rows, found, "fp").select("doc_id", "fp", "component_id")
 
 
 def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5,

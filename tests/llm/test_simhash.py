@@ -2,6 +2,7 @@
 
 import random
 from collections import defaultdict
+from contextlib import contextmanager
 
 import numpy as np
 import pytest
@@ -9,7 +10,8 @@ import xxhash
 from pyspark.sql import functions as F
 
 from conftest import SF_DIR
-from inkfold.llm import queries, simhash
+from inkfold.llm import common, queries, simhash
+from inkfold.llm import components as component_rounds
 from inkfold.llm.components import components
 
 
@@ -129,6 +131,63 @@ def test_components_of_chains_stars_and_noise(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+@contextmanager
+def settings(spark, own):
+    for name, value in own.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name in own:
+            spark.conf.unset(name)
+
+
+def executed_plan(df):
+    """The joins as they ran, after what Spark measured on the way."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan
+    return plan
+
+
+def test_keys_taken_for_few_are_not_broadcast(spark, tmp_path):
+    """24 keys of a fingerprint pass for one row: 2,000 stored ones count as 32 kB, their keys are 1 MB."""
+    rng = random.Random(8)
+    spark.createDataFrame([(rng.getrandbits(63),) for _ in range(2000)], "fp bigint").write.parquet(str(tmp_path / "fps"))
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "64k"}):
+        distinct = spark.read.parquet(str(tmp_path / "fps")).groupBy("fp").agg(F.count("*").alias("n"))
+        assert "Broadcast" not in executed_plan(simhash.links(simhash.fingerprint_keys(distinct)))
+
+
+def test_links_of_a_hub_are_dealt_anew(spark):
+    """A node with very many links is no single task's, though the least neighbours come dealt by node."""
+    parts = "spark.sql.adaptive."
+    small = {f"{parts}skewJoin.skewedPartitionThresholdInBytes": "16k", f"{parts}advisoryPartitionSizeInBytes": "16k", f"{parts}coalescePartitions.enabled": "false"}
+    u = F.when(F.col("id") < 39_000, -1).otherwise(F.col("id"))
+    pairs = spark.range(40_000).select(u.alias("u"), (F.col("id") * 7 % 40_000).alias("v"))
+    with settings(spark, small):
+        for large in (True, False):
+            star = component_rounds._star(pairs, large)
+            assert "SortMergeJoin(skew=true)" in executed_plan(star)
+
+
+def test_no_join_on_the_way_is_broadcast(spark, monkeypatch):
+    plans = {}
+
+    def stored(df, name):
+        plans.setdefault(name, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return common.stored(df, name)
+    monkeypatch.setattr(simhash, "stored", stored)
+    monkeypatch.setattr(component_rounds, "stored", stored)
+    texts = [f"text {i // 2} of several words" for i in range(40)]
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu " * 40
+    docs = spark.createDataFrame(enumerate(texts + [words + "x", words + "y", words + "z"]), "doc_id bigint, text string")
+    found = simhash.near_duplicates(docs)
+    plans["result"] = [executed_plan(found)]
+    assert {"links", "fingerprint-roots", "result"} <= set(plans) and len(plans["links"]) > 1
+    assert not [name for name, some in plans.items() if any("Broadcast" in p for p in some)]
+
+
 def test_edges(spark):
     long = "w " * 70_000
     rows = [(1, None, "a"), (2, "", "b"), (5, " \n", "c"), (3, long, "d"), (3, long, "d"), (None, long, "e"), (9, "other words here now", None)]
